@@ -16,6 +16,8 @@ VIEWS: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 def view(name: str, sql: str, *needs: str) -> None:
     """Named SQL view that oracle queries may start from."""
+    if name in VIEWS:
+        raise ValueError(f"view {name} is defined twice")
     VIEWS[name] = (sql, needs)
 
 

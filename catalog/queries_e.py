@@ -57,7 +57,7 @@ def e04(spark, sf):
                                    two_sided=True).drop("n_posts")
 
 
-V.view("long_daily", """SELECT upload_date, count(*) AS posts, CAST(sum(num_views) AS BIGINT) AS views FROM long_posts GROUP BY upload_date""", "long_posts")
+V.view("order_days", """SELECT upload_date, count(*) AS posts, CAST(sum(num_views) AS BIGINT) AS views FROM long_posts GROUP BY upload_date""", "long_posts")
 
 
 def long_daily(spark, sf):
@@ -65,21 +65,21 @@ def long_daily(spark, sf):
 
 
 @query("e05_rolling_mean", """SELECT CAST(upload_date AS VARCHAR) AS upload_date, CASE WHEN count(views) OVER w = 7 THEN round(avg(views) OVER w, 4) END AS full_week,
-  round(avg(views) OVER v, 4) AS any_days FROM long_daily
-  WINDOW w AS (ORDER BY upload_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), v AS (ORDER BY upload_date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""", "long_daily", digits=4)
+  round(avg(views) OVER v, 4) AS any_days FROM order_days
+  WINDOW w AS (ORDER BY upload_date ROWS BETWEEN 6 PRECEDING AND CURRENT ROW), v AS (ORDER BY upload_date ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""", "order_days", digits=4)
 def e05(spark, sf):
     df = windows.rolling_mean(long_daily(spark, sf), [], "upload_date", "views", 7, "full_week")
     return windows.rolling_mean(df, [], "upload_date", "views", 3, "any_days", 1).select("upload_date", "full_week", "any_days")
 
 
 @query("e06_first_difference", """SELECT CAST(upload_date AS VARCHAR) AS upload_date, views - lag(views) OVER (ORDER BY upload_date) AS change
-  FROM long_daily""", "long_daily")
+  FROM order_days""", "order_days")
 def e06(spark, sf):
     return windows.diff(long_daily(spark, sf), [], "upload_date", "views", "change").select("upload_date", "change")
 
 
 @query("e07_running_total", """SELECT CAST(upload_date AS VARCHAR) AS upload_date, CAST(sum(posts) OVER (ORDER BY upload_date) AS BIGINT) AS posts_so_far
-  FROM long_daily""", "long_daily")
+  FROM order_days""", "order_days")
 def e07(spark, sf):
     return windows.cumsum(long_daily(spark, sf), [], "upload_date", "posts", "posts_so_far").select("upload_date", "posts_so_far")
 

@@ -80,7 +80,8 @@ def contains_join(texts: DataFrame, key: str, text: str, words: DataFrame, word:
     """
     heads = words.select(word).distinct().filter(F.length(word) > 0).withColumn(
         "_gram", F.xxhash64(F.substring(word, 1, gram)))
-    hashes = F.array_distinct(F.transform(substrings(F.col(text), gram), lambda g: F.xxhash64(g)))
+    runs = F.concat(*[F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in range(1, gram + 1)])
+    hashes = F.array_distinct(F.transform(runs, lambda g: F.xxhash64(g)))
     grams = texts.select(key, F.explode(hashes).alias("_gram")).hint("merge")
     pairs = salted_join(grams, heads, ["_gram"], F.col(key), salts=salts).select(key, word)
     return pairs.join(texts.select(key, text), key).filter(F.contains(F.col(text), F.col(word))).select(key, word).distinct()
