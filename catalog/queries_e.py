@@ -14,22 +14,21 @@ from signalpost.operators import aggregates, ranges, similar, windows
 from signalpost.plans import explore, interest, keywords, serving
 
 KEYS = ["car_name", "issue"]
+EMAS = {"ema_view": ("avg_log_view", 0.05), "ema_like": ("sum_log_like", 0.02)}
 
 
 @query("e01_ema", """SELECT car_name, issue, CAST(upload_date AS VARCHAR) AS upload_date, round(ema_view, 6) AS ema_view,
   round(ema_like, 6) AS ema_like FROM ema""", "ema")
 def e01(spark, sf):
     daily = aggregates.daily_features_in_one_pass(V.labelled(spark, sf)).drop("n_posts")
-    out = windows.ema(daily, KEYS, "upload_date", "avg_log_view", 0.05, "ema_view")
-    return windows.ema(out, KEYS, "upload_date", "sum_log_like", 0.02, "ema_like").drop("avg_log_view", "sum_log_like")
+    return windows.ema(daily, KEYS, "upload_date", EMAS).drop("avg_log_view", "sum_log_like")
 
 
 @query("e01_ema_long_series", """SELECT car_name, issue, CAST(upload_date AS VARCHAR) AS upload_date, round(ema_view, 6) AS ema_view,
   round(ema_like, 6) AS ema_like FROM long_ema""", "long_ema")
 def e01_long(spark, sf):
     daily = aggregates.daily_features_in_one_pass(interest.labelled_posts(V.long_posts(spark, sf), V.LONG_ASOF)).drop("n_posts")
-    out = windows.ema(daily, KEYS, "upload_date", "avg_log_view", 0.05, "ema_view")
-    return windows.ema(out, KEYS, "upload_date", "sum_log_like", 0.02, "ema_like").drop("avg_log_view", "sum_log_like")
+    return windows.ema(daily, KEYS, "upload_date", EMAS).drop("avg_log_view", "sum_log_like")
 
 
 @query("e02_interest_score", "SELECT car_name, issue, CAST(upload_date AS VARCHAR) AS upload_date, round(score, 6) AS score FROM series", "series")

@@ -35,9 +35,9 @@ def h01(spark, sf):
     raw = V.raw_posts(spark, sf)
     for wave in WAVES:
         sinks.write_csv(raw.filter(_in_wave(wave)).select(*CRAWL.names), f"{root}/incoming", mode="append")
-        done = ingest.ingest_stream(ingest.crawl_stream(spark, f"{root}/incoming/*.csv"), f"{root}/table", f"{root}/state",
-                                    V.POST_DICTIONARY, V.URL_RULES, V.ALIASES)
-    return ingest.state_at(spark, f"{root}/table", ingest.last_version(done)).select(
+        ingest.ingest_stream(ingest.crawl_stream(spark, f"{root}/incoming/*.csv"), f"{root}/table", f"{root}/state",
+                             V.POST_DICTIONARY, V.URL_RULES, V.ALIASES)
+    return ingest.post_table(spark, f"{root}/table").select(
         "url", "title", "car_name", "comments", "num_views", "num_likes")
 
 

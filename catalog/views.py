@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
     return e.select(
-        "event_id",
+        "event_id", "event_type",
         F.concat(F.lit("u"), F.col("event_id").cast("string")).alias("url"),
         "ts", F.to_date("ts").alias("upload_date"), F.date_format("ts", "HH:mm:ss").alias("upload_time"),
         F.concat(F.lit("c"), (F.col("user_id") % 3).cast("string")).alias("community"),
@@ -107,15 +107,14 @@ def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = n.cast("string")
     tenths = F.concat(F.floor(n / 10000).cast("string"), F.lit("."), (F.floor(n / 1000) % 10).cast("string"), F.lit("만"))
     event_type = F.col("event_type")
-    p = posts(spark, sf_dir).join(table(spark, sf_dir, "events").select("event_id", "event_type", "props"), "event_id")
-    return p.select(
+    return posts(spark, sf_dir).select(
         "event_id", "ts",
         F.when(F.col("community") == "c0", F.date_format("ts", "yyyy.MM.dd. HH:mm"))
         .when(F.col("community") == "c1", F.date_format("ts", "yyyy-MM-dd HH:mm"))
         .otherwise(F.date_format("ts", "yyyy.MM.dd (HH:mm)")).alias("Date"),
         F.date_format("ts", "HH:mm").alias("Time"),
         F.when(e % 13 != 0, F.concat(F.lit("Title "), event_type)).alias("Title"),
-        F.concat(event_type, F.lit(" k"), F.get_json_object("props", "$.k")).alias("Body"),
+        F.concat(event_type, F.lit(" k"), F.col("num_likes").cast("string")).alias("Body"),
         F.when(e % 17 != 0, F.concat(F.lit("comment "), e.cast("string"))).alias("Comment"),
         F.when(e % 101 == 0, "").when(e % 11 == 0, F.concat(F.lit("조회 "), whole)).when(e % 7 == 0, tenths)
         .when(e % 3 == 0, F.format_number(n, 0)).otherwise(whole).alias("View"),

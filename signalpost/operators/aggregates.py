@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from signalpost.scale import list_in_parts
+from signalpost.session import cut
 
 MEASURES = ("view", "like", "log_view", "log_like")
 
@@ -47,15 +48,15 @@ def daily_features_in_one_pass(df: DataFrame) -> DataFrame:
     """The result of bounds, minmax and daily_features from a single pass over the posts.
 
     Min-max scaling is linear in the counter's logarithm, so posts are first summed per (car, issue,
-    day, community).  Limits of a community come from those sums as well, and the scaling is applied
-    to the small summed table.  No row-level join is left.
+    day, community) and that small table is stored.  Limits of a community come from it as well, and
+    the scaling is applied to it.  The posts are read once and no row-level join is left.
     """
-    cell = df.groupBy("car_name", "issue", "upload_date", "community").agg(
+    cell = cut(df.groupBy("car_name", "issue", "upload_date", "community").agg(
         F.count("*").alias("n"),
         F.sum("log_views").alias("sv"), F.sum("log_likes").alias("sl"),
         F.count("log_views").alias("nv"), F.count("log_likes").alias("nl"),
         F.min("log_views").alias("min_v"), F.max("log_views").alias("max_v"),
-        F.min("log_likes").alias("min_l"), F.max("log_likes").alias("max_l"))
+        F.min("log_likes").alias("min_l"), F.max("log_likes").alias("max_l")))
     limits = cell.groupBy("community").agg(
         F.min("min_v").alias("low_v"), F.max("max_v").alias("high_v"),
         F.min("min_l").alias("low_l"), F.max("max_l").alias("high_l"))
@@ -64,7 +65,8 @@ def daily_features_in_one_pass(df: DataFrame) -> DataFrame:
     def scaled(total: str, count: str, low: str, high: str) -> Column:
         return F.coalesce(F.try_divide(F.col(total) - F.col(count) * F.col(low), F.col(high) - F.col(low)), F.lit(0.0))
 
-    return placed.groupBy("car_name", "issue", "upload_date").agg(
+    # A series is short, so one shuffle by series serves this grouping and the windows that follow.
+    return placed.repartition("car_name", "issue").groupBy("car_name", "issue", "upload_date").agg(
         F.try_divide(F.sum(scaled("sv", "nv", "low_v", "high_v")), F.sum("n")).alias("avg_log_view"),
         F.sum(scaled("sl", "nl", "low_l", "high_l")).alias("sum_log_like"),
         F.sum("n").alias("n_posts"))

@@ -16,29 +16,38 @@ def _over(keys: list[str], order: str):
     return Window.partitionBy(*keys).orderBy(order)
 
 
-def ema(df: DataFrame, keys: list[str], order: str, col: str, alpha: float, out: str) -> DataFrame:
-    """Exponential moving average that starts with the first value of a series.
+def ema(df: DataFrame, keys: list[str], order: str, columns: dict[str, tuple[str, float]]) -> DataFrame:
+    """Exponential moving averages that start with the first value of a series.
 
-    With ``q = 1 - alpha`` the average is ``q^i * sum(w_j * v_j * q^-j)``, a running sum.  ``q^-j``
-    grows, so long series are cut into stretches short enough for doubles.  A stretch needs only the
-    result at the end of the one before: the weight of older stretches is below 1e-200.
+    ``columns`` maps an output name to (input column, alpha); all averages share one pass.  With
+    ``q = 1 - alpha`` the average is ``q^i * sum(w_j * v_j * q^-j)``, a running sum.  ``q^-j`` grows, so
+    long series are cut into stretches short enough for doubles.  A stretch needs only the result at the
+    end of the one before: the weight of older stretches is below 1e-17.
     """
-    if not 0 < alpha <= 1:
+    rates = [alpha for _, alpha in columns.values() if alpha < 1]
+    if any(not 0 < alpha <= 1 for _, alpha in columns.values()):
         raise ValueError("alpha must be above 0 and at most 1")
-    if alpha == 1:
-        return df.withColumn(out, F.col(col).cast("double"))
-    q = 1.0 - alpha
-    stretch = max(1, int(500 / -math.log(q)))
+    stretch = min([int(500 / -math.log(1 - alpha)) for alpha in rates], default=1) or 1
+    if any((1 - alpha) ** stretch > 1e-17 for alpha in rates):  # too different for one stretch length
+        for out, spec in columns.items():
+            df = ema(df, keys, order, {out: spec})
+        return df
     series = _over(keys, order)
     df = df.withColumn("_i", F.row_number().over(series) - 1)
     df = df.withColumns({"_s": F.floor(F.col("_i") / stretch), "_r": (F.col("_i") % stretch)})
     inside = Window.partitionBy(*keys, "_s").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    weight = F.when(F.col("_i") == 0, F.lit(1.0)).otherwise(F.lit(alpha))
-    df = df.withColumn("_local", F.pow(F.lit(q), F.col("_r")) * F.sum(
-        weight * F.col(col) * F.pow(F.lit(q), -F.col("_r"))).over(inside))
-    ended = F.when(F.col("_r") == stretch - 1, F.col("_local"))
-    carried = F.coalesce(F.last(ended, True).over(series.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-    return df.withColumn(out, F.col("_local") + carried * F.pow(F.lit(q), F.col("_r") + 1)).drop("_i", "_s", "_r", "_local")
+    before = series.rowsBetween(Window.unboundedPreceding, -1)
+    local, full = {}, {}
+    for out, (col, alpha) in columns.items():
+        q = F.lit(1.0 - alpha)
+        weight = F.when(F.col("_i") == 0, F.lit(1.0)).otherwise(F.lit(alpha))
+        local[f"_{out}"] = F.pow(q, F.col("_r")) * F.sum(weight * F.col(col) * F.pow(q, -F.col("_r"))).over(inside)
+        ended = F.when(F.col("_r") == stretch - 1, F.col(f"_{out}"))
+        carried = F.coalesce(F.last(ended, True).over(before), F.lit(0.0))
+        full[out] = F.col(f"_{out}") + carried * F.pow(q, F.col("_r") + 1)
+        if alpha == 1:
+            local[f"_{out}"], full[out] = F.col(col).cast("double"), F.col(f"_{out}")
+    return df.withColumns(local).withColumns(full).drop("_i", "_s", "_r", *local)
 
 
 def score(df: DataFrame, features: list[str], out: str = "score") -> DataFrame:

@@ -24,8 +24,7 @@ def feature_triggers(daily: DataFrame, features: list[str], window: int = 10, k:
     """Every day filled, each feature smoothed, their product tested on both sides."""
     columns = [c for c in daily.columns if c != "upload_date"]
     filled = windows.date_spine(daily, [], "upload_date", columns)
-    for c in features:
-        filled = windows.ema(filled, [], "upload_date", c, alpha, f"ema_{c}")
+    filled = windows.ema(filled, [], "upload_date", {f"ema_{c}": (c, alpha) for c in features})
     product = windows.score(filled, [f"ema_{c}" for c in features], "mul")
     return windows.detect_triggers(product, [], "upload_date", "mul", window, k, ddof=1, two_sided=True)
 

@@ -41,8 +41,7 @@ def labelled_posts(posts: DataFrame, asof: str) -> DataFrame:
 def interest_series(posts: DataFrame, asof: str, alpha: float = 0.05, beta: float = 0.02) -> DataFrame:
     """Daily interest score per (car, issue)."""
     daily = aggregates.daily_features_in_one_pass(labelled_posts(posts, asof))
-    smooth = windows.ema(daily, SERIES, "upload_date", "avg_log_view", alpha, "ema_view")
-    smooth = windows.ema(smooth, SERIES, "upload_date", "sum_log_like", beta, "ema_like")
+    smooth = windows.ema(daily, SERIES, "upload_date", {"ema_view": ("avg_log_view", alpha), "ema_like": ("sum_log_like", beta)})
     return windows.score(smooth, ["ema_view", "ema_like"]).select(*SERIES, "upload_date", "score", "n_posts")
 
 
