@@ -128,9 +128,9 @@ def a07(spark, sf):
 PAGE_RULES = {"title": "article h1", "body": "article p"}
 
 
-@query("a08_page_articles", """SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(
+@query("a08_page_articles", """SELECT page_id, trim(regexp_replace(regexp_replace(replace(replace(replace(replace(
     regexp_replace(regexp_extract(html, '(?s)<article><h1>(.*?)</h1>', 1), '<[^>]*>', '', 'g'),
-    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&'), '\\s+', ' ', 'g')) AS title FROM pages""")
+    '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;?', '&', 'g'), '\\s+', ' ', 'g')) AS title FROM pages""")
 def a08(spark, sf):
     found = pages.extract_pages(V.table(spark, sf, "pages").select("page_id", "html"), "html", PAGE_RULES,
                                 [".ad", "script", "style"])

@@ -193,8 +193,8 @@ def i09(spark, sf):
     return ingest.ingest_news(current, raw).select("url", "title", "issue", "car_name")
 
 
-@query("i10_rising_keywords", """SELECT term, short_count, expected_short_count, long_count, round(poisson_score, 6) AS poisson_score FROM rising
-  ORDER BY poisson_score, term LIMIT 30""", "rising")
+@query("i10_rising_keywords", """SELECT term, short_count, expected_short_count, long_count, round(poisson_score, 6) AS poisson_score
+  FROM (SELECT * FROM rising ORDER BY poisson_score, term LIMIT 30)""", "rising")
 def i10(spark, sf):
     return keywords.rising_keywords(V.doc_posts(spark, sf), stop_words(spark), TODAY)
 

@@ -11,7 +11,7 @@ from signalpost.functions.times import last_days
 from signalpost.functions.values import first_url
 from signalpost.operators.aggregates import latest_trigger, today_summary
 from signalpost.plans.interest import explode_issues
-from signalpost.scale import name_matches, salted_join, substrings
+from signalpost.scale import listed_join, name_matches, salted_join, substrings
 
 TODAY_DAYS, HOT_DAYS, ALERT_DAYS = 5, 10, 5
 
@@ -48,8 +48,8 @@ def case_news(cases: DataFrame, news: DataFrame, asof: str, days: int = 90) -> D
     named = named.withColumn("_cell", F.floor(F.col("_day") / width)).withColumn(
         "_part", F.explode(substrings(F.col("car_name"), 64)))
     left = named.withColumnsRenamed({"issue": "recommend_issue", "_part": "recommend_car_name",
-                                     "car_name": "news_car_name", "upload_date": "news_date"}).hint("merge")
-    joined = salted_join(left, cells, ["recommend_car_name", "recommend_issue", "_cell"], F.col("url"))
+                                     "car_name": "news_car_name", "upload_date": "news_date"})
+    joined = listed_join(left, cells, ["recommend_car_name", "recommend_issue", "_cell"], F.col("url"))
     joined = joined.filter(F.col("_day").between(F.col("_from"), F.col("_from") + days))
     return joined.select("recommend_car_name", "recommend_issue", "recommend_start_date", "url", "news_car_name", "news_date",
                          shift_date(asof, F.col("news_date"), F.col("recommend_start_date")).alias("chart_date"))

@@ -9,6 +9,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SALTS = 16
+# A table up to these limits may be sent to every task.
+SMALL_ROWS, SMALL_BYTES = 100_000, 32 << 20
+
+
+def is_small(df: DataFrame) -> bool:
+    """Measured check that a table may be broadcast."""
+    width = F.lit(16 * len(df.columns))
+    for field in df.schema:
+        if field.dataType.typeName() == "string":
+            width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
+    rows, size = df.limit(SMALL_ROWS + 1).agg(F.count("*"), F.sum(width)).first()
+    return rows <= SMALL_ROWS and (size or 0) <= SMALL_BYTES
+
+
+def listed_join(listed: DataFrame, other: DataFrame, on: list[str], spread: Column) -> DataFrame:
+    """Inner join of a side that was multiplied by listing parts of its values.
+
+    The other side is broadcast when it is measured to be small, so that parts without a partner end
+    where they are made.  Beyond that both sides are shuffled, salted, and sorted.
+    """
+    if is_small(other):
+        return listed.join(F.broadcast(other), on)
+    return salted_join(listed.hint("merge"), other, on, spread)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread: Column,
@@ -65,25 +88,26 @@ def name_matches(texts: DataFrame, text: str, names: DataFrame, name: str, max_l
     produced.  A name longer than ``max_length`` is compared by its first ``max_length`` characters
     and then in full.
     """
-    parts = texts.select(text).distinct().withColumn("_part", F.explode(substrings(F.col(text), max_length))).hint("merge")
+    parts = texts.select(text).distinct().withColumn("_part", F.explode(substrings(F.col(text), max_length)))
     heads = names.select(name).distinct().withColumn("_part", F.substring(F.col(name), 1, max_length))
-    return parts.join(heads, "_part").filter(F.contains(F.col(text), F.col(name))).drop("_part")
+    return listed_join(parts, heads, ["_part"], F.col(text)).filter(F.contains(F.col(text), F.col(name))).drop("_part")
 
 
-def contains_join(texts: DataFrame, key: str, text: str, words: DataFrame, word: str, gram: int = 4,
-                  salts: int = SALTS) -> DataFrame:
+def contains_join(texts: DataFrame, key: str, text: str, words: DataFrame, word: str, gram: int = 4) -> DataFrame:
     """Distinct pairs (key, word) where a long text contains the word, for word tables of any size.
 
     A word is found by its first ``gram`` characters, which every text that contains it also has;
-    the full word is compared afterwards.  Only keys and hashes of the grams are shuffled.  ``key`` is
-    unique in ``texts``.
+    the full word is compared afterwards.  Only keys and hashes of the grams leave their task.  ``key``
+    is unique in ``texts``.
     """
     heads = words.select(word).distinct().filter(F.length(word) > 0).withColumn(
         "_gram", F.xxhash64(F.substring(word, 1, gram)))
-    runs = F.concat(*[F.regexp_extract_all(F.col(text), F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)) for n in range(1, gram + 1)])
+    sizes = heads.agg(F.collect_set(F.least(F.length(word), F.lit(gram)))).scalar()  # at most ``gram`` numbers
+    runs = F.flatten(F.transform("_sizes", lambda n: F.regexp_extract_all(
+        F.col(text), F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))")), F.lit(1))))
     hashes = F.array_distinct(F.transform(runs, lambda g: F.xxhash64(g)))
-    grams = texts.select(key, F.explode(hashes).alias("_gram")).hint("merge")
-    pairs = salted_join(grams, heads, ["_gram"], F.col(key), salts=salts).select(key, word)
+    grams = texts.withColumn("_sizes", sizes).select(key, F.explode(hashes).alias("_gram"))
+    pairs = listed_join(grams, heads, ["_gram"], F.col(key)).select(key, word)
     return pairs.join(texts.select(key, text), key).filter(F.contains(F.col(text), F.col(word))).select(key, word).distinct()
 
 
