@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from catalog import views as V
 from catalog.base import query, view
 from signalpost.functions.values import has_label
-from signalpost.operators import aggregates
+from signalpost.operators import aggregates, tables
 from signalpost.plans import interest
 from signalpost.schemas import CRAWL
 from signalpost.session import work_folder
@@ -37,7 +37,7 @@ def h01(spark, sf):
         sinks.write_csv(raw.filter(_in_wave(wave)).select(*CRAWL.names), f"{root}/incoming", mode="append")
         ingest.ingest_stream(ingest.crawl_stream(spark, f"{root}/incoming/*.csv"), f"{root}/table", f"{root}/state",
                              V.POST_DICTIONARY, V.URL_RULES, V.ALIASES)
-    return ingest.post_table(spark, f"{root}/table").select(
+    return tables.read_days(spark, f"{root}/table").select(
         "url", "title", "car_name", "comments", "num_views", "num_likes")
 
 

@@ -38,8 +38,8 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("c"), (F.col("user_id") % 3).cast("string")).alias("community"),
         F.concat(F.lit("car"), (F.col("user_id") % 6).cast("string")).alias("car_name"),
         F.when(F.col("event_id") % 10 == 3, F.lit("[]"))
-        .when(F.col("event_id") % 5 == 0, F.format_string('["%s","recall"]', "event_type"))
-        .otherwise(F.format_string('["%s"]', "event_type")).alias("issue"),
+        .when(F.col("event_id") % 5 == 0, F.concat(F.lit('["'), F.col("event_type"), F.lit('","recall"]')))
+        .otherwise(F.concat(F.lit('["'), F.col("event_type"), F.lit('"]'))).alias("issue"),
         F.round(F.col("value") * 100).cast("bigint").alias("num_views"),
         F.get_json_object("props", "$.k").cast("bigint").alias("num_likes"))
 
@@ -80,7 +80,7 @@ def long_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("url"),
         F.to_date("o_orderdate").alias("upload_date"), F.lit("12:00:00").alias("upload_time"),
         F.concat(F.lit("c"), (F.col("o_custkey") % 3).cast("string")).alias("community"),
-        F.col("o_orderpriority").alias("car_name"), F.format_string('["%s"]', "o_orderstatus").alias("issue"),
+        F.col("o_orderpriority").alias("car_name"), F.concat(F.lit('["'), F.col("o_orderstatus"), F.lit('"]')).alias("issue"),
         F.round("o_totalprice").cast("bigint").alias("num_views"), (F.col("o_custkey") % 100).alias("num_likes"))
 
 

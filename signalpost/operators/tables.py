@@ -47,6 +47,32 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: list[str], update_cols
     return merged.select(*[F.col(c) if c in keys else value(c) for c in current.columns])
 
 
+def upsert_days(target: str, incoming: DataFrame, keys: list[str], update_cols: list[str] | None, date: str,
+                first: bool = False) -> None:
+    """Upsert into a Parquet table kept in one folder per day.
+
+    Of the table only the keys are read, to find the days that hold a known key; those days and the
+    days of the new rows are read in full and rewritten, all others stay as they are.
+    """
+    spark = incoming.sparkSession
+    incoming = cut(incoming.withColumn("day", F.coalesce(F.col(date).cast("string"), F.lit("unknown"))))
+    if first:
+        incoming.write.mode("overwrite").partitionBy("day").parquet(target)
+        return
+    current = spark.read.parquet(target).withColumn("day", F.col("day").cast("string"))
+    known = current.select(*keys, "day").join(incoming.select(*keys), keys, "left_semi")
+    days = known.select("day").unionByName(incoming.select("day")).distinct()
+    # one row per calendar day at most, so it can be sent to every task; it prunes the folders that are read
+    touched = current.join(F.broadcast(days), "day", "left_semi")
+    merged = cut(upsert(touched.select(*incoming.columns), incoming, keys, update_cols))
+    merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target)
+
+
+def read_days(spark, target: str) -> DataFrame:
+    """The table kept by ``upsert_days``."""
+    return spark.read.parquet(target).drop("day")
+
+
 def merge_into(spark, target: str, incoming: DataFrame, keys: list[str], update_cols: list[str]) -> None:
     """The same upsert on a catalog table whose format supports row-level changes."""
     on = F.lit(True)
@@ -59,10 +85,15 @@ def merge_into(spark, target: str, incoming: DataFrame, keys: list[str], update_
      .merge())
 
 
-def insert_ignore(current: DataFrame, incoming: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """Add rows whose key is new; of several new rows with one key the first by ``order`` stays."""
+def new_rows(current: DataFrame, incoming: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Rows whose key is new, to be appended; of several rows with one key the first by ``order`` stays."""
     fresh = top_k(incoming, keys, order, 1).join(current.select(*keys), keys, "left_anti")
-    return current.unionByName(fresh.select(*current.columns))
+    return fresh.select(*current.columns)
+
+
+def insert_ignore(current: DataFrame, incoming: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
+    """Table after an insert that leaves known keys alone."""
+    return current.unionByName(new_rows(current, incoming, keys, order))
 
 
 def overlay(base: DataFrame, patch: DataFrame, key: str, cols: list[str]) -> DataFrame:

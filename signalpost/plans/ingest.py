@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from signalpost.functions import text as texts
 from signalpost.functions import values
 from signalpost.functions.times import date_part_text
-from signalpost.operators.tables import dedupe_first, insert_ignore, top_k, upsert
+from signalpost.operators.tables import dedupe_first, insert_ignore, upsert, upsert_days
 from signalpost.scale import contains_join
 
 COUNTER_COLS = ["comments", "num_views", "num_likes"]
@@ -65,6 +65,12 @@ def ingest_posts(current: DataFrame, raw: DataFrame, dictionary, url_rules, alia
     return upsert(current, incoming, ["url"], COUNTER_COLS)
 
 
+def ingest_into(target: str, raw: DataFrame, dictionary, url_rules, aliases, first: bool = False) -> None:
+    """The same on a stored table, rewriting only the days it touches."""
+    upsert_days(target, post_rows(clean_posts(raw, dictionary, url_rules, aliases)), ["url"], COUNTER_COLS,
+                "upload_date", first)
+
+
 def merge_ranges(parts: list[DataFrame], ties: tuple[str, ...] = ("Url",)) -> DataFrame:
     """Range files of one (community, car) as one table in order of time."""
     merged = parts[0]
@@ -81,7 +87,3 @@ def ingest_news(current: DataFrame, raw: DataFrame, reply: str = "reply") -> Dat
         "_r.is_trigger", "url")
     fresh = texts.relevant_news(df).withColumnRenamed("topic", "issue")
     return insert_ignore(current, fresh, ["url"], [F.col("upload_date"), F.col("upload_time"), F.col("title")])
-
-
-def one_per_url(df: DataFrame, order: list) -> DataFrame:
-    return top_k(df, ["url"], order, 1)

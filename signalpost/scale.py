@@ -133,9 +133,12 @@ def running_sum(df: DataFrame, keys: list[str], position: str, value: str, out:
     cut = df.withColumn("_stretch", F.floor(F.col(position) / span))
     totals = cut.groupBy(*keys, "_stretch").agg(F.sum(value).alias("_total"))
     before = Window.partitionBy(*keys).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(*keys, "_stretch",
+    starts = totals.select(*[F.col(k).alias(f"_key_{k}") for k in keys], F.col("_stretch").alias("_at"),
                            F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_start"))
+    same = F.col("_stretch").eqNullSafe(F.col("_at"))
+    for k in keys:  # rows without a key count as one key
+        same = same & F.col(k).eqNullSafe(F.col(f"_key_{k}"))
     inside = Window.partitionBy(*keys, "_stretch").orderBy(position).rowsBetween(Window.unboundedPreceding, 0)
-    return (cut.join(starts, [*keys, "_stretch"])
+    return (cut.join(starts, same)
             .withColumn(out, F.col("_start") + F.sum(value).over(inside))
-            .drop("_stretch", "_start"))
+            .drop("_stretch", "_start", "_at", *[f"_key_{k}" for k in keys]))

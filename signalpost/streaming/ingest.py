@@ -3,20 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from signalpost.operators.tables import upsert
-from signalpost.plans.ingest import COUNTER_COLS, clean_posts, post_rows
+from signalpost.plans.ingest import ingest_into
 from signalpost.schemas import CRAWL
-from signalpost.session import cut
 from signalpost.sources.crawl import CSV
 
 
-def _day():
-    return F.coalesce(F.col("upload_date").cast("string"), F.lit("unknown"))
-
-
-
 def crawl_stream(spark: SparkSession, glob: str, archive: str | None = None, files_per_batch: int = 1000) -> DataFrame:
     """Stream of crawl rows.  With ``archive`` a consumed file is moved there by a later batch."""
     reader = spark.readStream.schema(CRAWL).options(**CSV).option("maxFilesPerTrigger", files_per_batch)
@@ -25,38 +17,14 @@ def crawl_stream(spark: SparkSession, glob: str, archive: str | None = None, fil
     return reader.csv(glob)
 
 
-def post_table(spark: SparkSession, target: str) -> DataFrame:
-    """The post table kept by ``ingest_stream``."""
-    return spark.read.parquet(target).drop("day")
-
-
-def apply_batch(batch: DataFrame, target: str, dictionary, url_rules, aliases, first: bool) -> None:
-    """Upsert one batch of crawl rows into a table kept by day.
-
-    Only the days that hold a known URL of the batch or get a new one are read in full and rewritten.
-    Repeating a batch changes nothing, as an upsert of the same rows gives the same table.
-    """
-    spark = batch.sparkSession
-    incoming = cut(post_rows(clean_posts(batch, dictionary, url_rules, aliases)).withColumn("day", _day()))
-    if first:
-        incoming.write.partitionBy("day").parquet(target)
-        return
-    current = spark.read.parquet(target).withColumn("day", F.col("day").cast("string"))
-    known = current.select("url", "day").join(incoming.select("url"), "url", "left_semi")
-    days = known.select("day").unionByName(incoming.select("day")).distinct()
-    # one row per calendar day at most, so it can be sent to every task and prunes the folders that are read
-    touched = current.join(F.broadcast(days), "day", "left_semi")
-    merged = cut(upsert(touched.select(*incoming.columns), incoming, ["url"], COUNTER_COLS))
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target))
-
-
 def ingest_stream(stream: DataFrame, target: str, checkpoint: str, dictionary, url_rules, aliases):
     """Run all available files through cleaning, deduplication and upsert; returns the finished query.
 
-    With a row-level table format ``operators.tables.merge_into`` takes the place of ``apply_batch``.
+    Repeating a batch changes nothing, as an upsert of the same rows gives the same table.  With a
+    row-level table format ``operators.tables.merge_into`` takes the place of ``ingest_into``.
     """
     def apply(batch: DataFrame, number: int) -> None:
-        apply_batch(batch, target, dictionary, url_rules, aliases, first=number == 0)
+        ingest_into(target, batch, dictionary, url_rules, aliases, first=number == 0)
 
     query = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
