@@ -246,7 +246,7 @@ V.view("other_series", f"""SELECT list(mean ORDER BY upload_date) AS q, count(*)
 @query("i12_similar_period", f"""SELECT '{BASE_TERM}' AS term, start, round(d, 4) AS distance,
   round((q[1] - list_min(q)) / (list_max(q) - list_min(q)) * (list_max(w) - list_min(w)) + list_min(w), 4) AS first_rescaled FROM (
   SELECT start, q, w, round({V.dtw_sql('w', 'q', 'absolute')}, 9) AS d FROM (
-   SELECT start, n, list(mean) OVER (ORDER BY upload_date ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS w FROM base_series), other_series WHERE start <= n - m)
+   SELECT start, n, list(mean) OVER (ORDER BY upload_date ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS w FROM base_series), other_series WHERE m > 0 AND start <= n - m)
   ORDER BY d, start LIMIT 1""", "base_series", "other_series", digits=4)
 def i12(spark, sf):
     series = cut(keywords.term_series(V.doc_posts(spark, sf), {"title": 5, "body": 2, "comments": 0}, [BASE_TERM, OTHER_TERM]))

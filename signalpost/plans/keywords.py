@@ -76,7 +76,7 @@ def similar_period(series: DataFrame, base: str, other: str, today: str, base_da
                    base_mean: int = 10, other_mean: int = 3, size: int = 10) -> DataFrame:
     """Part of the base term's year that is most like the other term's last days.
 
-    ``series`` has (term, upload_date, weight).  The other term's series is also returned rescaled into
+    ``series`` has (term, upload_date, weight).  Without days of the other term there is no result.  The other term's series is also returned rescaled into
     the range of the best window.
     """
     end = F.to_date(F.lit(today))
@@ -91,5 +91,5 @@ def similar_period(series: DataFrame, base: str, other: str, today: str, base_da
                                          lambda x: x["mean"])).scalar()
     length = query_points.agg(F.count("*")).scalar()
     cut = windows.sliding_windows(smooth(base, base_days, base_mean), ["term"], "upload_date", "mean", size, length)
-    best = best_subsequence(cut, ["term"], query)
+    best = best_subsequence(cut.filter(length > 0), ["term"], query)
     return best.withColumn("_query", query).withColumn("rescaled", rescale(F.col("_query"), F.col("window"))).drop("_query")
