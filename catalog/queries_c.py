@@ -11,7 +11,7 @@ from signalpost.operators import aggregates, similar
 from signalpost.operators.ranges import split_range
 from signalpost.operators.tables import overlay, top_k
 from signalpost.plans import interest, keywords, serving
-from signalpost.scale import interval_join, name_matches
+from signalpost.scale import interval_join, measured_join, name_matches
 
 
 @query("c01_overlay", """SELECT url, CASE WHEN upload_date >= DATE '2024-01-29' THEN num_views * 2 ELSE num_views END AS num_views,
@@ -147,7 +147,7 @@ def c11(spark, sf):
         F.concat(F.lit("car"), (F.col("user_id") % 3).cast("string")).alias("tracked_name")).distinct()
     news = V.news(spark, sf)
     named = name_matches(news, "car_name", tracked, "tracked_name").select("car_name").distinct()
-    return news.join(named, "car_name", "left_semi").select("url", "car_name")
+    return measured_join(news, named, ["car_name"], F.col("url"), "left_semi").select("url", "car_name")
 
 
 @query("c12_new_keys", """SELECT url FROM posts WHERE url NOT IN (SELECT url FROM posts WHERE num_views > 2000)""", "posts")

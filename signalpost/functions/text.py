@@ -7,6 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from signalpost.scale import measured_join
+
 WORD = r"[\p{L}\p{N}]+"
 
 
@@ -69,10 +71,9 @@ def lexicon_count_by_join(df: DataFrame, key: str, cols: list[str], lexicon: Dat
                           out: str) -> DataFrame:
     """The same count for a lexicon kept as a table; every row of ``df`` is kept, ``key`` is unique."""
     text = F.concat_ws(" ", *[F.col(c) for c in cols])
-    hits = (df.select(key, F.explode(F.split(F.trim(text), r"\s+")).alias(word))
-            .groupBy(word, key).agg(F.count("*").alias("_n"))
-            .join(lexicon.select(word).distinct(), word)
-            .groupBy(key).agg(F.sum("_n").alias(out)))
+    tokens = df.select(key, F.explode(F.split(F.trim(text), r"\s+")).alias(word))
+    hits = (measured_join(tokens, lexicon.select(word).distinct(), [word], F.col(key), "left_semi")
+            .groupBy(key).agg(F.count("*").alias(out)))
     return df.join(hits, key, "left").na.fill({out: 0})
 
 
@@ -84,13 +85,10 @@ def terms(text: Column, distinct: bool = True) -> Column:
 
 def weighted_terms(df: DataFrame, weights: dict[str, int], distinct: bool = True) -> DataFrame:
     """One row per term of a row's fields, with the weight of the field; weight 0 leaves a field out."""
-    def weighted(col: str, weight: int) -> Column:
-        return F.transform(terms(F.col(col), distinct),
-                           lambda t: F.struct(t.alias("term"), F.lit(weight).cast("bigint").alias("weight")))
-
-    parts = [weighted(c, w) for c, w in weights.items() if w]
+    fields = F.array(*[F.struct(F.lit(w).cast("bigint").alias("weight"), terms(F.col(c), distinct).alias("_terms"))
+                       for c, w in weights.items() if w])
     kept = [c for c in df.columns if c not in weights]
-    return df.select(*kept, F.inline(F.concat(*parts)))
+    return df.select(*kept, F.inline(fields)).select(*kept, F.explode("_terms").alias("term"), "weight")
 
 
 def parse_reply(col: Column) -> Column:

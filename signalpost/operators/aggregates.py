@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalpost.scale import list_in_parts
+from signalpost.scale import list_in_parts, measured_join
 from signalpost.session import cut
 
 MEASURES = ("view", "like", "log_view", "log_like")
@@ -27,11 +27,10 @@ def with_log(df: DataFrame) -> DataFrame:
 def minmax(df: DataFrame, limits: DataFrame, group: str = "community") -> DataFrame:
     """Measures on a scale of 0 to 1 within their group; null where the group is constant.
 
-    ``limits`` has one row per group.  Spark sends it to every task while it is small and falls
-    back to a skew-aware shuffle join when it is not.
+    ``limits`` has one row per group.
     """
     cols = {"view": "num_views", "like": "num_likes", "log_view": "log_views", "log_like": "log_likes"}
-    joined = df.join(limits, group)
+    joined = measured_join(df, limits, [group], F.xxhash64(*df.columns))
     scaled = {f"normalized_{n}": F.try_divide(F.col(c) - F.col(f"min_{n}"), F.col(f"max_{n}") - F.col(f"min_{n}"))
               for n, c in cols.items()}
     return joined.withColumns(scaled).drop(*[f"{edge}_{n}" for n in cols for edge in ("min", "max")])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalpost.scale import salted_join
+from signalpost.scale import measured_join
 from signalpost.session import cut
 
 
@@ -125,5 +125,5 @@ def load_with_post_id(df: DataFrame, order_cols: list[str], name: str = "post_id
 
 def attach_urls(posts: DataFrame, triggers: DataFrame) -> DataFrame:
     """Posts of trigger days: posts and triggers share (car_name, issue, upload_date)."""
-    return salted_join(posts.select("car_name", "issue", "upload_date", "url"), triggers,
-                       ["car_name", "issue", "upload_date"], F.col("url"))
+    return measured_join(posts.select("car_name", "issue", "upload_date", "url"), triggers,
+                         ["car_name", "issue", "upload_date"], F.col("url"))

@@ -9,7 +9,7 @@ from signalpost.functions import text as texts
 from signalpost.functions import values
 from signalpost.functions.times import date_part_text
 from signalpost.operators.tables import dedupe_first, insert_ignore, upsert, upsert_days
-from signalpost.scale import contains_join
+from signalpost.scale import contains_join, measured_join
 
 COUNTER_COLS = ["comments", "num_views", "num_likes"]
 
@@ -43,7 +43,7 @@ def tag_by_table(posts: DataFrame, key: str, text: str, dictionary: DataFrame) -
     ``dictionary`` has (position, defect_type, keywords); ``key`` is unique in ``posts``.
     """
     keys = dictionary.select("position", "defect_type", F.explode("keywords").alias("keyword"))
-    hits = (contains_join(posts, key, text, keys, "keyword").join(keys, "keyword")
+    hits = (measured_join(contains_join(posts, key, text, keys, "keyword"), keys, ["keyword"], F.col(key))
             .groupBy(key).agg(F.array_sort(F.collect_set(F.struct("position", "defect_type"))).alias("_hits"))
             .select(key, F.to_json(F.transform("_hits", lambda h: h["defect_type"])).alias("issue")))
     return posts.join(hits, key, "left").na.fill({"issue": "[]"})

@@ -11,7 +11,7 @@ from signalpost.functions.times import last_days
 from signalpost.functions.values import first_url
 from signalpost.operators.aggregates import latest_trigger, today_summary
 from signalpost.plans.interest import explode_issues
-from signalpost.scale import listed_join, name_matches, salted_join, substrings
+from signalpost.scale import measured_join, name_matches, substrings
 
 TODAY_DAYS, HOT_DAYS, ALERT_DAYS = 5, 10, 5
 
@@ -24,7 +24,7 @@ def recent_labels(posts: DataFrame, asof: str, days: int = TODAY_DAYS, limit: in
 def with_triggers(exploded: DataFrame, triggers: DataFrame) -> DataFrame:
     """Each label row with all trigger days of its (car, issue)."""
     right = triggers.select("car_name", "issue", F.col("upload_date").alias("trigger_date"))
-    return salted_join(exploded, right, ["car_name", "issue"], F.col("url"), "left")
+    return measured_join(exploded, right, ["car_name", "issue"], F.col("url"), "left")
 
 
 def summary(posts: DataFrame, triggers: DataFrame, asof: str) -> DataFrame:
@@ -49,7 +49,7 @@ def case_news(cases: DataFrame, news: DataFrame, asof: str, days: int = 90) -> D
         "_part", F.explode(substrings(F.col("car_name"), 64)))
     left = named.withColumnsRenamed({"issue": "recommend_issue", "_part": "recommend_car_name",
                                      "car_name": "news_car_name", "upload_date": "news_date"})
-    joined = listed_join(left, cells, ["recommend_car_name", "recommend_issue", "_cell"], F.col("url"))
+    joined = measured_join(left, cells, ["recommend_car_name", "recommend_issue", "_cell"], F.col("url"))
     joined = joined.filter(F.col("_day").between(F.col("_from"), F.col("_from") + days))
     return joined.select("recommend_car_name", "recommend_issue", "recommend_start_date", "url", "news_car_name", "news_date",
                          shift_date(asof, F.col("news_date"), F.col("recommend_start_date")).alias("chart_date"))
@@ -89,7 +89,7 @@ def tracked_news(news: DataFrame, tracked: DataFrame, asof: str, days: int = ALE
     """Recent news that name a tracked car, each once.  ``tracked`` has a column ``tracked_name``."""
     recent = news.filter(last_days(F.col("upload_date"), asof, days))
     named = name_matches(recent, "car_name", tracked, "tracked_name").select("car_name").distinct()
-    return recent.join(named, "car_name", "left_semi")
+    return measured_join(recent, named, ["car_name"], F.col("url"), "left_semi")
 
 
 def trigger_line(link: str) -> Column:

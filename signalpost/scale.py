@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from signalpost.session import cut
+
 SALTS = 16
 # A table up to these limits may be sent to every task.
 SMALL_ROWS, SMALL_BYTES = 100_000, 32 << 20
@@ -23,15 +25,16 @@ def is_small(df: DataFrame) -> bool:
     return rows <= SMALL_ROWS and (size or 0) <= SMALL_BYTES
 
 
-def listed_join(listed: DataFrame, other: DataFrame, on: list[str], spread: Column) -> DataFrame:
-    """Inner join of a side that was multiplied by listing parts of its values.
+def measured_join(big: DataFrame, small: DataFrame, on: list[str], spread: Column, how: str = "inner") -> DataFrame:
+    """Equi join with a table that is expected, but not known, to be small.
 
-    The other side is broadcast when it is measured to be small, so that parts without a partner end
-    where they are made.  Beyond that both sides are shuffled, salted, and sorted.
+    The table is stored and measured first.  Within the limits it is broadcast, so the big side is not
+    shuffled at all; beyond them both sides are shuffled, salted by ``spread``, and sorted.
     """
-    if is_small(other):
-        return listed.join(F.broadcast(other), on)
-    return salted_join(listed.hint("merge"), other, on, spread)
+    small = cut(small)
+    if is_small(small):
+        return big.join(F.broadcast(small), on, how)
+    return salted_join(big.hint("merge"), small, on, spread, how)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread: Column,
@@ -90,7 +93,7 @@ def name_matches(texts: DataFrame, text: str, names: DataFrame, name: str, max_l
     """
     parts = texts.select(text).distinct().withColumn("_part", F.explode(substrings(F.col(text), max_length)))
     heads = names.select(name).distinct().withColumn("_part", F.substring(F.col(name), 1, max_length))
-    return listed_join(parts, heads, ["_part"], F.col(text)).filter(F.contains(F.col(text), F.col(name))).drop("_part")
+    return measured_join(parts, heads, ["_part"], F.col(text)).filter(F.contains(F.col(text), F.col(name))).drop("_part")
 
 
 def contains_join(texts: DataFrame, key: str, text: str, words: DataFrame, word: str, gram: int = 4) -> DataFrame:
@@ -100,14 +103,14 @@ def contains_join(texts: DataFrame, key: str, text: str, words: DataFrame, word:
     the full word is compared afterwards.  Only keys and hashes of the grams leave their task.  ``key``
     is unique in ``texts``.
     """
-    heads = words.select(word).distinct().filter(F.length(word) > 0).withColumn(
-        "_gram", F.xxhash64(F.substring(word, 1, gram)))
+    heads = cut(words.select(word).distinct().filter(F.length(word) > 0).withColumn(
+        "_gram", F.xxhash64(F.substring(word, 1, gram))))
     sizes = heads.agg(F.collect_set(F.least(F.length(word), F.lit(gram)))).scalar()  # at most ``gram`` numbers
     runs = F.flatten(F.transform("_sizes", lambda n: F.regexp_extract_all(
         F.col(text), F.concat(F.lit("(?s)(?=(.{"), n.cast("string"), F.lit("}))")), F.lit(1))))
     hashes = F.array_distinct(F.transform(runs, lambda g: F.xxhash64(g)))
     grams = texts.withColumn("_sizes", sizes).select(key, F.explode(hashes).alias("_gram"))
-    pairs = listed_join(grams, heads, ["_gram"], F.col(key)).select(key, word)
+    pairs = measured_join(grams, heads, ["_gram"], F.col(key)).select(key, word)
     return pairs.join(texts.select(key, text), key).filter(F.contains(F.col(text), F.col(word))).select(key, word).distinct()
 
 

@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from signalpost import scale
 from tools.compare import compare, connect
 from tools.plans import plan_of
 
@@ -27,6 +28,14 @@ def test_plan_has_no_cross_pairing(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+@pytest.mark.parametrize("name", ["b16_dictionary_tags_by_join", "b23_minmax", "b28_lexicon_count_by_join", "c03_trigger_posts",
+                                  "c06_posts_with_triggers", "c07_case_news", "c11_tracked_news", "h02_stream_daily_features"])
+def test_way_for_tables_too_large_to_broadcast(spark, db, name, monkeypatch):
+    monkeypatch.setattr(scale, "SMALL_ROWS", -1)
+    result = compare(spark, db, name, SF)
+    assert not result.startswith("FAIL"), result
+
+
 def test_entry(spark):
     df = entry.entry(spark)
     assert df.columns == ["car_name", "issue", "upload_date", "score", "n_posts"] and df.count() == 686
