@@ -1,4 +1,4 @@
-"""Sorts, limits, set operations, and the functions that replace the reference's UDFs."""
+"""Sorts, limits, set operations, and the functions that take the place of UDFs."""
 
 from __future__ import annotations
 

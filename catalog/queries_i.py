@@ -156,7 +156,7 @@ def i07(spark, sf):
     mine = stored.select(F.col("monitor_car_name").alias("car_name"), F.col("monitor_issue").alias("issue"),
                          F.from_json("monitor_graph_score_list", "array<struct<upload_date:date,norm_graph_score:double>>").alias("series"))
     chart = serving.aligned(mine, cases)
-    report = interest.trigger_report(posts, ASOF).withColumn("url", F.to_json("url"))
+    report = interest.trigger_report(posts, ASOF, series=s).withColumn("url", F.to_json("url"))
     link = serving.trigger_link(report).select(F.col("car_name").alias("monitor_car_name"), F.col("issue").alias("monitor_issue"),
                                                F.col("url").alias("trigger_url"))
     return chart.join(link, ["monitor_car_name", "monitor_issue"], "left")

@@ -53,9 +53,11 @@ def recent_triggers(series: DataFrame, asof: str, days: int = 90, k: float = 2.1
     return hits.filter(recent).withColumn("is_trigger", F.lit(True))
 
 
-def trigger_report(posts: DataFrame, asof: str, list_limit: int = 10_000, k: float = 2.1) -> DataFrame:
-    """Triggers of the last 90 days with the URLs of their posts."""
-    triggers = recent_triggers(interest_series(posts, asof), asof, k=k).select(*SERIES, "upload_date", "is_trigger", "n_posts")
+def trigger_report(posts: DataFrame, asof: str, list_limit: int = 10_000, k: float = 2.1,
+                   series: DataFrame | None = None) -> DataFrame:
+    """Triggers of the last 90 days with the URLs of their posts; a stored interest series may be given."""
+    series = interest_series(posts, asof) if series is None else series
+    triggers = recent_triggers(series, asof, k=k).select(*SERIES, "upload_date", "is_trigger", "n_posts")
     exploded = explode_issues(posts.select("car_name", "issue", "upload_date", "url").filter(has_label(F.col("issue"))))
     return aggregates.trigger_urls(attach_urls(exploded, triggers), list_limit)
 
