@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalpost.llm import decontam, neardup, pii
+from signalpost.llm import decontam, neardup, packing, pii
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -34,10 +34,21 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         said(F.col("spans")).alias("spans"))
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 QUERIES = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_decontaminate": op5_decontaminate,
     "op8_personal_data": op8_personal_data,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 # Words of a text: pieces between ASCII white space; a set is the distinct runs of four words, or all words of a shorter text.
