@@ -5,13 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalpost.llm import decontam, neardup, packing, pii
+from signalpost.llm import decontam, langid, neardup, packing, pii
+from signalpost.llm.common import fold
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold("doc_id", 4) == 2
+    model = langid.fit(docs.filter(~held_out), "lang", "text", "doc_id", vocabulary("piece_bpe_32k.model"))
+    found = langid.identify(docs.select("doc_id", held_out.alias("held_out"), "text"), model, vocabulary("piece_bpe_32k.model"))
+    return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
@@ -34,17 +43,18 @@ def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
                         said(F.col("spans")).alias("spans"))
 
 
-def tokenizer_path() -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_decontaminate": op5_decontaminate,
     "op8_personal_data": op8_personal_data,
