@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalpost.llm import decontam, langid, neardup, packing, pii
+from signalpost.llm import decontam, langid, neardup, packing, pii, toxicity
 from signalpost.llm.common import fold
 
 
@@ -21,6 +21,13 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.filter(fold("doc_id", 5) != 0))
+    return toxicity.score(docs, model).withColumn("held_out", fold("doc_id", 5) == 0).select(
+        "doc_id", "held_out", "score", "predicted", "n_terms", F.concat_ws(",", "terms").alias("terms"))
+
+
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), size=4, percent=80)
 
@@ -55,6 +62,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_toxicity": op2_toxicity,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_decontaminate": op5_decontaminate,
     "op8_personal_data": op8_personal_data,
