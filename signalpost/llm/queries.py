@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalpost.llm import decontam, langid, neardup, packing, pii, toxicity
+from signalpost.llm import decontam, langid, lm, neardup, packing, pii, toxicity
 from signalpost.llm.common import fold
 
 
@@ -36,6 +36,11 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return lm.score(docs, docs.filter(fold("doc_id", 5) != 1)).withColumn("held_out", fold("doc_id", 5) == 1)
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op4_near_duplicates": op4_near_duplicates,
     "op5_decontaminate": op5_decontaminate,
+    "op6_language_model": op6_language_model,
     "op8_personal_data": op8_personal_data,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
