@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalpost.llm import decontam, langid, lm, neardup, packing, pii, toxicity
+from signalpost.llm import ann, decontam, langid, license, lm, neardup, packing, pii, toxicity
 from signalpost.llm.common import fold
 
 
@@ -41,6 +41,10 @@ def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score(docs, docs.filter(fold("doc_id", 5) != 1)).withColumn("held_out", fold("doc_id", 5) == 1)
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(table(spark, sf_dir, "documents"))
+
+
 def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op9_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))[0]
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
@@ -71,7 +79,9 @@ QUERIES = {
     "op4_near_duplicates": op4_near_duplicates,
     "op5_decontaminate": op5_decontaminate,
     "op6_language_model": op6_language_model,
+    "op7_license_scan": op7_license_scan,
     "op8_personal_data": op8_personal_data,
+    "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
 
