@@ -106,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     rate = F.when(F.col("y") == 1, most_toxic / max(1, sizes.get(1, 0))).otherwise(most_clean / max(1, sizes.get(0, 0)))
     chosen = F.broadcast(known.filter(part < rate))  # bounded by the two parameters
     sample = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).filter("text IS NOT NULL").join(chosen, "id").select("text", "y")
-    sample = stored(sample.repartition(F.xxhash64("text")).dropDuplicates(["text"]), "labelled")
+    sample = stored(sample.dropDuplicates(["text"]), "labelled")
     n = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
