@@ -28,17 +28,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Keep the document with the smallest id of each group of near copies, once; rows without an id stay."""
     found = neardup.near_duplicates(docs).filter("doc_id IS NOT NULL")
     ids = stored(found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows")), "kept")
-    left = docs.join(ids.filter("NOT kept").select("doc_id"), "doc_id", "left_anti").select(*docs.columns)
-    again = ids.filter("kept AND rows > 1").select("doc_id")
-    once = left.join(again, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
-    return left.join(again, "doc_id", "left_anti").select(*docs.columns).union(once)
+    left = measured_join(docs, ids.filter("NOT kept").select("doc_id"), ["doc_id"], F.xxhash64("text"), "left_anti").select(*docs.columns)
+    again = stored(ids.filter("kept AND rows > 1").select("doc_id"), "again")
+    if again.isEmpty():
+        return left
+    once = measured_join(left, again, ["doc_id"], F.xxhash64("text"), "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return measured_join(left, again, ["doc_id"], F.xxhash64("text"), "left_anti").select(*docs.columns).union(once)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that hold no window of a benchmark item."""
     found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
     bad = stored(found.filter("contaminated AND doc_id IS NOT NULL").select("doc_id").distinct(), "contaminated")
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    return measured_join(docs, bad, ["doc_id"], F.xxhash64("text"), "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
