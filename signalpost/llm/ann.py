@@ -111,10 +111,12 @@ def nearest(vectors: np.ndarray, ids: np.ndarray, queries: np.ndarray, query_ids
     for at in range(0, len(queries), rough):
         gaps = ((vectors[None, :, :] - queries[at:at + rough, None, :]) ** 2).sum(axis=2)
         gaps[ids[None, :] == query_ids[at:at + rough, None]] = np.inf
-        best = np.argsort(gaps, axis=1, kind="stable")[:, :k]
+        best = np.argsort(gaps, axis=1, kind="stable")[:, :k + len(ids) - len(np.unique(ids))]
         for i in range(len(best)):
+            seen: set[int] = set()
             for j in best[i]:
-                if np.isfinite(gaps[i, j]):
+                if len(seen) < k and np.isfinite(gaps[i, j]) and ids[j] not in seen:
+                    seen.add(ids[j])
                     out.append((at + i, by_id[j], float(np.sqrt(gaps[i, j]))))
     return out
 
@@ -132,7 +134,7 @@ def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every:
     uses at most ``CALIBRATION`` queries, also chosen by hash, and their true neighbours over all rows.
 
     Vectors that are null, zero, or hold a null or a value that is not finite take no part, nor do null keys and vectors
-    of another length than the most frequent one.  A row is not its own neighbour; rows that repeat a key count as that same row.
+    of another length than the most frequent one.  A row is not its own neighbour; rows that repeat a key count as one, at their smallest distance.
     An empty table gives no rows.
     """
     good = df.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("v")).filter(
@@ -207,5 +209,6 @@ def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every:
                          "score": pa.array([d for _, _, d in found], pa.float64())})
 
     near = dealt.union(wanted).groupBy("leaf", "block").applyInArrow(compare, "query_id bigint, vec_id bigint, score double")
+    near = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     out = _best(near, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
     return out, {"recall": reached, "visits": visits, "leaves": tree.leaves}
