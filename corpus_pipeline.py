@@ -49,9 +49,9 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
         F.struct("doc_id", "text_hash").alias("_row"), F.col("spans").alias("_spans")).distinct()
     rows = docs.withColumn("_row", F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
     rows = measured_join(rows, stored(found, "spans"), ["_row"], F.col("doc_id"), "left")
-    text = F.when(F.col("_spans").isNull(), F.col("text")).otherwise(pii.masked(F.col("text"), F.col("_spans")))
-    count = F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length(text).cast("bigint"))
-    return rows.withColumns({"text": text, "n_chars": count}).select(*docs.columns)
+    rows = rows.withColumn("_text", F.when(F.col("_spans").isNotNull(), pii.masked(F.col("text"), F.col("_spans"))))
+    new = {"text": F.coalesce("_text", "text"), "n_chars": F.coalesce(F.length("_text").cast("bigint"), "n_chars")}
+    return rows.select(*[new[c].alias(c) if c in new else F.col(c) for c in docs.columns])
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
