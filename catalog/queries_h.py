@@ -15,12 +15,15 @@ from signalpost.sources import sinks
 from signalpost.streaming import ingest, totals, triggers
 
 # Arrival of the rows in three waves; every wave is a run of its own that goes on from the stored state.
-BORDERS = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
-WAVES = list(zip(BORDERS, BORDERS[1:]))
+# The first wave has no begin, the last no end, and the last takes rows without a time.
+WAVES = [(None, "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", None)]
 
 
 def _in_wave(wave):
-    return (F.col("ts") >= F.lit(wave[0]).cast("timestamp")) & (F.col("ts") < F.lit(wave[1]).cast("timestamp"))
+    begin, end = (F.lit(x).cast("timestamp") if x else None for x in wave)
+    inside = F.lit(True) if begin is None else F.col("ts") >= begin
+    inside = inside if end is None else inside & (F.col("ts") < end)
+    return inside | F.col("ts").isNull() if end is None else inside
 
 
 view("waves", """SELECT *, CASE WHEN ts < TIMESTAMP '2024-01-11' THEN 1 WHEN ts < TIMESTAMP '2024-01-21' THEN 2 ELSE 3 END AS wave FROM clean_raw""", "clean_raw")
@@ -88,7 +91,8 @@ def h04(spark, sf):
     days = aggregates.daily_features_in_one_pass(aggregates.with_log(posts)).drop("n_posts")
     days = sinks.read_written(days, "closed-days")
     for first, last in WAVES:
-        part = days.filter((F.col("upload_date") >= first) & (F.col("upload_date") < last))
+        inside = F.lit(True) if first is None else F.col("upload_date") >= first
+        part = days.filter(inside if last is None else inside & (F.col("upload_date") < last))
         part.write.mode("append").parquet(f"{root}/days")
         stream = spark.readStream.schema(days.schema).parquet(f"{root}/days")
         out = ingest.run_to_folder(triggers.trigger_stream(stream), f"{root}/out", f"{root}/state")

@@ -107,13 +107,14 @@ def i04_by_day(spark, sf):
     """The stored form: the second crawl rewrites only the days it touches."""
     target = work_folder(spark, "post-table")
     early, late = _two_crawls(spark, sf)
-    ingest.ingest_into(target, early, *RULES, first=True)
+    ingest.ingest_into(target, early, *RULES)
     ingest.ingest_into(target, late, *RULES)
     return tables.read_days(spark, target).select(*POST_COLUMNS)
 
 
 @query("i04_ingest_rejects", """SELECT r."Community" AS community, count(*) AS posts, count(*) FILTER (WHERE c."View" IS NULL) AS bad_views,
-  count(*) FILTER (WHERE c."Like" IS NULL) AS bad_likes FROM raw_posts r JOIN clean_raw c USING (event_id) GROUP BY 1""", "raw_posts", "clean_raw")
+  count(*) FILTER (WHERE c."Like" IS NULL) AS bad_likes,
+  count(*) FILTER (WHERE try_cast(replace(regexp_replace(c."Date", '\\.$', ''), '.', '-') AS DATE) IS NULL) AS bad_dates FROM raw_posts r JOIN clean_raw c USING (event_id) GROUP BY 1""", "raw_posts", "clean_raw")
 def i04_rejects(spark, sf):
     return ingest.rejects(V.raw_posts(spark, sf)).withColumnsRenamed({"Community": "community", "rows": "posts"})
 
@@ -123,10 +124,10 @@ def i05(spark, sf):
     """Range files of all cells, merged per cell and written in order of time."""
     root = work_folder(spark, "merge")
     raw = V.raw_posts(spark, sf)
-    borders = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
+    first, second = (F.coalesce(F.col("ts") >= F.lit(x).cast("timestamp"), F.lit(True)) for x in ("2024-01-11", "2024-01-21"))
     parts = []
-    for i, (a, b) in enumerate(zip(borders, borders[1:])):
-        part = raw.filter((F.col("ts") >= F.lit(a).cast("timestamp")) & (F.col("ts") < F.lit(b).cast("timestamp")))
+    for i, inside in enumerate((~first, first & ~second, second)):
+        part = raw.filter(inside)
         sinks.write_csv(part.select(*CRAWL.names), f"{root}/range{i}")
         parts.append(spark.read.schema(CRAWL).options(**crawl.CSV).csv(f"{root}/range{i}"))
     merged = ingest.merge_ranges(parts).withColumns({"cell_source": F.col("Community"), "cell_car": F.col("CarName")})
@@ -194,6 +195,14 @@ def i08_news(spark, sf):
                         F.sum(F.length("text") - head - 2 * (F.col("entries") - 1)).alias("chars"))
 
 
+@query("i08_trigger_alerts", """SELECT 0 AS message, count(*) AS entries, '2024-01-20 00:00 triggers' AS subject,
+  count(*) || ' entries' || chr(10) || chr(10) || string_agg(car_name || ' - ' || issue || chr(10) ||
+    'http://charts/?car_name=' || car_name || '&issue=' || issue, chr(10) || chr(10) ORDER BY car_name, issue, trigger_date) AS text
+  FROM triggers WHERE trigger_date >= DATE '2024-01-20' - 5 HAVING count(*) > 0""", "triggers")
+def i08_triggers(spark, sf):
+    return serving.trigger_alerts(V.dated_triggers(spark, sf), "http://charts/?", "2024-01-20 00:00", per_message=1_000_000)
+
+
 V.view("news_replies", """SELECT 'n' || (event_id // 2) AS url, CAST(ts AS DATE) AS upload_date, strftime(ts, '%H:%M') AS upload_time, 'News ' || event_id AS title,
   car_name, topic AS issue, summary FROM replies WHERE is_trigger AND lower(topic) <> 'none'""", "replies")
 

@@ -246,9 +246,11 @@ def dated_triggers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def trigger_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Triggers with one row per URL."""
+    from signalpost.functions.times import last_days
     from signalpost.functions.values import has_label
     from signalpost.operators.tables import attach_urls
-    p = posts(spark, sf_dir).select("car_name", "issue", "upload_date", "url").filter(has_label(F.col("issue")))
+    recent = posts(spark, sf_dir).filter(last_days(F.col("upload_date"), ASOF, 90, closed=True))
+    p = recent.select("car_name", "issue", "upload_date", "url").filter(has_label(F.col("issue")))
     return attach_urls(interest.explode_issues(p), dated_triggers(spark, sf_dir))
 
 

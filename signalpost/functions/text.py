@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from signalpost.scale import measured_join
 
 WORD = r"[\p{L}\p{N}]+"
+BLANKS = r"(?U)\s+"  # all blanks of Unicode, not of ASCII alone
 
 
 def words(values: list[str]) -> Column:
@@ -28,7 +29,9 @@ def tag_issues(text: Column, dictionary: list[tuple[str, list[str]]]) -> Column:
 
 
 def any_keyword(cols: list[Column], keywords: list[str]) -> Column:
-    """Any keyword in any column, letters A-Z in either case."""
+    """Any keyword in any column, letters A-Z in either case; without keywords no row."""
+    if not keywords:
+        return F.lit(False)
     pattern = "(?i)" + "|".join(re.escape(k) for k in keywords)
     found = F.lit(False)
     for col in cols:
@@ -62,8 +65,8 @@ def lexicon_count(cols: list[Column], lexicon: list[str]) -> Column:
     """Blank-separated tokens that are in the lexicon, over several columns."""
     total = F.lit(0)
     for col in cols:
-        tokens = F.split(F.trim(F.coalesce(col, F.lit(""))), r"\s+")
-        total = total + F.size(F.filter(tokens, lambda t: F.array_contains(words(lexicon), t)))
+        tokens = F.split(F.coalesce(col, F.lit("")), BLANKS)
+        total = total + F.size(F.filter(tokens, lambda t: (t != "") & F.array_contains(words(lexicon), t)))
     return total.cast("bigint")
 
 
@@ -71,7 +74,7 @@ def lexicon_count_by_join(df: DataFrame, key: str, cols: list[str], lexicon: Dat
                           out: str) -> DataFrame:
     """The same count for a lexicon kept as a table; every row of ``df`` is kept, ``key`` is unique."""
     text = F.concat_ws(" ", *[F.col(c) for c in cols])
-    tokens = df.select(key, F.explode(F.split(F.trim(text), r"\s+")).alias(word))
+    tokens = df.select(key, F.explode(F.split(text, BLANKS)).alias(word)).filter(F.col(word) != "")
     hits = (measured_join(tokens, lexicon.select(word).distinct(), [word], F.col(key), "left_semi")
             .groupBy(key).agg(F.count("*").alias(out)))
     return df.join(hits, key, "left").na.fill({out: 0})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -47,25 +48,38 @@ def upsert(current: DataFrame, incoming: DataFrame, keys: list[str], update_cols
     return merged.select(*[F.col(c) if c in keys else value(c) for c in current.columns])
 
 
-def upsert_days(target: str, incoming: DataFrame, keys: list[str], update_cols: list[str] | None, date: str,
-                first: bool = False) -> None:
-    """Upsert into a Parquet table kept in one folder per day.
+def _stored_days(spark, target: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(target).withColumn("day", F.col("day").cast("string"))
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+
+
+def upsert_days(target: str, incoming: DataFrame, keys: list[str], update_cols: list[str] | None, date: str) -> None:
+    """Upsert into a Parquet table kept in one folder per day; a table that does not exist is created.
 
     Of the table only the keys are read, to find the days that hold a known key; those days and the
-    days of the new rows are read in full and rewritten, all others stay as they are.
+    days of the new rows are read in full and rewritten, all others stay as they are.  The folder of a day that
+    has lost all its rows is removed.
     """
     spark = incoming.sparkSession
     incoming = cut(incoming.withColumn("day", F.coalesce(F.col(date).cast("string"), F.lit("unknown"))))
-    if first:
-        incoming.write.mode("overwrite").partitionBy("day").parquet(target)
+    current = _stored_days(spark, target)
+    if current is None:
+        incoming.write.mode("append").partitionBy("day").parquet(target)
         return
-    current = spark.read.parquet(target).withColumn("day", F.col("day").cast("string"))
-    known = current.select(*keys, "day").join(incoming.select(*keys), keys, "left_semi")
+    known = measured_join(current.select(*keys, "day"), incoming.select(*keys), keys, F.xxhash64(*keys), "left_semi")
     days = known.select("day").unionByName(incoming.select("day")).distinct()
     # one row per calendar day at most, so it can be sent to every task; it prunes the folders that are read
     touched = current.join(F.broadcast(days), "day", "left_semi")
     merged = cut(upsert(touched.select(*incoming.columns), incoming, keys, update_cols))
+    empty = touched.select("day").distinct().join(merged.select("day").distinct(), "day", "left_anti").collect()  # calendar days
     merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(target)
+    for (day,) in empty:
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{target.rstrip('/')}/day={day}")
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def read_days(spark, target: str) -> DataFrame:

@@ -158,12 +158,15 @@ def threads(df: DataFrame, key: str, position: str, is_top: Column, text: str, l
     """Comment threads: a top-level comment opens one, replies follow on new lines.
 
     Replies before the first top-level comment form thread 0.  The thread number is a running sum
-    spread over the comments of a post; a thread of very many comments is given in several parts.
+    spread over the comments of a post; a thread of more than ``limit`` comments is given in several parts, counted
+    from its first comment.
     """
     from signalpost.scale import running_sum
-    marked = df.withColumn("_top", F.when(is_top, 1).otherwise(0))
-    numbered = running_sum(marked, [key], position, "_top", "thread")
-    return (numbered.withColumn("part", F.floor(F.col(position) / limit))
+    marked = df.withColumns({"_top": F.when(is_top, 1).otherwise(0), "_one": F.lit(1)})
+    numbered = running_sum(running_sum(marked, [key], position, "_top", "thread"), [key], position, "_one", "_count")
+    begin = numbered.groupBy(key, "thread").agg(F.min("_count").alias("_begin")).withColumnsRenamed({key: "_key", "thread": "_thread"})
+    numbered = numbered.join(begin, F.col(key).eqNullSafe(F.col("_key")) & F.col("thread").eqNullSafe(F.col("_thread")))
+    return (numbered.withColumn("part", F.floor((F.col("_count") - F.col("_begin")) / limit))
             .groupBy(key, "thread", "part")
             .agg(F.sort_array(F.collect_list(F.struct(position, text))).alias("_c"))
             .select(key, "thread", "part", F.array_join(F.transform("_c", lambda c: c[text]), "\n").alias("text"),

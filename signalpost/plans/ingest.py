@@ -30,11 +30,13 @@ def clean_posts(raw: DataFrame, dictionary: list[tuple[str, list[str]]], url_rul
 
 
 def rejects(raw: DataFrame) -> DataFrame:
-    """Rows whose counters cannot be read, per community."""
+    """Rows whose counters or date cannot be read, per community."""
     bad_view = values.clean_count(values.strip_prefix(F.coalesce("View", F.lit("")))).isNull()
     bad_like = values.clean_count(F.coalesce("Like", F.lit(""))).isNull()
+    day = F.regexp_replace(date_part_text(F.coalesce("Date", F.lit(""))), r"\.$", "")
+    bad_date = F.regexp_replace(day, r"\.", "-").try_cast("date").isNull()
     return raw.groupBy("Community").agg(F.count("*").alias("rows"), F.count_if(bad_view).alias("bad_views"),
-                                        F.count_if(bad_like).alias("bad_likes"))
+                                        F.count_if(bad_like).alias("bad_likes"), F.count_if(bad_date).alias("bad_dates"))
 
 
 def tag_by_table(posts: DataFrame, key: str, text: str, dictionary: DataFrame) -> DataFrame:
@@ -50,10 +52,10 @@ def tag_by_table(posts: DataFrame, key: str, text: str, dictionary: DataFrame) -
 
 
 def post_rows(cleaned: DataFrame) -> DataFrame:
-    """Cleaned crawl rows in the columns of the post table."""
+    """Cleaned crawl rows in the columns of the post table; a date that cannot be read is null."""
     day = F.regexp_replace("Date", r"\.$", "")
     return cleaned.select(
-        F.to_date(F.regexp_replace(day, r"\.", "-")).alias("upload_date"), F.col("Time").alias("upload_time"),
+        F.regexp_replace(day, r"\.", "-").try_cast("date").alias("upload_date"), F.col("Time").alias("upload_time"),
         F.col("Title").alias("title"), F.col("Body").alias("body"), F.col("Comment").alias("comments"),
         F.col("View").alias("num_views"), F.col("Like").alias("num_likes"), F.col("Community").alias("community"),
         F.col("CarName").alias("car_name"), F.col("Issue").alias("issue"), F.col("Url").alias("url"))
@@ -65,10 +67,10 @@ def ingest_posts(current: DataFrame, raw: DataFrame, dictionary, url_rules, alia
     return upsert(current, incoming, ["url"], COUNTER_COLS)
 
 
-def ingest_into(target: str, raw: DataFrame, dictionary, url_rules, aliases, first: bool = False) -> None:
+def ingest_into(target: str, raw: DataFrame, dictionary, url_rules, aliases) -> None:
     """The same on a stored table, rewriting only the days it touches."""
     upsert_days(target, post_rows(clean_posts(raw, dictionary, url_rules, aliases)), ["url"], COUNTER_COLS,
-                "upload_date", first)
+                "upload_date")
 
 
 def merge_ranges(parts: list[DataFrame], ties: tuple[str, ...] = ("Url",)) -> DataFrame:
@@ -83,7 +85,7 @@ def ingest_news(current: DataFrame, raw: DataFrame, reply: str = "reply") -> Dat
     """New state of the news table: model replies are read, irrelevant news dropped, known URLs kept."""
     df = raw.na.fill("", ["upload_date", "upload_time", "title", "body", "url"])
     df = df.withColumn("_r", texts.parse_reply(F.col(reply))).select(
-        F.to_date("upload_date").alias("upload_date"), "upload_time", "title", "_r.car_name", "_r.topic", "_r.summary",
+        F.col("upload_date").try_cast("date").alias("upload_date"), "upload_time", "title", "_r.car_name", "_r.topic", "_r.summary",
         "_r.is_trigger", "url")
     fresh = texts.relevant_news(df).withColumnRenamed("topic", "issue")
     return insert_ignore(current, fresh, ["url"], [F.col("upload_date"), F.col("upload_time"), F.col("title")])

@@ -58,7 +58,8 @@ def trigger_report(posts: DataFrame, asof: str, list_limit: int = 10_000, k: flo
     """Triggers of the last 90 days with the URLs of their posts; a stored interest series may be given."""
     series = interest_series(posts, asof) if series is None else series
     triggers = recent_triggers(series, asof, k=k).select(*SERIES, "upload_date", "is_trigger", "n_posts")
-    exploded = explode_issues(posts.select("car_name", "issue", "upload_date", "url").filter(has_label(F.col("issue"))))
+    recent = posts.filter(last_days(F.col("upload_date"), asof, 90, closed=True))  # triggers lie in these days
+    exploded = explode_issues(recent.select("car_name", "issue", "upload_date", "url").filter(has_label(F.col("issue"))))
     return aggregates.trigger_urls(attach_urls(exploded, triggers), list_limit)
 
 

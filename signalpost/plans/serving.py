@@ -14,10 +14,11 @@ from signalpost.plans.interest import explode_issues
 from signalpost.scale import measured_join, name_matches, substrings
 
 TODAY_DAYS, HOT_DAYS, ALERT_DAYS = 5, 10, 5
+NAME_PART = 64
 
 
-def recent_labels(posts: DataFrame, asof: str, days: int = TODAY_DAYS, limit: int = 5) -> DataFrame:
-    """Posts of the last days, one row per label, at most the first five labels."""
+def recent_labels(posts: DataFrame, asof: str, days: int = TODAY_DAYS, limit: int | None = None) -> DataFrame:
+    """Posts of the last days, one row per label; with ``limit`` the first labels of a post only."""
     return explode_issues(posts.filter(last_days(F.col("upload_date"), asof, days)), limit, "n")
 
 
@@ -37,20 +38,19 @@ def summary(posts: DataFrame, triggers: DataFrame, asof: str) -> DataFrame:
 def case_news(cases: DataFrame, news: DataFrame, asof: str, days: int = 90) -> DataFrame:
     """News of a recommended case: same issue, up to ``days`` after its start, case car named in the news.
 
-    Car names in the news are short, so they are listed by their substrings and meet the case car by
-    equality, together with the issue and the date cell.
+    Car names in the news are listed by their substrings and meet the first ``NAME_PART`` characters of the case
+    car by equality, together with the issue and the date cell; the whole name is compared afterwards.
     """
     width = days + 1
     distinct_cases = cases.select("recommend_car_name", "recommend_issue", "recommend_start_date").distinct()
-    cells = distinct_cases.withColumn("_from", F.unix_date("recommend_start_date")).withColumn(
+    cells = distinct_cases.withColumn("_part", F.substring("recommend_car_name", 1, NAME_PART)).withColumn("_from", F.unix_date("recommend_start_date")).withColumn(
         "_cell", F.explode(F.sequence(F.floor(F.col("_from") / width), F.floor((F.col("_from") + days) / width))))
     named = news.select("url", "issue", "car_name", "upload_date").withColumn("_day", F.unix_date("upload_date"))
     named = named.withColumn("_cell", F.floor(F.col("_day") / width)).withColumn(
-        "_part", F.explode(substrings(F.col("car_name"), 64)))
-    left = named.withColumnsRenamed({"issue": "recommend_issue", "_part": "recommend_car_name",
-                                     "car_name": "news_car_name", "upload_date": "news_date"})
-    joined = measured_join(left, cells, ["recommend_car_name", "recommend_issue", "_cell"], F.col("url"))
-    joined = joined.filter(F.col("_day").between(F.col("_from"), F.col("_from") + days))
+        "_part", F.explode(substrings(F.col("car_name"), NAME_PART)))
+    left = named.withColumnsRenamed({"issue": "recommend_issue", "car_name": "news_car_name", "upload_date": "news_date"})
+    joined = measured_join(left, cells, ["_part", "recommend_issue", "_cell"], F.col("url"))
+    joined = joined.filter(F.contains("news_car_name", "recommend_car_name") & F.col("_day").between(F.col("_from"), F.col("_from") + days))
     return joined.select("recommend_car_name", "recommend_issue", "recommend_start_date", "url", "news_car_name", "news_date",
                          shift_date(asof, F.col("news_date"), F.col("recommend_start_date")).alias("chart_date"))
 
@@ -74,9 +74,11 @@ def lookup(df: DataFrame, requests: DataFrame) -> DataFrame:
 
 
 def trigger_link(triggers: DataFrame) -> DataFrame:
-    """First stored URL of the newest trigger per (car, issue); ``url`` is a list as JSON text."""
-    return triggers.groupBy("car_name", "issue").agg(
-        F.max_by("url", F.struct("upload_date", -F.col("part"))).alias("url")).withColumn("url", first_url(F.col("url")))
+    """First URL of the newest trigger per (car, issue), over all parts of its list; ``url`` is a sorted list as JSON text."""
+    age = F.datediff(F.lit("1970-01-01").cast("date"), F.col("upload_date").cast("date"))
+    first = first_url(F.col("url"))
+    newest = triggers.groupBy("car_name", "issue").agg(F.min(F.struct(age.alias("age"), first.isNull().alias("none"), first.alias("url"))).alias("newest"))
+    return newest.select("car_name", "issue", F.col("newest.url").alias("url"))
 
 
 def hot_list(triggers: DataFrame, asof: str, days: int = HOT_DAYS) -> DataFrame:
@@ -121,3 +123,9 @@ def render_alerts(df: DataFrame, line: Column, kind: str, asof: str, order: list
     body = F.array_join(F.transform("_lines", lambda x: x["_line"]), "\n\n")
     return grouped.select("message", "entries", F.lit(f"{asof} {kind}").alias("subject"),
                           F.concat(F.format_string("%d entries\n\n", "entries"), body).alias("text"))
+
+
+def trigger_alerts(triggers: DataFrame, link: str, asof: str, days: int = ALERT_DAYS, per_message: int = 200) -> DataFrame:
+    """Messages about the triggers of the last days; a day of a (car, issue) is told once."""
+    recent = triggers.filter(last_days(F.col("upload_date"), asof, days)).select("car_name", "issue", "upload_date").distinct()
+    return render_alerts(recent, trigger_line(link), "triggers", asof, ["car_name", "issue", "upload_date"], per_message)

@@ -19,8 +19,11 @@ def is_small(df: DataFrame) -> bool:
     """Measured check that a table may be broadcast."""
     width = F.lit(16 * len(df.columns))
     for field in df.schema:
-        if field.dataType.typeName() == "string":
-            width = width + F.coalesce(F.octet_length(F.col(field.name)), F.lit(0))
+        kind, col = field.dataType.typeName(), F.col(f"`{field.name}`")
+        if kind in ("array", "map", "struct"):
+            col = F.to_json(F.struct(col))
+        if kind in ("string", "binary", "array", "map", "struct"):
+            width = width + F.coalesce(F.octet_length(col), F.lit(0))
     rows, size = df.limit(SMALL_ROWS + 1).agg(F.count("*"), F.sum(width)).first()
     return rows <= SMALL_ROWS and (size or 0) <= SMALL_BYTES
 

@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 from signalpost.schemas import CRAWL
 
 # An empty field is null and a quoted empty field is an empty text: the null mark is one no file holds.
-CSV = {"header": "true", "multiLine": "true", "escape": '"', "nullValue": "\u0000", "ignoreCorruptFiles": "true",
-       "ignoreMissingFiles": "true"}
+CSV = {"header": "true", "multiLine": "true", "escape": '"', "nullValue": "\u0000"}
+# The cells of a crawl may be missing or broken; only their scan passes over such files.
+LENIENT = {**CSV, "ignoreCorruptFiles": "true", "ignoreMissingFiles": "true"}
 
 # Fixed value: layout of an object path; times are yyyyMMddHHmm, as colons are not allowed in paths.
 OBJECT = r"/monitor/([^/]+)/([^/]+)/(\d{8})/(\d{12})_(\d{12})_([^_/]+)_([^/]+?)\.csv"
@@ -32,19 +33,27 @@ def read_crawl_csv(spark: SparkSession, root: str, sources: list[str], cars: lis
     """Rows of every (source, car) object of one time range.
 
     The grid is one glob that Spark lists itself, so missing cells are simply not there; an unreadable
-    file is skipped and an empty grid is an empty table.
+    file is skipped (``files_without_rows`` lists it) and an empty grid is an empty table.
     """
     cells = "{" + ",".join(_escaped(s) for s in sources) + "}"
     names = "{" + ",".join(_escaped(c) for c in cars) + "}"
     glob = crawl_path(root, kind, cells, start, end, names)
     try:
-        return spark.read.schema(schema).options(**CSV).csv(glob)
+        return spark.read.schema(schema).options(**LENIENT).csv(glob)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return spark.createDataFrame([], schema)
         raise
 
 
+def files_without_rows(spark: SparkSession, glob: str, schema: T.StructType = CRAWL) -> DataFrame:
+    """Paths and sizes of the files of a glob that give no row: unreadable ones, and those with a header alone."""
+    there = spark.read.format("binaryFile").load(glob).select("path", "length")
+    read = spark.read.schema(schema).options(**LENIENT).csv(glob).select(F.col("_metadata.file_path").alias("path")).distinct()
+    plain = lambda c: F.regexp_replace(F.regexp_replace(c, "%20", " "), "^file:/+", "/")
+    return there.withColumn("_p", plain("path")).join(read.select(plain("path").alias("_p")), "_p", "left_anti").select("path", "length")
+
+
 def with_path_provenance(df: DataFrame) -> DataFrame:
     """Columns kind, source, range start, range end and car taken from the object path."""
     path = F.regexp_replace(F.col("_metadata.file_path"), "%20", " ")

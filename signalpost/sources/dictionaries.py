@@ -7,9 +7,6 @@ from pyspark.sql import functions as F
 
 from signalpost.schemas import DICTIONARY, KNOWN_CASES
 
-# Fixed value: a keyword dictionary above this many keywords is no longer put into a plan as a literal.
-INLINE_KEYWORDS = 20_000
-
 
 def read_dictionary(spark: SparkSession, path: str, one_document: bool = True) -> DataFrame:
     """Defect dictionary from a JSON array of records; without ``one_document`` an array per line."""
@@ -17,19 +14,11 @@ def read_dictionary(spark: SparkSession, path: str, one_document: bool = True) -
 
 
 def read_known_cases(spark: SparkSession, path: str) -> DataFrame:
-    """Known past cases from a JSON array; news dates become dates."""
+    """Known past cases from a JSON array; news dates become dates, unreadable ones null."""
     raw = spark.read.schema(KNOWN_CASES).option("multiLine", True).json(path)
-    return raw.withColumn("news_dates", F.transform("news_dates", lambda d: F.to_date(d)))
+    return raw.withColumn("news_dates", F.transform("news_dates", lambda d: d.try_cast("date")))
 
 
 def read_word_list(spark: SparkSession, path: str) -> DataFrame:
     """One stripped word per line, empty lines included."""
     return spark.read.text(path).select(F.trim("value").alias("word"))
-
-
-def as_entries(dictionary: DataFrame) -> list[tuple[str, list[str]]]:
-    """Dictionary rows for ``tag_issues``; refuses a table too large for a literal."""
-    keywords = dictionary.agg(F.sum(F.size("keywords"))).first()[0] or 0
-    if keywords > INLINE_KEYWORDS:
-        raise ValueError(f"{keywords} keywords are too many for a literal dictionary")
-    return [(row["defect_type"], list(row["keywords"])) for row in dictionary.take(INLINE_KEYWORDS)]

@@ -24,7 +24,7 @@ def ingest_stream(stream: DataFrame, target: str, checkpoint: str, dictionary, u
     row-level table format ``operators.tables.merge_into`` takes the place of ``ingest_into``.
     """
     def apply(batch: DataFrame, number: int) -> None:
-        ingest_into(target, batch, dictionary, url_rules, aliases, first=number == 0)
+        ingest_into(target, batch, dictionary, url_rules, aliases)
 
     query = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())

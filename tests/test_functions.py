@@ -112,3 +112,34 @@ def test_poisson(spark):
     assert got == pytest.approx([math.lgamma(k + 1) for k in ks], rel=1e-13)
     got = column(spark, [9, 300], lambda c: S.poisson_pmf(c, F.lit(10.0)), "long")
     assert got == pytest.approx([math.exp(k * math.log(10) - 10 - math.lgamma(k + 1)) for k in (9, 300)], rel=1e-9)
+
+
+def test_unicode_blanks_and_empty_keyword_list(spark):
+    from signalpost.functions import text
+    df = spark.createDataFrame([("k", "bad\u3000x\u00a0bad  bad")], "key string, t string")
+    assert df.select(text.lexicon_count([F.col("t")], ["bad"])).first()[0] == 3
+    lexicon = spark.createDataFrame([("bad",)], "word string")
+    assert text.lexicon_count_by_join(df, "key", ["t"], lexicon, "word", "n").first()["n"] == 3
+    assert df.filter(text.any_keyword([F.col("t")], [])).count() == 0
+
+
+def test_threads_are_cut_by_their_own_length(spark):
+    from signalpost.operators import windows
+    df = spark.createDataFrame([("p", n, "top" if n == 9998 else f"r{n}") for n in range(9998, 10002)], "post string, pos bigint, text string")
+    whole = windows.threads(df, "post", "pos", F.col("text") == "top", "text").collect()
+    assert [(r["part"], r["comments"], r["text"]) for r in whole] == [(0, 4, "top\nr9999\nr10000\nr10001")]
+    cut = windows.threads(df, "post", "pos", F.col("text") == "top", "text", limit=3).orderBy("part").collect()
+    assert [(r["part"], r["comments"]) for r in cut] == [(0, 3), (1, 1)]
+
+
+def test_long_case_names_and_links_of_split_lists(spark):
+    from signalpost.plans import serving
+    name = "x" * 70
+    cases = spark.createDataFrame([(name, "e", "2024-01-01")], "recommend_car_name string, recommend_issue string, d string").withColumn(
+        "recommend_start_date", F.to_date("d"))
+    news = spark.createDataFrame([("u", "e", f"a {name} b", "2024-01-10"), ("v", "e", "x" * 69, "2024-01-10")], "url string, issue string, car_name string, d string").withColumn(
+        "upload_date", F.to_date("d"))
+    assert [r["url"] for r in serving.case_news(cases, news, "2024-03-01 00:00").collect()] == ["u"]
+    lists = spark.createDataFrame([("c", "e", "2024-01-02", 0, '["m","n"]'), ("c", "e", "2024-01-02", 1, '["b","z"]'), ("c", "e", "2024-01-01", 0, '["a"]')],
+                                  "car_name string, issue string, upload_date string, part int, url string")
+    assert serving.trigger_link(lists).first()["url"] == "b"

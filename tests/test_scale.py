@@ -80,7 +80,7 @@ def test_threads(spark):
     assert [(r.post, r.thread, r.text) for r in got] == [("p", 1, "q1\nr1\nr2"), ("p", 2, "q2"), ("z", 0, "lost")]
     parts = windows.threads(df, "post", "pos", F.col("role") == "user", "text", limit=2)
     assert sorted((r.post, r.thread, r.part, r.text) for r in parts.collect()) == [
-        ("p", 1, 0, "q1\nr1"), ("p", 1, 1, "r2"), ("p", 2, 1, "q2"), ("z", 0, 0, "lost")]
+        ("p", 1, 0, "q1\nr1"), ("p", 1, 1, "r2"), ("p", 2, 0, "q2"), ("z", 0, 0, "lost")]
 
 
 def test_load_with_post_id_is_dense(spark):
@@ -112,7 +112,7 @@ def test_upsert_days_touches_only_its_days(spark, tmp_path):
     target = str(tmp_path / "posts")
     old = spark.createDataFrame([("a", D1, "t", 1), ("b", D2, "t", 1), ("n", None, "t", 1)], POSTS)
     new = spark.createDataFrame([("b", D3, "new", 2), ("c", D3, "new", 3), ("m", None, "new", 4)], POSTS)
-    tables.upsert_days(target, old, ["url"], ["num_views"], "upload_date", first=True)
+    tables.upsert_days(target, old, ["url"], ["num_views"], "upload_date")
     untouched = sorted((tmp_path / "posts" / "day=2024-01-01").glob("*.parquet"))
     for _ in range(2):
         tables.upsert_days(target, new, ["url"], ["num_views"], "upload_date")
@@ -167,3 +167,17 @@ def test_rejected_counters_are_counted(spark):
 def test_work_folder_is_below_the_shared_one(spark):
     root = spark.sparkContext.getCheckpointDir()
     assert work_folder(spark, "x") != work_folder(spark, "x") and root
+
+
+def test_upsert_days_moves_a_key_and_never_wipes(spark, tmp_path):
+    target = str(tmp_path / "moved")
+    tables.upsert_days(target, spark.createDataFrame([("a", D1, "t", 1), ("b", D2, "t", 1)], POSTS), ["url"], None, "upload_date")
+    tables.upsert_days(target, spark.createDataFrame([("a", D2, "new", 2)], POSTS), ["url"], None, "upload_date")
+    assert rows(tables.read_days(spark, target).select("url", "upload_date", "title", "num_views")) == [("a", D2, "new", 2), ("b", D2, "t", 1)]
+    assert not (tmp_path / "moved" / f"day={D1}").exists()
+
+
+def test_nested_columns_are_measured(spark):
+    from signalpost.scale import is_small
+    wide = spark.range(100).selectExpr("id", "array_repeat(id, 200000) AS a")
+    assert is_small(wide.select("id")) and not is_small(wide)

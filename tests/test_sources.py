@@ -42,7 +42,7 @@ def test_merge_csv_dir(spark, tmp_path):
 
 def test_dictionary_cases_and_words(spark, tmp_path):
     put(tmp_path / "d.json", json.dumps([{"defect_type": "e", "keywords": ["a", "b"]}, {"defect_type": "f", "keywords": []}], indent=2))
-    assert dictionaries.as_entries(dictionaries.read_dictionary(spark, f"{tmp_path}/d.json")) == [("e", ["a", "b"]), ("f", [])]
+    assert [(r.defect_type, r.keywords) for r in dictionaries.read_dictionary(spark, f"{tmp_path}/d.json").select("defect_type", "keywords").collect()] == [("e", ["a", "b"]), ("f", [])]
     put(tmp_path / "k.json", json.dumps([{"car_name": "c", "defect_type": "e", "keywords": [], "news_dates": ["2024-01-05"]}]))
     assert str(dictionaries.read_known_cases(spark, f"{tmp_path}/k.json").first().news_dates[0]) == "2024-01-05"
     put(tmp_path / "w.txt", " bad ", "", "worse")
