@@ -142,25 +142,36 @@ def i06(spark, sf):
     return today(spark, sf).filter("num_posts > 0")
 
 
-@query("i07_chart_dataset", f"""SELECT a.*, t.url AS trigger_url FROM ({ALIGNED}) a LEFT JOIN (
-  SELECT car_name, issue, arg_min(url, (-(upload_date - DATE '1970-01-01'), url)) AS url FROM trigger_urls GROUP BY 1, 2) t
-  ON t.car_name = a.monitor_car_name AND t.issue = a.monitor_issue""", "chart_points", "trigger_urls")
-def i07(spark, sf):
+def chart_tables(spark, sf):
+    """Stored result table of the scoring job, and the trigger report."""
     posts = V.posts(spark, sf)
     s = cut(interest.interest_series(posts, ASOF))
-    stored = interest.recommendation_table(s, interest.similar_cases_of(s, ASOF), ASOF)
-    series = "array<struct<upload_date:string,norm_graph_score:double>>"
-    cases = stored.select("monitor_car_name", "monitor_issue", F.posexplode(F.from_json(
-        "recommend_json", f"array<struct<recommend_car_name:string,recommend_issue:string,recommend_start_date:date,recommend_graph_score_list:{series}>>")))
-    cases = cases.select("monitor_car_name", "monitor_issue", (F.col("pos") + 1).alias("rank"),
-                         F.col("col.recommend_graph_score_list").alias("recommend_graph_score_list"))
-    mine = stored.select(F.col("monitor_car_name").alias("car_name"), F.col("monitor_issue").alias("issue"),
-                         F.from_json("monitor_graph_score_list", "array<struct<upload_date:date,norm_graph_score:double>>").alias("series"))
-    chart = serving.aligned(mine, cases)
-    report = interest.trigger_report(posts, ASOF, series=s).withColumn("url", F.to_json("url"))
-    link = serving.trigger_link(report).select(F.col("car_name").alias("monitor_car_name"), F.col("issue").alias("monitor_issue"),
-                                               F.col("url").alias("trigger_url"))
-    return chart.join(link, ["monitor_car_name", "monitor_issue"], "left")
+    table = interest.recommendation_table(s, interest.similar_cases_of(s, ASOF), ASOF)
+    return table, interest.trigger_report(posts, ASOF, series=s).withColumn("url", F.to_json("url"))
+
+
+CHART_LINK = """(SELECT car_name, issue, arg_min(url, (-(upload_date - DATE '1970-01-01'), url)) AS url FROM trigger_urls GROUP BY 1, 2)"""
+
+
+@query("i07_chart_dataset", f"""SELECT a.*, t.url AS trigger_url FROM ({ALIGNED}) a LEFT JOIN {CHART_LINK} t
+  ON t.car_name = a.monitor_car_name AND t.issue = a.monitor_issue""", "chart_points", "trigger_urls")
+def i07(spark, sf):
+    return serving.chart_dataset(*chart_tables(spark, sf))
+
+
+@query("i07_chart_heads", f"""SELECT m.car_name AS monitor_car_name, m.issue AS monitor_issue, m.labels, s.num_posts, s.total_likes, s.total_views,
+  s.issue_mentions, s.trigger_date, t.url AS trigger_url FROM (
+  SELECT car_name, issue, string_agg(case_car || ' - ' || case_issue || ' (' || CAST(trigger_date AS VARCHAR) || ')', '; ' ORDER BY rank) AS labels FROM ranked
+    WHERE (car_name, upper(issue)) IN (SELECT DISTINCT 'car' || (user_id % 6), upper(event_type) FROM events WHERE event_type <> 'view') GROUP BY 1, 2) m
+  LEFT JOIN ({SUMMARY}) s ON s.car_name = m.car_name AND s.issue = m.issue LEFT JOIN {CHART_LINK} t ON t.car_name = m.car_name AND t.issue = m.issue""",
+       "ranked", "posts_with_text", "trigger_urls")
+def i07_heads(spark, sf):
+    table, report = chart_tables(spark, sf)
+    requests = V.table(spark, sf, "events").filter("event_type <> 'view'").select(
+        F.concat(F.lit("car"), (F.col("user_id") % 6).cast("string")).alias("car_name"), F.initcap("event_type").alias("issue"))
+    heads = serving.chart_heads(table, report, today(spark, sf), requests)
+    return heads.select("monitor_car_name", "monitor_issue", F.array_join("labels", "; ").alias("labels"), "num_posts", "total_likes", "total_views",
+                        "issue_mentions", F.col("trigger_date").cast("string").alias("trigger_date"), "trigger_url")
 
 
 @query("i07_chart_news_lines", """SELECT r.car_name AS monitor_car_name, r.issue AS monitor_issue, r.rank,
@@ -168,13 +179,7 @@ def i07(spark, sf):
   'news: ' || n.car_name || ' - ' || n.issue AS label, count(*) AS news FROM ranked r JOIN news n ON n.issue = r.case_issue
   AND contains(n.car_name, r.case_car) AND n.upload_date BETWEEN r.trigger_date AND r.trigger_date + 90 GROUP BY ALL""", "ranked", "news")
 def i07_lines(spark, sf):
-    found = cut(recommended(spark, sf).drop("recommend_graph_score_list"))
-    lines = serving.case_news(found, V.news(spark, sf), ASOF)
-    label = F.concat(F.lit("news: "), F.col("news_car_name"), F.lit(" - "), F.col("recommend_issue"))
-    counted = lines.groupBy("recommend_car_name", "recommend_issue", "recommend_start_date", "chart_date", label.alias("label")).agg(
-        F.count("*").alias("news"))
-    return found.join(counted, ["recommend_car_name", "recommend_issue", "recommend_start_date"]).select(
-        "monitor_car_name", "monitor_issue", "rank", "chart_date", "label", "news")
+    return serving.chart_news(cut(recommended(spark, sf).drop("recommend_graph_score_list")), V.news(spark, sf), ASOF)
 
 
 @query("i08_hot_list", """SELECT car_name || ' - ' || issue || chr(10) || '(' || CAST(trigger_date AS VARCHAR) || ')' AS line FROM triggers

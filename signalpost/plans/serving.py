@@ -15,6 +15,10 @@ from signalpost.scale import measured_join, name_matches, substrings
 
 TODAY_DAYS, HOT_DAYS, ALERT_DAYS = 5, 10, 5
 NAME_PART = 64
+# Nested columns of the stored result table, as they are read from their JSON text.
+POINTS = "array<struct<upload_date:date,norm_graph_score:double>>"
+CASES = ("array<struct<recommend_car_name:string,recommend_issue:string,recommend_start_date:date,"
+         "recommend_graph_score_list:array<struct<upload_date:string,norm_graph_score:double>>>>")
 
 
 def recent_labels(posts: DataFrame, asof: str, days: int = TODAY_DAYS, limit: int | None = None) -> DataFrame:
@@ -81,6 +85,50 @@ def trigger_link(triggers: DataFrame) -> DataFrame:
     return newest.select("car_name", "issue", F.col("newest.url").alias("url"))
 
 
+def chart_cases(table: DataFrame) -> DataFrame:
+    """Recommended cases in a stored result table by rank, with the label of their line in the chart."""
+    rows = table.select("monitor_car_name", "monitor_issue", F.posexplode(F.from_json("recommend_json", CASES)).alias("_at", "_case"))
+    rows = rows.select("monitor_car_name", "monitor_issue", (F.col("_at") + 1).alias("rank"), "_case.*")
+    return rows.withColumn("label", F.concat("recommend_car_name", F.lit(" - "), "recommend_issue", F.lit(" ("),
+                                             F.col("recommend_start_date").cast("string"), F.lit(")")))
+
+
+def _links_of_charts(triggers: DataFrame) -> DataFrame:
+    return trigger_link(triggers).select(F.col("car_name").alias("monitor_car_name"), F.col("issue").alias("monitor_issue"),
+                                         F.col("url").alias("trigger_url"))
+
+
+def chart_dataset(table: DataFrame, triggers: DataFrame, requests: DataFrame | None = None, k: int = 3) -> DataFrame:
+    """Points of the charts: a stored result table side by side with its cases, and the link of the newest trigger.
+
+    Without ``requests`` (see ``lookup``) every pair has a chart.
+    """
+    chosen = table if requests is None else lookup(table, requests)
+    own = chosen.select(F.col("monitor_car_name").alias("car_name"), F.col("monitor_issue").alias("issue"),
+                        F.from_json("monitor_graph_score_list", POINTS).alias("series"))
+    return aligned(own, chart_cases(chosen), k).join(_links_of_charts(triggers), ["monitor_car_name", "monitor_issue"], "left")
+
+
+def chart_heads(table: DataFrame, triggers: DataFrame, today: DataFrame, requests: DataFrame | None = None) -> DataFrame:
+    """One row per chart: labels of its cases by rank, today's summary of the pair (null without posts) and the link."""
+    chosen = table if requests is None else lookup(table, requests)
+    labels = chart_cases(chosen).groupBy("monitor_car_name", "monitor_issue").agg(
+        F.array_sort(F.collect_list(F.struct("rank", "label")))["label"].alias("labels"))  # k cases at most
+    row = today.withColumnsRenamed({"car_name": "monitor_car_name", "issue": "monitor_issue"})
+    keys = ["monitor_car_name", "monitor_issue"]
+    return (chosen.select(*keys).join(labels, keys, "left").join(row, keys, "left")
+            .join(_links_of_charts(triggers), keys, "left"))
+
+
+def chart_news(cases: DataFrame, news: DataFrame, asof: str) -> DataFrame:
+    """Vertical lines of the charts: news of each case by date and label, with their number."""
+    keys = ["recommend_car_name", "recommend_issue", "recommend_start_date"]
+    label = F.concat(F.lit("news: "), "news_car_name", F.lit(" - "), "recommend_issue")
+    lines = case_news(cases, news, asof).groupBy(*keys, "chart_date", label.alias("label")).agg(F.count("*").alias("news"))
+    return cases.select("monitor_car_name", "monitor_issue", "rank", *keys).join(lines, keys).select(
+        "monitor_car_name", "monitor_issue", "rank", "chart_date", "label", "news")
+
+
 def hot_list(triggers: DataFrame, asof: str, days: int = HOT_DAYS) -> DataFrame:
     """Lines for the hot list."""
     recent = triggers.filter(last_days(F.col("upload_date"), asof, days)).select("car_name", "issue", "upload_date").distinct()
