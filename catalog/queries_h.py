@@ -52,7 +52,10 @@ def _event_stream(spark, sf):
 
 def _labels_of_stream(spark, sf):
     """Labelled posts from a stream of events, in the notation of the posts view."""
-    e = _event_stream(spark, sf)
+    return _labels(_event_stream(spark, sf))
+
+
+def _labels(e):
     labels = F.when(F.col("event_id") % 10 == 3, F.array().cast("array<string>")).when(
         F.col("event_id") % 5 == 0, F.array("event_type", F.lit("recall"))).otherwise(F.array("event_type"))
     return e.select("ts", F.concat(F.lit("c"), (F.col("user_id") % 3).cast("string")).alias("community"),
@@ -82,28 +85,29 @@ def h03(spark, sf):
 V.scoring_views("plain_", "posts", "2030-01-01 00:00")
 
 
-@query("h04_stream_triggers", """SELECT s.car_name, s.issue, CAST(s.upload_date AS VARCHAR) AS upload_date, round(s.score, 6) AS score,
-  t.trigger_date IS NOT NULL AS is_trigger FROM plain_series s LEFT JOIN plain_triggers t
+@query("h04_stream_triggers", f"""SELECT s.car_name, s.issue, CAST(s.upload_date AS VARCHAR) AS upload_date, round(s.score, 6) AS score,
+  t.trigger_date IS NOT NULL AS is_trigger FROM (SELECT * FROM plain_series WHERE {CLOSED}) s LEFT JOIN plain_triggers t
   ON t.car_name = s.car_name AND t.issue = s.issue AND t.trigger_date = s.upload_date""", "plain_series", "plain_triggers")
 def h04(spark, sf):
     root = work_folder(spark, "stream-triggers")
-    posts = interest.explode_issues(V.posts(spark, sf).filter(has_label(F.col("issue"))))
-    days = aggregates.daily_features_in_one_pass(aggregates.with_log(posts)).drop("n_posts")
-    days = sinks.read_written(days, "closed-days")
-    for first, last in WAVES:
-        inside = F.lit(True) if first is None else F.col("upload_date") >= first
-        part = days.filter(inside if last is None else inside & (F.col("upload_date") < last))
-        part.write.mode("append").parquet(f"{root}/days")
-        stream = spark.readStream.schema(days.schema).parquet(f"{root}/days")
-        out = ingest.run_to_folder(triggers.trigger_stream(stream), f"{root}/out", f"{root}/state")
+    limits = _limits(spark, sf)
+    events = V.table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    for wave in WAVES:
+        events.filter(_in_wave(wave)).write.mode("append").parquet(f"{root}/events")
+        stream = spark.readStream.schema(events.schema).parquet(f"{root}/events")
+        out = triggers.trigger_chain(_labels(stream), limits, root)
     return out
 
 
+def _limits(spark, sf):
+    """Snapshot of the community bounds."""
+    posts = interest.explode_issues(V.posts(spark, sf).filter(has_label(F.col("issue"))))
+    return sinks.read_written(aggregates.bounds(aggregates.with_log(posts)), "bounds")
+
+
 @query("h02_stream_daily_features", f"""SELECT car_name, issue, CAST(upload_date AS VARCHAR) AS upload_date, round(avg_log_view, 6) AS avg_log_view,
   round(sum_log_like, 6) AS sum_log_like FROM plain_daily WHERE {CLOSED}""", "plain_daily")
 def h02_features(spark, sf):
     root = work_folder(spark, "stream-features")
-    posts = interest.explode_issues(V.posts(spark, sf).filter(has_label(F.col("issue"))))
-    limits = sinks.read_written(aggregates.bounds(aggregates.with_log(posts)), "bounds")
-    stream = totals.daily_feature_stream(_labels_of_stream(spark, sf), limits)
+    stream = totals.daily_feature_stream(_labels_of_stream(spark, sf), _limits(spark, sf))
     return ingest.run_to_folder(stream, f"{root}/out", f"{root}/state")

@@ -9,7 +9,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from signalpost.streaming.ingest import run_to_folder
+from signalpost.streaming.totals import daily_feature_stream
+
 OUT = "car_name string, issue string, upload_date date, score double, is_trigger boolean"
+DAY = "car_name string, issue string, upload_date date, avg_log_view double, sum_log_like double"
 STATE = "view double, like double, scores array<double>"
 
 
@@ -36,3 +40,14 @@ def trigger_stream(days: DataFrame, alpha: float = 0.05, beta: float = 0.02, win
 
     return days.groupBy("car_name", "issue").applyInPandasWithState(
         step, OUT, STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def trigger_chain(posts: DataFrame, limits: DataFrame, folder: str) -> DataFrame:
+    """Run all available labelled posts through daily features and triggers; returns all scores found so far.
+
+    Both steps keep their output and state below ``folder``, so the next call goes on from there.  A day is scored
+    once the watermark has closed it.
+    """
+    run_to_folder(daily_feature_stream(posts, limits), f"{folder}/days", f"{folder}/days-state")
+    days = posts.sparkSession.readStream.schema(DAY).parquet(f"{folder}/days")
+    return run_to_folder(trigger_stream(days), f"{folder}/triggers", f"{folder}/triggers-state")
