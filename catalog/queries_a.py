@@ -137,7 +137,18 @@ def a08(spark, sf):
     return found.select("page_id", "title")
 
 
-@query("a08_page_bodies")
+def _said(html: str) -> str:
+    """SQL for the visible text of markup without hidden elements: tags out, entities decoded, blanks collapsed."""
+    out = f"regexp_replace({html}, '<[^>]*>', '', 'g')"
+    for entity, sign in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#x27;", "''")):
+        out = f"replace({out}, '{entity}', '{sign}')"
+    return f"trim(regexp_replace(regexp_replace({out}, '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))"
+
+
+@query("a08_page_bodies", f"""SELECT page_id, url, coalesce(nullif(title, ''), 'N/A') AS title,
+  coalesce(nullif(array_to_string(list_filter(list_transform(parts, lambda p: {_said('p')}), lambda p: p <> ''), chr(10)), ''), 'N/A') AS body FROM (
+  SELECT page_id, url, {_said("regexp_extract(html, '(?s)<article><h1>(.*?)</h1>', 1)")} AS title, list_transform(
+    string_split(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<p>')[2:], lambda p: string_split(p, '</p>')[1]) AS parts FROM pages)""")
 def a08_bodies(spark, sf):
     return pages.extract_pages(V.table(spark, sf, "pages").select("page_id", "url", "html"), "html", PAGE_RULES,
                                [".ad", "script", "style"], missing="N/A")

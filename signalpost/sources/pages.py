@@ -15,19 +15,19 @@ HIDDEN = {"script", "style"}
 
 
 class _Fields(HTMLParser):
-    """Texts of the elements that rules name; a rule is ``[inside ]tag[.class]``."""
+    """Texts of the elements that rules name; a rule is ``[inside ]tag[.class]`` or ``[inside ]tag[#id]``."""
 
     def __init__(self, rules: dict[str, str], drop: list[str]):
         super().__init__(convert_charrefs=True)
         self.rules = {name: [self._selector(s) for s in rule.split()] for name, rule in rules.items()}
         self.drop = [self._selector(s) for s in drop]
         self.found: dict[str, list[str]] = {name: [] for name in rules}
-        self.open: list[tuple[str, set[str]]] = []
+        self.open: list[tuple[str, set[str]]] = []  # tag, and its marks: classes with a dot, the id with a hash
 
     @staticmethod
     def _selector(text: str) -> tuple[str, str]:
-        tag, _, css = text.partition(".")
-        return tag, css
+        at = min((text.index(sign) for sign in ".#" if sign in text), default=len(text))
+        return text[:at], text[at:]
 
     @staticmethod
     def _fits(element: tuple[str, set[str]], selector: tuple[str, str]) -> bool:
@@ -45,7 +45,9 @@ class _Fields(HTMLParser):
             return
         if tag == "p":  # a new paragraph ends an open one
             self._close("p")
-        self.open.append((tag, set((dict(attrs).get("class") or "").split())))
+        given = dict(attrs)
+        marks = {f".{c}" for c in (given.get("class") or "").split()}
+        self.open.append((tag, marks | {f"#{given['id']}"} if given.get("id") else marks))
         for name, chain in self.rules.items():
             if self._fits(self.open[-1], chain[-1]) and self._inside(chain):
                 self.found[name].append("")

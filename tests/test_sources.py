@@ -71,6 +71,15 @@ def test_page_fields(spark):
     assert got[2].title == "N/A"
 
 
+def test_page_fields_by_id_with_date_and_comments(spark):
+    html = ('<div id="main" class="x y"><em id="at">2024-01-05 10:30</em><p id="body">News</p></div><div class="main"><em id="other">no</em></div>'
+            '<ul id="replies"><li class="reply">one</li><li class="reply">two</li></ul><li class="reply">elsewhere</li>')
+    df = spark.createDataFrame([(1, html)], "id int, html string")
+    rules = {"date": "div#main em#at", "body": "p#body", "comments": "#replies li.reply", "none": "#reply"}
+    got = pages.extract_pages(df, "html", rules, [], missing="N/A").first()
+    assert (got.date, got.body, got.comments, got.none) == ("2024-01-05 10:30", "News", "one\ntwo", "N/A")
+
+
 def test_links_are_made_absolute(spark):
     html = '<nav><a href="/a">A</a><a href="http://y/b">B</a></nav><a href="/c">C</a>'
     df = spark.createDataFrame([("http://x.com/list?p=1", html)], "url string, html string")
