@@ -2,8 +2,9 @@
 
 Counts of words and word pairs are quantised to powers of two; a pair with level q is put into the filter q times, with its
 level.  A count is read back by asking for level 1, 2 and so on until the filter says no, so an error is small and high counts cost few bits.
-The filter is broadcast; its size is bounded by a parameter, and the false positive rate rises with what it holds.  Exact word
-counts for the base score are joined: frequent words from a bounded broadcast table, all others by a shuffle.
+The filter has the same number of bits per entry at every size.  Up to a parameter it is broadcast; a larger one stays in its buckets,
+to which the distinct words and pairs of the texts are dealt, and the levels are joined back.  Exact word counts for the base
+score are joined: frequent words from a bounded broadcast table, all others by a shuffle.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,7 @@ from signalpost.llm.common import BLANK_WORD, cut_words, mix, slices, stored
 END, START = np.uint64(1), np.uint64(2)  # hashes of the end and the start of a text
 KEEP = 1 << 20
 HEAD = 1 << 18
+BITS = 8.0  # bits of the filter per entry
 BUCKET_KEYS = 500_000
 LEVELS = 40
 
@@ -138,10 +141,25 @@ class Filter:
         return out
 
 
-def build_filter(counts: DataFrame, buckets: int, entries: int, most_bytes: int, bits_per_entry: float = 8.0) -> Filter:
-    """The filter of all counts.  It has ``bits_per_entry`` bits for each level of each key, or fewer if it would exceed ``most_bytes``."""
-    rate = min(bits_per_entry, 8 * most_bytes / max(1, entries))
-    probes = max(1, round(rate * 0.693))
+def probes_of(rate: float) -> int:
+    return max(1, round(rate * 0.693))
+
+
+def packed_bits(keys: np.ndarray, levels: np.ndarray, rate: float) -> tuple[int, np.ndarray]:
+    """Number of bits of one bucket, and the bits in bytes, with ``rate`` bits for each level of each key."""
+    size = max(8, int(levels.sum() * rate))
+    bits = np.zeros(size, bool)
+    for q in range(1, int(levels.max()) + 1):
+        some = keys[levels >= q]
+        for probe in range(probes_of(rate)):
+            bits[place(some, q, probe, np.full(len(some), size))] = True
+    return size, np.packbits(bits, bitorder="little")
+
+
+def build_filter(counts: DataFrame, buckets: int, entries: int, most_bytes: int, bits_per_entry: float = BITS) -> Filter:
+    """The filter of all counts in one piece, with ``bits_per_entry`` bits for each level of each key; an error if that exceeds ``most_bytes``."""
+    if entries * bits_per_entry > 8 * most_bytes:
+        raise ValueError(f"a filter of {entries} entries exceeds {most_bytes} bytes")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -149,15 +167,10 @@ def build_filter(counts: DataFrame, buckets: int, entries: int, most_bytes: int,
             for i in range(batch.num_rows):
                 keys = np.frombuffer(batch.column("keys")[i].as_py(), np.uint64)
                 levels = level(np.frombuffer(batch.column("counts")[i].as_py(), np.int64))
-                size = max(8, int(levels.sum() * rate))
-                bits = np.zeros(size, bool)
-                for q in range(1, int(levels.max()) + 1):
-                    some = keys[levels >= q]
-                    for probe in range(probes):
-                        bits[place(some, q, probe, np.full(len(some), size))] = True
+                size, body = packed_bits(keys, levels, bits_per_entry)
                 parts.append(2 * batch.column("bucket")[i].as_py() + batch.column("size")[i].as_py() - 1)
                 sizes.append(size)
-                bodies.append(np.packbits(bits, bitorder="little").tobytes())
+                bodies.append(body.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bodies, pa.binary())], ["part", "bits", "body"])
 
     rows = counts.mapInArrow(fill, "part bigint, bits bigint, body binary").toArrow()  # about ``most_bytes`` at most
@@ -168,7 +181,31 @@ def build_filter(counts: DataFrame, buckets: int, entries: int, most_bytes: int,
     bits[at] = rows.column("bits").to_numpy()[order]
     ends = np.cumsum((bits + 7) // 8)
     begin[1:] = ends[:-1]
-    return Filter(buckets, probes, begin, bits, body)
+    return Filter(buckets, probes_of(bits_per_entry), begin, bits, body)
+
+
+def read_levels(asked: DataFrame, counts: DataFrame, rate: float) -> DataFrame:
+    """Per row (chunk, bucket, size, keys) of ``asked`` the levels of its keys, one byte each, from the filter of its bucket alone."""
+    def run(asked: pa.Table, counts: pa.Table) -> pa.Table:
+        found = []
+        if counts.num_rows:
+            held = level(np.frombuffer(counts.column("counts")[0].as_py(), np.int64))
+            size, body = packed_bits(np.frombuffer(counts.column("keys")[0].as_py(), np.uint64), held, rate)
+            bloom = Filter(1, probes_of(rate), np.zeros(1, np.int64), np.array([size]), body)
+        for keys in asked.column("keys"):
+            keys = np.frombuffer(keys.as_py(), np.uint64)
+            found.append((bloom.levels(keys, 1) if counts.num_rows else np.zeros(len(keys), np.int64)).astype(np.uint8).tobytes())
+        return asked.select(["chunk", "bucket", "size"]).append_column("levels", pa.array(found, pa.binary()))
+
+    both = asked.groupBy("bucket", "size").cogroup(counts.groupBy("bucket", "size"))
+    return both.applyInArrow(run, "chunk bigint, bucket bigint, size int, levels binary")
+
+
+def dealt_keys(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, list[slice]]:
+    """Buckets of sorted keys, which have the order of the keys, and where each is."""
+    number = bucket_of(keys, buckets)
+    cuts = np.flatnonzero(np.diff(number)) + 1
+    return number[np.r_[0, cuts]], [slice(a, b) for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(keys)])]
 
 
 def _unpacked(counts: DataFrame, least: int | None = None, below: int | None = None) -> DataFrame:
@@ -203,18 +240,23 @@ def score(df: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased; the end of each text is a token too.  ``base_score`` is the
     smoothed word model with exact counts.  ``score`` is the pair model: each token after the one before it, smoothed towards
-    the word model with ``weight`` pseudo counts, all counts read from the filter.  The filter has at most ``most_bytes``.
+    the word model with ``weight`` pseudo counts, all counts read from the filter.  A filter of at most ``most_bytes`` is broadcast;
+    for a larger one the distinct words and pairs of about four million tokens at a time are shuffled to their buckets.  The result is the same.
 
     Null and empty texts are the end token alone.  Without training rows all counts are 0.  Rows that repeat a key, and rows with a null
     key, are scored each on its own.
     """
     train = training.select(F.col(text).alias("text"))
     n_docs, amount = train.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    buckets = max(8, -(-amount // (3 * BUCKET_KEYS)))  # about BUCKET_KEYS words and pairs in each
+    asked = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
+    buckets = max(8, -(-max(amount, asked) // (3 * BUCKET_KEYS)))  # about BUCKET_KEYS words and pairs in each, held or asked for
     counts = count_ngrams(train, buckets)
     got = {r["size"]: r for r in counts.groupBy("size").agg(F.sum("different").alias("v"), F.sum("total").alias("n"), F.sum("entries").alias("e")).collect()}
     kinds, total = (got[1]["v"], got[1]["n"]) if got else (0, 0)
-    bloom = build_filter(counts.select("bucket", "size", "keys", "counts"), buckets, sum(r["e"] for r in got.values()), most_bytes)
+    entries = sum(r["e"] for r in got.values())
+    held_keys = counts.select("bucket", "size", "keys", "counts")
+    dealt = entries * BITS > 8 * most_bytes
+    bloom = None if dealt else build_filter(held_keys, buckets, entries, most_bytes)
     amounts, cut, held = _levels(counts), LEVELS, 0
     while cut > 1 and held + amounts.get(cut - 1, 0) <= head:
         cut -= 1
@@ -225,37 +267,110 @@ def score(df: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "
     sent = df.sparkSession.sparkContext.broadcast((bloom, frequent))  # bounded by ``most_bytes`` and ``head``
     base = 0.5 * (kinds + 1) + total
 
+    typical = np.r_[0.0, 1.0, 1.45 * 2.0 ** np.arange(1, LEVELS)]
+
+    def chances(both: np.ndarray, word: np.ndarray, context: np.ndarray) -> np.ndarray:
+        return np.log10((both + weight * (word + 0.5) / base) / (np.maximum(context, both) + weight))
+
+    def described(part: pa.RecordBatch, now: np.ndarray, first: np.ndarray) -> dict[str, pa.Array]:
+        """What is known of each text without the filter, and its words that are not frequent."""
+        head_keys, head_counts = sent.value[1]
+        words, at = np.unique(now, return_inverse=True)
+        if len(head_keys):
+            found = np.minimum(np.searchsorted(head_keys, words), len(head_keys) - 1)
+            known = head_keys[found] == words
+            exact = np.where(known, head_counts[found], 0)
+        else:
+            known, exact = np.zeros(len(words), bool), np.zeros(len(words), np.int64)
+        logs = np.where(known, np.log10(exact + 0.5), 0.0)
+        tail = ~known[at]
+        many = np.r_[0, np.cumsum(tail)][first]
+        return {"row": part.column("row"), "id": part.column("id"), "n_tokens": pa.array(np.diff(first)),
+                "known": pa.array(np.add.reduceat(known[at].astype(np.int64), first[:-1])), "logs": pa.array(np.add.reduceat(logs[at], first[:-1])),
+                "rare": pa.ListArray.from_arrays(pa.array(many, pa.int32()), pa.array(now[tail].view(np.int64)))}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom, (head_keys, head_counts) = sent.value
-        typical = np.r_[0.0, 1.0, 1.45 * 2.0 ** np.arange(1, LEVELS)]
+        bloom = sent.value[0]
         for part in slices(batches, "text"):
             now, before, first = tokens(part)
             words, at = np.unique(now, return_inverse=True)
-            if len(head_keys):
-                found = np.minimum(np.searchsorted(head_keys, words), len(head_keys) - 1)
-                known = head_keys[found] == words
-                exact = np.where(known, head_counts[found], 0)
-            else:
-                known, exact = np.zeros(len(words), bool), np.zeros(len(words), np.int64)
-            logs = np.where(known, np.log10(exact + 0.5), 0.0)
             seen = typical[bloom.levels(words, 1)]
             pairs, where = np.unique(pair(before, now), return_inverse=True)
             both = typical[bloom.levels(pairs, 2)][where]
             context = np.empty(len(now))
             context[1:] = seen[at][:-1]
             context[first[:-1]] = n_docs
-            likely = np.log10((both + weight * (seen[at] + 0.5) / base) / (np.maximum(context, both) + weight)) if base else np.zeros(len(now))
-            tail = ~known[at]
-            many = np.r_[0, np.cumsum(tail)][first]
-            sums = lambda x: np.add.reduceat(x, first[:-1])
-            yield pa.RecordBatch.from_arrays(
-                [part.column("row"), part.column("id"), pa.array(np.diff(first)), pa.array(sums(known[at].astype(np.int64))), pa.array(sums(logs[at])),
-                 pa.array(sums(likely)), pa.ListArray.from_arrays(pa.array(many, pa.int32()), pa.array(now[tail].view(np.int64)))],
-                ["row", "id", "n_tokens", "known", "logs", "score", "rare"])
+            likely = chances(both, seen[at], context) if base else np.zeros(len(now))
+            yield pa.RecordBatch.from_pydict({**described(part, now, first), "score": pa.array(np.add.reduceat(likely, first[:-1]))})
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows of texts, with the numbers of their pairs among the chunk's, and rows of the chunk's words and pairs by bucket."""
+        kept: list[tuple] = []
+
+        def flush() -> Iterator[pa.RecordBatch]:
+            if not kept:
+                return
+            now, before = (np.concatenate([k[i] for k in kept]) for i in (1, 2))
+            chunk = kept[0][0]["row"][0].as_py()
+            words = np.unique(now)
+            pairs, some, where = np.unique(pair(before, now), return_index=True, return_inverse=True)
+            context = np.where(before[some] == START, -1, np.searchsorted(words, before[some]))
+            ends = np.stack([np.searchsorted(words, now[some]), context], axis=1).astype("<i4")
+            for order, keys in ((1, words), (2, pairs)):
+                number, places = dealt_keys(keys, buckets)
+                count = len(number)
+                yield whole({"chunk": pa.array(np.full(count, chunk)), "bucket": pa.array(number), "size": pa.array(np.full(count, order, np.int32)),
+                             "keys": pa.array([keys[p].tobytes() for p in places], pa.binary()),
+                             "ends": pa.array([ends[p].tobytes() if order == 2 else None for p in places], pa.binary())})
+            where, at = where.astype("<i4"), 0
+            for columns, _, _, first in kept:
+                edges = first + at
+                yield whole({"chunk": pa.array(np.full(len(first) - 1, chunk)), **columns,
+                             "pairs": pa.array([where[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())})
+                at += first[-1]
+            kept.clear()
+
+        def whole(columns: dict[str, pa.Array]) -> pa.RecordBatch:
+            count = len(columns["chunk"])
+            return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(count, f.type) for f in layout], [f.name for f in layout])
+
+        size, layout = 0, None
+        for part in slices(batches, "text"):
+            layout = layout or [*pa.schema({"chunk": pa.int64(), "bucket": pa.int64(), "size": pa.int32(), "keys": pa.binary(), "ends": pa.binary(),
+                                            "row": pa.int64(), "id": part.schema.field("id").type, "n_tokens": pa.int64(), "known": pa.int64(),
+                                            "logs": pa.float64(), "rare": pa.list_(pa.int64()), "pairs": pa.binary()})]
+            now, before, first = tokens(part)
+            kept.append((described(part, now, first), now, before, first))
+            size += len(now)
+            if size > 4 * KEEP:
+                yield from flush()
+                size = 0
+        yield from flush()
+
+    def answer(texts: pa.Table, levels: pa.Table) -> pa.Table:
+        """Scores of a chunk's texts; the levels, put in the order of buckets, are in the order of the chunk's words and pairs."""
+        def joined(table: pa.Table, column: str, order: int, kind: str) -> np.ndarray:
+            table = table.filter(pc.equal(table.column("size"), order)).sort_by("bucket")
+            return np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(column)])
+
+        seen, both = (typical[joined(levels, "levels", order, np.uint8)] for order in (1, 2))
+        word, context = joined(texts, "ends", 2, "<i4").reshape(-1, 2).T
+        likely = chances(both, seen[word], np.where(context < 0, n_docs, seen[context]))
+        texts = texts.filter(pc.is_valid(texts.column("pairs")))
+        score = [np.add.reduce(likely[np.frombuffer(x.as_py(), "<i4")]) for x in texts.column("pairs")]
+        return texts.select(["row", "id", "n_tokens", "known", "logs", "rare"]).append_column("score", pa.array(score, pa.float64()))
 
     docs = df.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn("row", F.monotonically_increasing_id())
     kind = docs.schema["id"].dataType.simpleString()
-    found = stored(docs.mapInArrow(run, f"row bigint, id {kind}, n_tokens bigint, known bigint, logs double, score double, rare array<bigint>"), "scored")
+    columns = f"row bigint, id {kind}, n_tokens bigint, known bigint, logs double, rare array<bigint>"
+    if dealt:
+        asked_for = stored(docs.mapInArrow(ask, f"chunk bigint, bucket bigint, size int, keys binary, ends binary, {columns}, pairs binary"), "asked")
+        levels = read_levels(asked_for.filter("keys IS NOT NULL").select("chunk", "bucket", "size", "keys"), held_keys, BITS)
+        texts = asked_for.filter("keys IS NULL OR size = 2").drop("keys")
+        found = texts.groupBy("chunk").cogroup(levels.groupBy("chunk")).applyInArrow(answer, f"{columns}, score double")
+    else:
+        found = docs.mapInArrow(run, f"{columns}, score double")
+    found = stored(found, "scored")
     rare = found.select("row", F.explode("rare").alias("key")).join(stored(_unpacked(counts, below=cut), "rare"), "key", "left")
     sums = rare.groupBy("row").agg(F.count("count").alias("more"), F.sum(F.log10(F.coalesce("count", F.lit(0)) + 0.5)).alias("logs_more"))
     out = found.drop("rare").join(sums, "row", "left")

@@ -323,6 +323,16 @@ def test_bloom_filter_reads_back_levels(spark):
     assert (bloom.levels(common.mix(np.arange(9000, 14000, dtype=np.uint64)), 1) > 0).mean() < 0.02 and not bloom.levels(keys, 2).any()
 
 
+def test_language_model_is_not_blurred_by_size(spark, docs, monkeypatch):
+    """A filter that is too large to be sent has as many bits per entry as a small one, so all scores stay."""
+    monkeypatch.setattr(lm, "KEEP", 500)
+    train = docs.filter("doc_id % 5 <> 1")
+    sent, dealt = (sorted(((tuple(r)) for r in lm.score(docs, train, most_bytes=n).collect()), key=str) for n in (1 << 20, 1))
+    assert len(sent) == len(dealt) == docs.count()
+    for a, b in zip(sent, dealt):
+        assert a[:4] == b[:4] and np.allclose(a[4:], b[4:], rtol=1e-12)
+
+
 def test_license(spark, data, docs, none):
     texts = ["Released under the MIT License. Apache License, Version 2.0 / CC BY-NC", "mit license", "x " * 3000 + license.TEMPLATES["bsd"][0].title() + " y",
              license.TEMPLATES["gpl"][0].replace("either", "any"), "CC BY NC cc by-nc", None, "", license.TEMPLATES["isc"][0].replace("fee", "cost")]
