@@ -8,7 +8,8 @@ templates with enough votes are compared there word by word, and count if enough
 from __future__ import annotations
 
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +45,31 @@ TEMPLATES = {
     "apache-2-notice": ("licensed under the apache license version 2 0", ["apache license version 2"]),
 }
 ALIASES = {"mit-notice": "mit", "apache-2-notice": "apache-2"}
+# Short notices of any version, (label, notice, key phrase); and the parts of Creative Commons names as they are written.
+NOTICES = [
+    *[(kind, f"licensed under the gnu {name}general public license", f"gnu {name}general public license")
+      for kind, name in (("gpl", ""), ("lgpl", "lesser "), ("lgpl", "library "), ("agpl", "affero "))],
+    *[(kind, f"licensed under {the}{kind}{version}", f"under {the}{kind}{version}")
+      for kind in ("gpl", "lgpl", "agpl") for the in ("", "the ", "the gnu ") for version in ("", "v2", "v3")],
+    ("mpl", "licensed under the mozilla public license", "mozilla public license"), ("mpl", "licensed under mpl", "mpl"),
+    *[("mpl-2", f"licensed under {name} 2 0", f"{name} 2".removeprefix("the ")) for name in ("the mozilla public license version", "the mozilla public license v", "the mozilla public license",
+                                                                        "the mpl", "mpl", "the mpl version", "the mpl v")],
+    ("bsd", "licensed under the bsd license", "bsd license"), ("bsd", "licensed under a bsd style license", "bsd style license"),
+    ("bsd", "governed by a bsd style license", "bsd style license"),
+    *[("bsd", f"licensed under the bsd {n} clause license", f"bsd {n} clause") for n in "0234"],
+    ("isc", "licensed under the isc license", "isc license"),
+    ("cc0", "licensed under cc0", "under cc0"), ("cc0", "licensed under the creative commons zero license", "creative commons zero"),
+    ("cc0", "licensed under creative commons cc0", "creative commons cc0"),
+]
+CC_PARTS = {"nc": ["noncommercial", "non commercial"], "sa": ["sharealike", "share alike"], "nd": ["noderivatives", "noderivs", "no derivatives", "no derivs"]}
+for kinds in ((), ("sa",), ("nd",), ("nc",), ("nc", "sa"), ("nc", "nd")):
+    label = "-".join(("cc-by", *kinds))
+    NOTICES.append((label, f"licensed under {label.replace('-', ' ')}", label.replace("-", " ")))
+    for parts in product(*(CC_PARTS[k] for k in kinds)):
+        name = " ".join(("creative commons attribution", *parts))
+        NOTICES += [(label, f"licensed under {a} {name} license", name) for a in ("a", "the")]
+for number, (label, notice, phrase) in enumerate(NOTICES):
+    TEMPLATES[f"{label}-notice-{number}"], ALIASES[f"{label}-notice-{number}"] = (notice, [phrase]), label
 RAREST, SLACK = 64, 3
 
 
@@ -93,31 +119,33 @@ def aligned(file: np.ndarray, template: np.ndarray, begin: int) -> float:
     return found / len(template)
 
 
-def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates: dict | None = None, phrases: dict | None = None,
-         rarest: int = RAREST, agree: float = 0.8) -> DataFrame:
-    """Per row of ``df``: ``key``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``, ``labels`` and ``score``.
+def template_words(templates: dict) -> np.ndarray:
+    """Sorted hashes of the words of all templates."""
+    return np.unique(np.concatenate([hashes_of(body) for body, _ in templates.values()]))
 
-    Words are runs of ASCII letters (A-Z lower-cased), digits and characters outside ASCII.  Base columns are about the places
-    of the fixed phrases; ``labels`` adds the licences whose template agrees in ``agree`` of its words, with every key phrase in the file.  A file is
-    looked up by its ``rarest`` rarest licence words; if it has more of the same rarity, all of these count.  ``score`` is 1 with a base label,
-    else the best agreement among the labels, else 0.
 
-    Null, empty and wordless texts have no words and no labels.  Repeated rows and null keys are scanned like others.
-    """
-    templates, phrases = templates or TEMPLATES, phrases or PHRASES
-    docs = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
+def finder(templates: dict, seen: np.ndarray, rarest: int = RAREST, agree: float = 0.8) -> Callable[[np.ndarray], dict[str, float]]:
+    """Function from the words of a file to its labels and their agreement; ``seen`` has the rarity of each of ``template_words``."""
     names = list(templates)
     bodies = [hashes_of(templates[n][0]) for n in names]
     keys = [[hashes_of(p) for p in templates[n][1]] for n in names]
-    fixed = [(hashes_of(p), label) for p, label in phrases.items()]
+    labels = [ALIASES.get(n, n) for n in names]
+    named = {(tuple(p.tolist()), label) for label, phrases in zip(labels, keys) for p in phrases}
+    longer = {(p, label): [np.array(q, np.uint64) for q, other in named if other != label and len(q) > len(p) and q[:len(p)] == p] for p, label in named}
     postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for t, body in enumerate(bodies):
         for place, word in enumerate(body):
             postings[int(word)].append((t, place))
-    words = np.unique(np.concatenate(bodies))
-    seen = word_frequencies(docs, words)
+    words = template_words(templates)
     shares = np.stack([np.bincount(np.searchsorted(words, body), minlength=len(words)) / len(body) for body in bodies])
 
+    def holds(file: np.ndarray, text: np.ndarray, phrase: np.ndarray, label: str) -> bool:
+        """Whether a phrase has a place where no longer phrase of another licence begins, as that of CC BY-SA does at CC BY."""
+        places = phrase_places(file, text, phrase)
+        for other in longer[tuple(phrase.tolist()), label] if len(places) else ():
+            places = np.setdiff1d(places, phrase_places(file, text, other))
+        return len(places) > 0
+
     def look_up(file: np.ndarray) -> dict[str, float]:
         at = np.minimum(np.searchsorted(words, file), len(words) - 1)
         known = np.flatnonzero(words[at] == file)
@@ -140,14 +168,34 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates: dict
         text = np.zeros(len(file), np.int64)
         for (t, cell), _ in sorted(votes.items()):
             both = votes[t, cell] + votes.get((t, cell + 1), 0)
-            label = ALIASES.get(names[t], names[t])
+            label = labels[t]
             if both < max(2, 0.3 * min(rarest, len(bodies[t]))) or out.get(label, 0) == 1:
                 continue
             share = max(aligned(file, bodies[t], cell * (SLACK + 1) + k) for k in range(SLACK + 1))
-            if share >= agree and all(len(phrase_places(file, text, p)) for p in keys[t]):
+            if share >= agree and all(holds(file, text, p, label) for p in keys[t]):
                 out[label] = max(share, out.get(label, 0))
         return out
 
+    return look_up
+
+
+def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates: dict | None = None, phrases: dict | None = None,
+         rarest: int = RAREST, agree: float = 0.8) -> DataFrame:
+    """Per row of ``df``: ``key``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``, ``labels`` and ``score``.
+
+    Words are runs of ASCII letters (A-Z lower-cased), digits and characters outside ASCII.  Base columns are about the places
+    of the fixed phrases; ``labels`` adds the licences whose template agrees in ``agree`` of its words, with every key phrase in the file, at a
+    place where no longer key phrase of another licence begins.  A file is
+    looked up by its ``rarest`` rarest licence words; if it has more of the same rarity, all of these count.  ``score`` is 1 with a base label,
+    else the best agreement among the labels, else 0.
+
+    Null, empty and wordless texts have no words and no labels.  Repeated rows and null keys are scanned like others.
+    """
+    templates, phrases = templates or TEMPLATES, phrases or PHRASES
+    docs = df.select(F.col(key).alias("id"), F.col(text).alias("text"))
+    fixed = [(hashes_of(p), label) for p, label in phrases.items()]
+    look_up = finder(templates, word_frequencies(docs, template_words(templates)), rarest, agree)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "text"):
             cut = cut_words(part.column("text"), PLAIN_WORD)

@@ -345,6 +345,21 @@ def test_license(spark, data, docs, none):
     assert license.scan(none).collect() == []
 
 
+@pytest.mark.parametrize("text, labels", [
+    ("This work is licensed under the GNU General Public License, version 3.", "gpl"), ("Released under the GNU Lesser General Public License 2.1", "lgpl"),
+    ("licensed under the GNU Affero General Public License", "agpl"), ("It is licensed under the GPLv3.", "gpl"), ("licensed under LGPL", "lgpl"),
+    ("licensed under the Mozilla Public License, version 2.0", "mpl-2"), ("licensed under the Mozilla Public License 1.1", "mpl"),
+    ("released under the BSD license", "bsd"), ("licensed under the 3-clause BSD license", "bsd"), ("licensed under the BSD-3-Clause license", "bsd"),
+    ("governed by a BSD-style license", "bsd"), ("licensed under the ISC License.", "isc"), ("licensed under CC BY 4.0", "cc-by"), ("licensed under CC BY-SA 3.0", "cc-by-sa"),
+    ("licensed under a Creative Commons Attribution 4.0 International License", "cc-by"), ("licensed under CC0 1.0", "cc0"),
+    ("licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License", "cc-by-nd"),
+    ("licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 3.0 License", "cc-by-nc-sa"),
+    ("licensed under a Creative Commons Attribution-Non Commercial 3.0 License", "cc-by-nc"), ("we like the general public and a license", "")])
+def test_license_notices(text, labels):
+    look_up = license.finder(license.TEMPLATES, np.zeros(1 << 12, np.int64))
+    assert ",".join(sorted(look_up(license.hashes_of(text)))) == labels
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("<p>one<p>two", "one\n\ntwo"), ("a<br>b<div hidden>c</div><div style='display: none'>d</div>", "a\nb"),
     ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", "- a\n- b\n  - c\n- d"), ("<ol start=3><li>x<li>y</ol>", "3. x\n4. y"),
