@@ -1,8 +1,9 @@
 """License scan with a positional index of rare template words.
 
-Templates of licences are cut into words; the index lists the places of each word.  A file is looked up by its rarest licence words,
-rarity being counted over all files.  Each pair of a place in the file and a place in a template votes for where the template would begin;
-templates with enough votes are compared there word by word, and count if enough words agree and their key phrases occur in the file.
+Templates of licences are cut into words; the index lists the places of the rarest words of each template, rarity being counted over
+all files: so many that some must be found even if the others are those that may disagree.  Each pair of a place in the file and a place in the index
+votes for where the template would begin; templates with enough votes are compared there word by word, and count if enough words agree
+and their key phrases occur in the file.
 """
 
 from __future__ import annotations
@@ -70,7 +71,7 @@ for kinds in ((), ("sa",), ("nd",), ("nc",), ("nc", "sa"), ("nc", "nd")):
         NOTICES += [(label, f"licensed under {a} {name} license", name) for a in ("a", "the")]
 for number, (label, notice, phrase) in enumerate(NOTICES):
     TEMPLATES[f"{label}-notice-{number}"], ALIASES[f"{label}-notice-{number}"] = (notice, [phrase]), label
-RAREST, SLACK = 64, 3
+RAREST, SLACK = 3, 3
 
 
 def hashes_of(line: str) -> np.ndarray:
@@ -132,11 +133,19 @@ def finder(templates: dict, seen: np.ndarray, rarest: int = RAREST, agree: float
     labels = [ALIASES.get(n, n) for n in names]
     named = {(tuple(p.tolist()), label) for label, phrases in zip(labels, keys) for p in phrases}
     longer = {(p, label): [np.array(q, np.uint64) for q, other in named if other != label and len(q) > len(p) and q[:len(p)] == p] for p, label in named}
-    postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
-    for t, body in enumerate(bodies):
-        for place, word in enumerate(body):
-            postings[int(word)].append((t, place))
     words = template_words(templates)
+    places = [np.searchsorted(words, body) for body in bodies]
+    postings: dict[int, list[tuple[int, int]]] = defaultdict(list)
+    least = []
+    for t, place in enumerate(places):
+        wrong = len(place) - int(np.ceil(agree * len(place) - 1e-9))  # so many words may disagree
+        order = np.lexsort((place, seen[place]))
+        enough = min(len(place), wrong + rarest)
+        chosen = np.isin(place, place[order[:enough]])  # all places of the rarest words
+        least.append(max(1, int(chosen.sum()) - wrong))
+        for offset in np.flatnonzero(chosen):
+            postings[int(words[place[offset]])].append((t, int(offset)))
+    votes_for = np.isin(words, np.array(list(postings), np.uint64))
     shares = np.stack([np.bincount(np.searchsorted(words, body), minlength=len(words)) / len(body) for body in bodies])
 
     def holds(file: np.ndarray, text: np.ndarray, phrase: np.ndarray, label: str) -> bool:
@@ -156,20 +165,18 @@ def finder(templates: dict, seen: np.ndarray, rarest: int = RAREST, agree: float
         possible = shares @ held >= agree - 1e-9  # a template agrees at most in the words that the file has anywhere
         if not possible.any():
             return {}
-        rarity = seen[at[known]]
-        limit = np.partition(rarity, rarest - 1)[rarest - 1] if len(known) > rarest else rarity.max()
         votes: dict[tuple[int, int], int] = defaultdict(int)
-        for place in known[rarity <= limit].tolist():
+        for place in known[votes_for[at[known]]].tolist():
             for t, offset in postings[int(file[place])]:
                 if not possible[t]:
                     continue
                 votes[t, (place - offset) // (SLACK + 1)] += 1
         out: dict[str, float] = {}
         text = np.zeros(len(file), np.int64)
-        for (t, cell), _ in sorted(votes.items()):
-            both = votes[t, cell] + votes.get((t, cell + 1), 0)
+        for t, cell in sorted({(t, cell + k) for t, cell in votes for k in (-1, 0, 1)}):
             label = labels[t]
-            if both < max(2, 0.3 * min(rarest, len(bodies[t]))) or out.get(label, 0) == 1:
+            # Words that agree are SLACK places off at most, so they vote for the cell of the beginning or one beside it.
+            if sum(votes.get((t, cell + k), 0) for k in (-1, 0, 1)) < least[t] or out.get(label, 0) == 1:
                 continue
             share = max(aligned(file, bodies[t], cell * (SLACK + 1) + k) for k in range(SLACK + 1))
             if share >= agree and all(holds(file, text, p, label) for p in keys[t]):
@@ -185,8 +192,8 @@ def scan(df: DataFrame, key: str = "doc_id", text: str = "text", templates: dict
 
     Words are runs of ASCII letters (A-Z lower-cased), digits and characters outside ASCII.  Base columns are about the places
     of the fixed phrases; ``labels`` adds the licences whose template agrees in ``agree`` of its words, with every key phrase in the file, at a
-    place where no longer key phrase of another licence begins.  A file is
-    looked up by its ``rarest`` rarest licence words; if it has more of the same rarity, all of these count.  ``score`` is 1 with a base label,
+    place where no longer key phrase of another licence begins.  A template is
+    looked up by as many of its rarest words as may disagree and ``rarest`` more, all places of which count.  ``score`` is 1 with a base label,
     else the best agreement among the labels, else 0.
 
     Null, empty and wordless texts have no words and no labels.  Repeated rows and null keys are scanned like others.

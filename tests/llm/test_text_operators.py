@@ -360,6 +360,14 @@ def test_license_notices(text, labels):
     assert ",".join(sorted(look_up(license.hashes_of(text)))) == labels
 
 
+@pytest.mark.parametrize("copies, filler", [(1, ""), (8, ""), (40, ""), (1, "merge " * 500), (3, "sublicense noninfringement " * 90)])
+def test_license_copies_do_not_share_votes(copies, filler):
+    seen = np.arange(1, 1 << 12)  # no two words of the same rarity
+    look_up = license.finder(license.TEMPLATES, seen)
+    text = filler + (license.TEMPLATES["mit"][0] + " \n " + prose(5) + " ") * copies + license.TEMPLATES["isc"][0] + " " + filler
+    assert look_up(license.hashes_of(text)) == {"mit": 1.0, "isc": 1.0}
+
+
 @pytest.mark.parametrize("page, text", [
     (None, ""), ("", ""), ("<p>one<p>two", "one\n\ntwo"), ("a<br>b<div hidden>c</div><div style='display: none'>d</div>", "a\nb"),
     ("<ul><li>a<li>b<ul><li>c</ul><li>d</ul>", "- a\n- b\n  - c\n- d"), ("<ol start=3><li>x<li>y</ol>", "3. x\n4. y"),
