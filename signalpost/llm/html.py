@@ -17,13 +17,19 @@ from pyspark.sql import functions as F
 
 # The kinds of HTML elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-SKIP = set("script style template noscript head title iframe object svg canvas audio video select datalist textarea".split())
+SKIP = set("script style template noscript head title iframe object canvas audio video datalist".split())
+# What may stand in a table outside cells, the elements that hold it, and parts of a drawing that are not drawn where they stand.
+TABLE_PARTS = set("caption colgroup col thead tbody tfoot tr td th".split())
+TABLE_CONTEXT = set("table thead tbody tfoot tr".split())
+TABLE_KEEPS = TABLE_PARTS | {"script", "style", "template", "form"}
+SVG_UNSEEN = set("title desc defs symbol metadata clippath mask pattern marker filter lineargradient radialgradient".split())
 SPACED = set("p blockquote ul ol dl table pre h1 h2 h3 h4 h5 h6 figure fieldset".split())
 BLOCK = SPACED | set("html body div section article aside header footer main nav address form li dt dd tr caption thead tbody tfoot td th hr "
                      "figcaption details summary legend center".split())
 # An opening tag closes these open elements, up to the element in which it belongs.
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th", "caption"}, {"table"}),
-          "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}),
+          "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"}), "optgroup": ({"option", "optgroup"}, {"select"}),
+          "select": ({"select"}, {"table", "td", "th"}), "textarea": ({"select"}, {"table", "td", "th"}), "input": ({"select"}, {"table", "td", "th"}),
           "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
           "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"})}
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
@@ -39,7 +45,10 @@ class Node:
 
 
 class Builder(HTMLParser):
-    """Tree of a page; a paragraph ends where a block begins, and items, cells and rows end where the next one begins."""
+    """Tree of a page; a paragraph ends where a block begins, and items, cells and rows end where the next one begins.
+
+    What stands in a table outside its cells goes before the table, as in browsers.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
@@ -49,9 +58,37 @@ class Builder(HTMLParser):
     def _cut(self, at: int) -> None:
         del self.open[at:]
 
+    def _table(self) -> int:
+        """Index of the innermost open table if no cell or caption is open in it, else 0."""
+        for at in range(len(self.open) - 1, 0, -1):
+            if self.open[at].tag == "table":
+                return at
+            if self.open[at].tag in ("td", "th", "caption"):
+                return 0
+        return 0
+
+    def _put(self, item: Node | str) -> None:
+        """Add to the open element, or before the table if that does not hold such an item."""
+        tag = item.tag if isinstance(item, Node) else ""
+        if self.open[-1].tag == "colgroup" and (item.strip() if isinstance(item, str) else tag not in ("col", "template")):
+            self.open.pop()
+        here = self.open[-1]
+        at = self._table() if here.tag in TABLE_CONTEXT else 0
+        if not at or tag in TABLE_KEEPS or isinstance(item, str) and not item.strip(" \t\n\r\f"):
+            here.inside.append(item)
+            return
+        around, table = self.open[at - 1].inside, self.open[at]
+        place = next(k for k in range(len(around) - 1, -1, -1) if around[k] is table)
+        around.insert(place, item)
+
     def handle_starttag(self, tag, attrs):
+        if self.open[-1].tag == "textarea":  # holds no elements
+            self.handle_data(self.get_starttag_text())
+            return
         if tag == "html":
             return
+        if tag == "table" and self.open[-1].tag in TABLE_CONTEXT and self._table():
+            self._cut(self._table())
         if tag in BLOCK and self.open[-1].tag != "html":
             for at in range(len(self.open) - 1, 0, -1):
                 if self.open[at].tag == "p":
@@ -66,22 +103,36 @@ class Builder(HTMLParser):
                     break
                 if self.open[at].tag in ended:
                     self._cut(at)
+        if tag in TABLE_PARTS and self._table():
+            while self.open[-1].tag not in TABLE_CONTEXT and (tag, self.open[-1].tag) != ("col", "colgroup"):
+                self.open.pop()
         if tag in ("td", "th") and self.open[-1].tag in ("table", "thead", "tbody", "tfoot"):
             self.handle_starttag("tr", [])
         if tag == "body" or tag not in VOID and tag != "head":
             if len(self.open) > 1 and self.open[1].tag == "head" and tag not in ("title", "style", "script", "noscript", "template"):
                 self._cut(1)
         node = Node(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].inside.append(node)
-        if tag not in VOID:
+        in_table = tag == "form" and self.open[-1].tag in TABLE_CONTEXT and self._table()
+        self._put(node)
+        if tag not in VOID and not in_table:  # a form in a table does not hold its rows
             self.open.append(node)
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
-        if tag not in VOID and self.open[-1].tag == tag and tag in ("svg", "object", "iframe"):
+        if tag not in VOID and self.open[-1].tag == tag and (tag in ("svg", "object", "iframe") or self._drawing()):
             self._cut(len(self.open) - 1)
 
+    def _drawing(self) -> bool:
+        """Whether the last open element is part of a drawing."""
+        for node in reversed(self.open):
+            if node.tag in ("svg", "foreignobject"):
+                return node.tag == "svg"
+        return False
+
     def handle_endtag(self, tag):
+        if self.open[-1].tag == "textarea" and tag != "textarea":
+            self.handle_data(f"</{tag}>")
+            return
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at].tag == tag:
                 self._cut(at)
@@ -89,12 +140,14 @@ class Builder(HTMLParser):
             if self.open[at].tag in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html", self.open[at].tag):
                 return
         if tag == "p":
-            self.open[-1].inside.append(Node("p", {}))
+            self._put(Node("p", {}))
 
     def handle_data(self, data):
         if self.open[-1].tag == "head" and data.strip():
             self._cut(len(self.open) - 1)
-        self.open[-1].inside.append(data)
+        if self.open[-1].tag == "textarea" and not self.open[-1].inside:
+            data = data.removeprefix("\n")
+        self._put(data)
 
 
 def visible(node: Node) -> bool:
@@ -104,6 +157,43 @@ def visible(node: Node) -> bool:
                 or node.tag == "dialog" and "open" not in attrs)
 
 
+def options(node: Node) -> list[str]:
+    """Texts that a choice shows: all of a list box, the chosen one of a menu."""
+    found, todo = [], [(c, False) for c in reversed(node.inside)]  # (text, option or not, disabled, selected)
+    while todo:
+        child, off = todo.pop()
+        if not isinstance(child, Node) or not visible(child):
+            continue
+        off = off or child.tag in ("option", "optgroup") and "disabled" in child.attrs
+        if child.tag == "option":
+            found.append((child.attrs.get("label") or " ".join(render(child, DEEPEST).split()), True, off, "selected" in child.attrs))
+            continue
+        if child.tag == "optgroup":
+            found.append((child.attrs.get("label", ""), False, off, False))
+        todo += [(c, off) for c in reversed(child.inside)]
+    size = node.attrs.get("size", "")
+    if "multiple" in node.attrs or size.isdigit() and int(size) > 1:
+        return [text for text, *_ in found if text]
+    real = [x for x in found if x[1]]
+    shown = [x[0] for x in real if x[3]][-1:] or [x[0] for x in real if not x[2]][:1]
+    return [text for text in shown if text]
+
+
+def drawn(node: Node) -> list[Node]:
+    """Text of a drawing, each in a block."""
+    out, todo = [], list(reversed(node.inside))
+    while todo:
+        child = todo.pop()
+        if not isinstance(child, Node) or not visible(child) or child.tag in SVG_UNSEEN:
+            continue
+        if child.tag in ("text", "foreignobject"):
+            out.append(Node("div", {}))
+            out[-1].inside.append(child)
+        else:
+            todo += reversed(child.inside)
+    return out
+
+
 def width(text: str) -> int:
     """Columns that a text takes: wide characters take two, marks on letters none."""
     return sum(0 if unicodedata.combining(c) else 2 if unicodedata.east_asian_width(c) in "WF" else 1 for c in text)
@@ -205,6 +295,16 @@ def _walk(root: Node, out: Writer, depth: int) -> None:
             if node.attrs.get("alt"):
                 out.text(node.attrs["alt"])
             continue
+        if tag == "select":
+            shown = options(node)
+            if "multiple" in node.attrs or len(shown) > 1:
+                for line in shown:
+                    out.end()
+                    out.text(line)
+                out.end()
+            elif shown:
+                out.text(shown[0])
+            continue
         nested = kept if tag in ("ul", "ol") else None
         if tag in BLOCK and node is not root:
             out.end(1 if tag in SPACED and nested is None else 0)
@@ -216,11 +316,11 @@ def _walk(root: Node, out: Writer, depth: int) -> None:
         if mark is not None:
             out.line = mark
         todo.append((node, "out", nested))
-        kind = "pre" if tag == "pre" or step == "pre" else "in"
+        kind = "pre" if tag in ("pre", "textarea") or step == "pre" else "in"
         level = kept if isinstance(kept, int) else 0
         inside: list = []
         number = int(node.attrs["start"]) if node.attrs.get("start", "").isdigit() else 1
-        for child in node.inside:
+        for child in drawn(node) if tag == "svg" else node.inside:
             if isinstance(child, Node) and child.tag == "li":
                 sign = f"{number}. " if tag == "ol" else "- "
                 number += 1

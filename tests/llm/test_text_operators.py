@@ -377,6 +377,19 @@ def test_page_text(page, text):
     assert html.page_text(page)[1] == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<table><form><tr><td>x<td>y</form></table>z", "x  y\n\nz"), ("<table><tr><form><td>x</td></form></tr></table>", "x"),
+    ("<table>before<tr><td>x</table>", "before\n\nx"), ("<table><tr>one<td>x</td>two</tr><div>three</div><tr><td>y</table>after", "onetwo\nthree\n\nx\ny\n\nafter"),
+    ("<table><tr><td>x<tr><a href=u>link</a><td>y</table>", "link\n\nx\ny"), ("<table><center><tr><td>x</center></table>", "x"), ("<table><p>p<tr><td>x</table>", "p\n\nx"),
+    ("<table><colgroup><col><tr><td>x</table>", "x"), ("<table><tr><table><tr><td>x</table>y", "x\n\ny"), ("<table><tr><td><form>in</form>x</table>", "in\nx"),
+    ("<table><select><option>a<tr><td>x</table>", "a\n\nx"), ("<textarea>a\n  b</textarea>", "a\n  b"), ("<textarea>a <b>c</b></textarea>d", "a <b>c</b>d"),
+    ("<select><option>a<option selected>b<option>c</select>", "b"), ("<select><option disabled>a<option>b</select>", "b"),
+    ("<select multiple><optgroup label=g><option>a<option>b</select>x", "g\na\nb\nx"), ("<select><option label=l>a</select> x", "l x"),
+    ("<svg><title>no</title><defs><text>no</text></defs><rect/>no<g><text>a <tspan>b</tspan></text></g><text>c</text></svg>d", "a b\nc\nd")])
+def test_text_outside_cells_and_in_controls(page, text):
+    assert html.page_text(page)[1] == text
+
+
 def test_pages(spark):
     frame = spark.createDataFrame([(1, "<title>T</title><p>a<p>b", "t"), (1, None, "t"), (None, "x", "t")], "page_id bigint, html string, title string")
     got = sorted(tuple(r) for r in html.extract(frame).filter("page_id = 1").collect())
