@@ -38,9 +38,10 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep documents that hold no window of a benchmark item."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    bad = stored(found.filter("contaminated AND doc_id IS NOT NULL").select("doc_id").distinct(), "contaminated")
-    return measured_join(docs, bad, ["doc_id"], F.xxhash64("text"), "left_anti").select(*docs.columns)
+    found = decontam.contamination_of_texts(docs, table(spark, sf_dir, "benchmark"))
+    bad = stored(found.filter("contaminated").select(F.struct("doc_id", "text_hash").alias("_row")).distinct(), "contaminated")
+    rows = docs.withColumn("_row", F.struct("doc_id", F.xxhash64("text").alias("text_hash")))
+    return measured_join(rows, bad, ["_row"], F.col("doc_id"), "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

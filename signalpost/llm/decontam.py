@@ -84,6 +84,12 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     Null and empty texts have no words and are clean; items without words are never found.  Rows that share a key and text get
     the same result; rows that share a key but not the text are told apart by their text.  A null key is a key like others.
     """
+    return contamination_of_texts(docs, items, key, text, item, item_text, width).drop("text_hash")
+
+
+def contamination_of_texts(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
+                           item_text: str = "text", width: int = 10) -> DataFrame:
+    """``contamination`` with ``text_hash`` (64-bit, of the text), by which rows that share a key are told apart."""
     docs = docs.select(F.col(key).alias("id"), F.col(text).alias("text"))
     docs = docs.withColumn("id", F.struct("id", F.xxhash64("text").alias("h")))
     texts, owners = windows(items.select(F.col(item).alias("item"), F.col(item_text).alias("text")).filter("item IS NOT NULL"), width)
@@ -105,5 +111,5 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     found = stored(hits.select("id", "n_hit").join(named, "id"), "contaminated")
     out = counted.join(found.withColumnRenamed("id", "other"), F.col("id").eqNullSafe(F.col("other")), "left")
     none = F.lit(0).cast("bigint")
-    return out.select(F.col("id.id").alias(key), "n_words", F.coalesce("n_hit", none).alias("n_hit"), F.coalesce("n_items", none).alias("n_items"),
+    return out.select(F.col("id.id").alias(key), F.col("id.h").alias("text_hash"), "n_words", F.coalesce("n_hit", none).alias("n_hit"), F.coalesce("n_items", none).alias("n_items"),
                       F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"), F.col("n_hit").isNotNull().alias("contaminated"))

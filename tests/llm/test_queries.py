@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import brute_pii
 import corpus_pipeline
+from signalpost import scale
 from signalpost.llm import ann, queries
 from test_text_operators import SCHEMA, contamination_brute, near_brute, rows
 from tools.compare import connect, rows_of
@@ -78,6 +79,17 @@ def test_pipeline_stages(spark, tmp_path):
         assert stage(spark, empty, str(tmp_path)).collect() == []
 
 
+@pytest.mark.parametrize("small", [True, False])
+def test_decontamination_of_rows_without_or_with_repeated_id(spark, tmp_path, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(scale, "is_small", lambda df: False)
+    dirty = "one two three four five six seven eight nine ten"
+    data = [(None, f"x {dirty} y"), (None, "clean"), (1, f"{dirty} z"), (1, "clean too"), (1, None), (2, dirty), (3, "other")]
+    spark.createDataFrame([(1, dirty)], "item_id bigint, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.decontaminate(spark, spark.createDataFrame(data, "doc_id bigint, text string"), str(tmp_path))
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([data[1], data[3], data[4], data[6]], key=str)
+
+
 def test_pipeline(spark):
     out = corpus_pipeline.run(spark, SF)
     assert out.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
