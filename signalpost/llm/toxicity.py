@@ -19,9 +19,10 @@ from pyspark.sql import functions as F
 
 from signalpost.llm.common import stored
 
-# Characters that look like the Latin letter they are folded to, and characters without width.
+# Characters that look like the Latin letter they are folded to, and characters without width.  The letters i and l are one,
+# as 1, | and ! stand for both.
 LOOKALIKES = {
-    "a": "аαɑ@4", "b": "ьв8", "c": "сϲ", "d": "ԁ", "e": "еεє3", "g": "ɡ9", "h": "һн", "i": "іιı1!|", "j": "ј", "k": "кκ", "m": "м",
+    "a": "аαɑ@4", "b": "ьв8", "c": "сϲ", "d": "ԁ", "e": "еεє3", "g": "ɡ96", "h": "һн", "i": "іιı1!|lӏⅼ", "j": "ј", "k": "кκ", "m": "м",
     "n": "пη", "o": "оοσ0", "p": "рρ", "s": "ѕ5$", "t": "тτ7", "u": "υս", "v": "ѵν", "w": "ԝω", "x": "хχ", "y": "уγ", "z": "ᴢ2",
 }
 WIDTHLESS = "­​‌‍⁠﻿"

@@ -289,6 +289,22 @@ def test_toxicity(spark, docs, none):
     assert {r["predicted"] for r in toxicity.score(docs, untrained).collect()} == {0}
 
 
+@pytest.mark.parametrize("hidden, word", [
+    ("b1ockhead", "blockhead"), ("1oser", "loser"), ("|oser", "loser"), ("!oser", "loser"), ("ki11", "kill"), ("k1ll", "kill"), ("K!LL", "kill"), ("n1tw|t", "nitwit"), ("l0ser", "loser"),
+    ("2any", "zany"), ("lo5er", "loser"), ("los3r", "loser"), ("bl4st", "blast"), ("6rim", "grim"), ("9rim", "grim"), ("ni7wit", "nitwit"), ("8lockhead", "blockhead")])
+def test_hidden_spellings_fold_like_plain_ones(hidden, word):
+    assert toxicity.plain(f"a {hidden} here") == toxicity.plain(f"a {word} here")
+    assert toxicity.terms_of(toxicity.plain(hidden)[0]) == toxicity.terms_of(toxicity.plain(word)[0])
+
+
+def test_hidden_l_is_found(spark):
+    texts = [(i, prose(30) + (" you blockhead " if i % 3 == 0 else " ") + prose(30)) for i in range(300)]
+    model = toxicity.fit(spark.createDataFrame(texts, "doc_id bigint, text string"),
+                         spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id bigint, toxic int"))
+    hidden = spark.createDataFrame([(1, "you b1ockhead"), (2, "you b|ockhead"), (3, "the clockhand")], "doc_id bigint, text string")
+    assert {r["doc_id"]: r["predicted"] for r in toxicity.score(hidden, model).collect()} == {1: 1, 2: 1, 3: 0}
+
+
 def test_language_model(spark, data, docs, none):
     train = docs.filter("doc_id % 5 <> 1")
     counts, pairs, n_docs = Counter(), Counter(), 0
