@@ -126,6 +126,24 @@ def _best(rows: DataFrame, k: int) -> DataFrame:
     return rows.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
+def meetings(index: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """Rows (leaf, block, part, id, v, query): the vectors of a leaf and the queries that visit it, both dealt into blocks of about ``size``.
+
+    Every block of vectors meets every block of queries of its leaf, called a part, in one group, so a group is bounded whatever the leaf holds.
+    """
+    def numbers(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("leaf").agg(F.ceil(F.count("*") / F.lit(size)).cast("int").alias(name))
+
+    counts = F.broadcast(stored(numbers(index, "blocks").join(numbers(wanted, "parts"), "leaf"), "blocks"))  # one row per leaf of the bounded tree
+
+    def dealt(rows: DataFrame, own: str, number: str, other: str, others: str, query: bool) -> DataFrame:
+        place = F.pmod(F.xxhash64("id"), F.col(number)).cast("int").alias(own)
+        rows = rows.join(counts, "leaf").select("leaf", place, F.explode(F.sequence(F.lit(0), F.col(others) - 1)).alias(other), "id", "v", F.lit(query).alias("query"))
+        return rows.select("leaf", "block", "part", "id", "v", "query")
+
+    return dealt(index, "block", "blocks", "part", "parts", False).union(dealt(wanted, "part", "parts", "block", "blocks", True))
+
+
 def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every: int = 100, k: int = 10, recall: float = 0.97,
            sample: int = SAMPLE) -> tuple[DataFrame, dict]:
     """Neighbours (``query_id``, ``rank``, ``vec_id``, ``score``) of the rows whose key is divisible by ``every``, and what calibration found.
@@ -189,16 +207,14 @@ def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every:
     held = np.zeros(tree.leaves, np.int64)
     for leaf, n in blocks.collect():
         held[leaf] = n
-    blocks = F.broadcast(blocks.select("leaf", F.ceil(F.col("held") / F.lit(BLOCK)).cast("int").alias("blocks")))
 
     def leaves(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = [sent.value.order(p, visits, held, k + 1) for p in matrix(batch.column("v"))] if batch.num_rows else []
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(lists, pa.list_(pa.int64()))], ["id", "v", "leaves"])
 
-    wanted = queries.mapInArrow(leaves, "id bigint, v array<double>, leaves array<bigint>").select("id", "v", F.explode("leaves").alias("leaf"))
-    wanted = wanted.join(blocks, "leaf").select("leaf", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), "id", "v", F.lit(True).alias("query"))
-    dealt = index.join(blocks, "leaf").select("leaf", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), "id", "v", F.lit(False).alias("query"))
+    wanted = stored(queries.mapInArrow(leaves, "id bigint, v array<double>, leaves array<bigint>"), "wanted")
+    met = meetings(index, wanted.select("id", "v", F.explode("leaves").alias("leaf")), BLOCK)
 
     def compare(table: pa.Table) -> pa.Table:
         asks = table.column("query").to_numpy()
@@ -208,7 +224,7 @@ def search(df: DataFrame, key: str = "vec_id", vector: str = "embedding", every:
         return pa.table({"query_id": pa.array([ids[asked[q]] for q, _, _ in found], pa.int64()), "vec_id": pa.array([ids[own[j]] for _, j, _ in found], pa.int64()),
                          "score": pa.array([d for _, _, d in found], pa.float64())})
 
-    near = dealt.union(wanted).groupBy("leaf", "block").applyInArrow(compare, "query_id bigint, vec_id bigint, score double")
+    near = met.groupBy("leaf", "block", "part").applyInArrow(compare, "query_id bigint, vec_id bigint, score double")
     near = near.groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     out = _best(near, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
     return out, {"recall": reached, "visits": visits, "leaves": tree.leaves}

@@ -57,6 +57,17 @@ def test_neighbours(spark):
     assert ann.search(frame.limit(0))[0].collect() == [] and ann.search(frame.filter("vec_id = 2100"))[0].collect() == []
 
 
+def test_every_query_meets_every_vector_once_in_bounded_groups(spark):
+    index = spark.createDataFrame([(i, [1.0], i % 2) for i in range(600)], "id bigint, v array<double>, leaf bigint")
+    wanted = spark.createDataFrame([(i, [1.0], 0) for i in range(400)], "id bigint, v array<double>, leaf bigint")
+    groups = {}
+    for r in ann.meetings(index, wanted, 50).collect():
+        groups.setdefault((r["leaf"], r["block"], r["part"]), ([], []))[r["query"]].append(r["id"])
+    assert len(groups) == 6 * 8 and all(len(vectors) < 100 and len(queries) < 100 for vectors, queries in groups.values())
+    pairs = [(q, v) for vectors, queries in groups.values() for q in queries for v in vectors]
+    assert len(pairs) == len(set(pairs)) == 400 * 300
+
+
 def test_pipeline_stages(spark, tmp_path):
     data = rows()
     docs = spark.createDataFrame(data, SCHEMA).repartition(3)
