@@ -107,3 +107,13 @@ def test_consumed_files_are_archived(spark, tmp_path):
     assert run_to_folder(stream, f"{tmp_path}/out", f"{tmp_path}/state").count() == 3
     moved = list((tmp_path / "archive").rglob("*.csv"))
     assert len(moved) + len(list((tmp_path / "in").glob("*.csv"))) == 3 and moved
+
+
+def test_trigger_alerts_are_dealt_into_messages(spark):
+    from signalpost.plans import serving
+    rows = [(f"car{i % 7}", f"issue{i}", "2024-01-19") for i in range(900)]
+    triggers = spark.createDataFrame(rows, "car_name string, issue string, upload_date string").withColumn("upload_date", F.to_date("upload_date"))
+    got = serving.trigger_alerts(triggers, "http://charts/?", "2024-01-20 00:00").collect()
+    assert 1 < len(got) <= 5 and sum(r["entries"] for r in got) == 900
+    lines = [line for r in got for line in r["text"].split("\n\n")[1:]]
+    assert sorted(lines) == sorted(f"{c} - {i}\nhttp://charts/?car_name={c}&issue={i}" for c, i, _ in rows)
