@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from signalpost.llm import ann, decontam, html, langid, license, lm, neardup, packing, pii, toxicity
+from signalpost.llm import ann, decontam, html, langid, license, lm, mixing, neardup, packing, pii, ranked, toxicity, whitening
 from signalpost.llm.common import fold
 
 
@@ -77,6 +77,19 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(ranked.build(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
+def op13_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_toxicity": op2_toxicity,
@@ -88,6 +101,9 @@ QUERIES = {
     "op8_personal_data": op8_personal_data,
     "op9_nearest_neighbours": op9_nearest_neighbours,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_whitening": op11_whitening,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_source_mixing": op13_source_mixing,
 }
 
 # Words of a text: pieces between ASCII white space; a set is the distinct runs of four words, or all words of a shorter text.
@@ -127,5 +143,56 @@ inside AS (SELECT doc_id, count(DISTINCT place) AS n_hit FROM (SELECT doc_id, un
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM words LEFT JOIN found USING (doc_id) LEFT JOIN inside USING (doc_id)
+""",
+    "op12_ranked_search": r"""
+WITH words AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term, row_id
+    FROM (SELECT doc_id, text, row_number() OVER () AS row_id FROM documents)),
+tf AS (SELECT row_id, doc_id, term, count(*) AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT row_id, sum(tf)::BIGINT AS n FROM tf GROUP BY row_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths),
+asked AS (
+    SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM df, whole),
+scores AS (
+    SELECT item_id, row_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * docs) // total))))::BIGINT AS score
+    FROM asked JOIN weights USING (term) JOIN tf USING (term) JOIN lengths USING (row_id), whole GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 10
+""",
+    "op13_source_mixing": r"""
+WITH sized AS (
+    SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+           md5(concat(coalesce(doc_id::VARCHAR, ''), ':', coalesce(text, ''))) AS o
+    FROM documents),
+sources AS (
+    SELECT source, source_size, [1, 2, 3][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::BIGINT AS w
+    FROM (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source)),
+levels AS (
+    SELECT *, (sum(source_size) OVER ()::BIGINT - 3 * coalesce(sum(source_size) OVER earlier, 0)::BIGINT)::DOUBLE
+              / (sum(w) OVER ()::BIGINT - coalesce(sum(w) OVER earlier, 0)::BIGINT)::DOUBLE AS level
+    FROM sources WINDOW earlier AS (ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+goals AS (
+    SELECT source, source_size, coalesce(w * first_value(CASE WHEN level * w <= 3 * source_size THEN level END IGNORE NULLS) OVER (
+               ORDER BY source_size / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 3.0 * source_size)::DOUBLE AS target
+    FROM levels),
+steps AS (
+    SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE least(floor(target / source_size * 16777216)::BIGINT, 3 * 16777216) END AS step FROM goals),
+offsets AS (
+    SELECT *, ('0x' || substr(md5('mix:' || CASE WHEN source IS NULL THEN 'null' ELSE '=' || source END || ':' || number), 1, 6))::BIGINT AS u
+    FROM steps, (SELECT unnest(range(1, 17)) AS number)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY size, o) AS place FROM sized),
+tried AS (
+    SELECT doc_id, size, source_size, target, number, o.source,
+           size * ((place * step + u) // 16777216 - (place * step - step + u) // 16777216) AS taken
+    FROM placed p JOIN offsets o ON p.source IS NOT DISTINCT FROM o.source),
+best AS (
+    SELECT source, number FROM (SELECT source, number, abs(sum(taken) - any_value(target)) AS gap FROM tried GROUP BY source, number)
+    QUALIFY row_number() OVER (PARTITION BY source ORDER BY gap, number) = 1)
+SELECT doc_id, size, source_size, target, taken
+FROM tried t JOIN best b ON t.number = b.number AND t.source IS NOT DISTINCT FROM b.source
 """,
 }
