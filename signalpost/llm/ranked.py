@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from signalpost.llm.common import PLAIN_WORD, cut_words, stored
 
-SHARD_BYTES, BLOCK = 16 << 20, 128
+SHARD_BYTES, BLOCK = 8 << 20, 128
 LAST = np.iinfo(np.int64).max
 
 
@@ -55,31 +55,30 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.add.reduceat((raw & 127).astype(np.int64) << (7 * place), begin)
 
 
-def _shard_rows(shard: int, texts: pa.Array) -> tuple[pa.RecordBatch, np.ndarray]:
-    """Blocks of all terms of some texts, and the length of each text in terms."""
+def _shard_rows(shard: int, texts: pa.Array) -> tuple[pa.RecordBatch | None, np.ndarray]:
+    """Blocks of all terms of some texts, if they have any, and the length of each text in terms."""
     words = cut_words(texts, PLAIN_WORD)
     lengths = np.diff(words.first)
+    if not len(words.start):
+        return None, lengths
     hashes = words.hashes()
     order = np.lexsort((words.text, hashes))
     term, doc = hashes[order], words.text[order]
-    edge = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])]) if len(term) else np.empty(0, np.int64)
+    edge = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (doc[1:] != doc[:-1])])
     tf = np.diff(np.r_[edge, len(term)])
-    sample, term, doc = order[edge] if len(edge) else edge, term[edge], doc[edge].astype(np.int64)  # one row per posting from here on
-    new = np.r_[True, term[1:] != term[:-1]] if len(term) else np.empty(0, bool)
-    heads = np.flatnonzero(new)
+    sample, term, doc = order[edge], term[edge], doc[edge].astype(np.int64)  # one row per posting from here on
+    heads = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
     inside = np.arange(len(term)) - np.repeat(heads, np.diff(np.r_[heads, len(term)]))
     block_edge = np.flatnonzero(inside % BLOCK == 0)
     block = np.repeat(np.arange(len(block_edge)), np.diff(np.r_[block_edge, len(term)]))
-    gap = doc - np.where(inside % BLOCK == 0, 0, np.r_[0, doc[:-1]]) if len(doc) else doc
+    gap = doc - np.where(inside % BLOCK == 0, 0, np.r_[0, doc[:-1]])
     data, begin = _packed(np.c_[gap, tf].ravel())
     starts = begin[::2][np.r_[block_edge, len(term)]]
     # Best pairs of a block: sorted by falling occurrences, a pair stays if its document is shorter than all before it.
     n = lengths[doc].astype(np.int64)
     best = np.lexsort((n, -tf, block))
     coded = n[best] - (block[best] << 31)  # later blocks are lower, so the running minimum starts anew with each
-    least = np.minimum.accumulate(coded) if len(coded) else coded
-    stays = np.r_[True, coded[1:] < least[:-1]] if len(coded) else np.empty(0, bool)
-    best = best[stays]
+    best = best[np.r_[True, coded[1:] < np.minimum.accumulate(coded)[:-1]]]
     pairs = np.r_[0, np.cumsum(np.bincount(block[best], minlength=len(block_edge)))].astype(np.int32)
     last = np.r_[block_edge[1:], len(term)] - 1
     names = [bytes(words.data[words.start[w]:words.end[w]]) for w in sample[heads]]
@@ -137,7 +136,7 @@ def build(docs: DataFrame, key: str = "doc_id", text: str = "text", shard_bytes:
                 [pa.array(np.full(count, shard)), pa.nulls(count, pa.string()), pa.nulls(count, pa.int32()), pa.nulls(count, pa.int32()), pa.nulls(count, pa.int32()),
                  pa.nulls(count, pa.list_(pa.int64())), pa.nulls(count, pa.list_(pa.int64())), pa.nulls(count, pa.binary()),
                  pa.array(np.arange(count, dtype=np.int32)), pa.array(lengths.astype(np.int64)), keys.cast(key_type)], names=NAMES)
-            for at in range(0, blocks.num_rows, 10_000):
+            for at in range(0, blocks.num_rows if blocks is not None else 0, 10_000):
                 piece = blocks.slice(at, 10_000)
                 yield pa.RecordBatch.from_arrays([*piece.columns, pa.nulls(piece.num_rows, pa.int32()), pa.nulls(piece.num_rows, pa.int64()),
                                                   pa.nulls(piece.num_rows, key_type)], names=NAMES)
