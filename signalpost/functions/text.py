@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from signalpost.scale import measured_join
+from signalpost.functions.matching import count_words
 
 WORD = r"[\p{L}\p{N}]+"
 BLANKS = r"(?U)\s+"  # all blanks of Unicode, not of ASCII alone
@@ -72,12 +72,8 @@ def lexicon_count(cols: list[Column], lexicon: list[str]) -> Column:
 
 def lexicon_count_by_join(df: DataFrame, key: str, cols: list[str], lexicon: DataFrame, word: str,
                           out: str) -> DataFrame:
-    """The same count for a lexicon kept as a table; every row of ``df`` is kept, ``key`` is unique."""
-    text = F.concat_ws(" ", *[F.col(c) for c in cols])
-    tokens = df.select(key, F.explode(F.split(text, BLANKS)).alias(word)).filter(F.col(word) != "")
-    hits = (measured_join(tokens, lexicon.select(word).distinct(), [word], F.col(key), "left_semi")
-            .groupBy(key).agg(F.count("*").alias(out)))
-    return df.join(hits, key, "left").na.fill({out: 0})
+    """The same count for a lexicon kept as a table of any size; every row of ``df`` is kept and no text leaves its task."""
+    return count_words(df, cols, lexicon, word, out).select(*df.columns, out)
 
 
 def terms(text: Column, distinct: bool = True) -> Column:

@@ -11,8 +11,10 @@ from signalpost.functions.dtw import dtw, paired_distances
 from signalpost.functions.series import scores
 from signalpost.operators.tables import top_k
 from signalpost.scale import interval_join
+from signalpost.session import cut
 
-DIGITS = 9
+# Digits of a distance; blocks of cases whose extremes are sent to all tasks (80 bytes each).
+DIGITS, MOST_BLOCKS = 9, 20_000
 
 
 def case_windows(triggers: DataFrame, series: DataFrame, days: int = 90) -> DataFrame:
@@ -71,7 +73,8 @@ def _nearest_in_cell(k: int):
                 best: list[tuple[float, int]] = []
                 for at in range(0, len(order), 64):
                     block = order[at:at + 64]
-                    if len(best) == k and bound[block[0]] * (1 - 1e-12) > best[-1][0] + 10.0 ** -DIGITS:
+                    farthest = min(best[-1][0] if len(best) == k else np.inf, row.limit)
+                    if bound[block[0]] * (1 - 1e-12) > farthest + 10.0 ** -DIGITS:
                         break
                     chosen = open_cases[block]
                     exact = np.round(paired_distances([query] * len(chosen), [arrays[c] for c in chosen]), DIGITS)
@@ -81,30 +84,108 @@ def _nearest_in_cell(k: int):
     return find
 
 
+def envelopes(cases: DataFrame) -> DataFrame:
+    """What bounds the cases of a block from below: ranges of their minima, maxima and ends.  One row per block."""
+    ranges = []
+    for name in ("_low", "_high", "_first", "_last"):
+        ranges += [F.min(name).alias(f"least{name}"), F.max(name).alias(f"most{name}")]
+    return cases.groupBy("_block").agg(F.max(F.size("case_scores")).alias("longest"), *ranges)
+
+
+def block_bounds(query: np.ndarray, blocks: pd.DataFrame) -> np.ndarray:
+    """Distance that no case of a block can go below; infinity without a case that has points.
+
+    Both ends meet, every query point meets a point between the smallest minimum and the largest maximum, and the extremes of a case
+    meet some point of the query.
+    """
+    if not len(query):
+        return np.full(len(blocks), np.inf)
+
+    def gap(value: float, name: str) -> np.ndarray:
+        return np.maximum(value - blocks[f"most{name}"].to_numpy(), 0) + np.maximum(blocks[f"least{name}"].to_numpy() - value, 0)
+
+    ends = gap(query[0], "_first") ** 2
+    if len(query) > 1:  # else one step may join both ends
+        ends = ends + gap(query[-1], "_last") ** 2
+    low, high = blocks["least_low"].to_numpy(), blocks["most_high"].to_numpy()
+    outside = np.maximum(query[None, :] - high[:, None], 0) + np.maximum(low[:, None] - query[None, :], 0)
+    above = np.maximum(blocks["least_high"].to_numpy() - query.max(), 0) ** 2
+    below = np.maximum(query.min() - blocks["most_low"].to_numpy(), 0) ** 2
+    bound = np.sqrt(np.maximum(ends, np.maximum((outside ** 2).sum(axis=1), above + below)))
+    return np.where(np.isnan(bound), np.inf, bound)
+
+
+def _route(monitored: DataFrame, blocks: pd.DataFrame, nearest_only: bool) -> DataFrame:
+    """Blocks each monitored series has to meet: the one with the smallest bound, or all whose bound is within its ``limit``."""
+    def choose(frames):
+        for frame in frames:
+            rows = []
+            for row in frame.itertuples(index=False):
+                bound = block_bounds(np.asarray(row.monitor_scores, dtype=float), blocks)
+                if nearest_only:
+                    chosen = blocks["_block"].to_numpy()[[int(np.argmin(bound))]]
+                else:
+                    chosen = blocks["_block"].to_numpy()[bound * (1 - 1e-12) <= row.limit + 10.0 ** -DIGITS]
+                rows.append(chosen.tolist())
+            yield frame.assign(_blocks=rows)
+
+    fields = ", ".join(f"{n} {t}" for n, t in monitored.dtypes)
+    return monitored.mapInPandas(choose, f"{fields}, _blocks array<int>").withColumn("_block", F.explode("_blocks")).drop("_blocks")
+
+
+def _meet(routed: DataFrame, cases: DataFrame, k: int, monitor_block: int) -> DataFrame:
+    """Best cases of every monitored series within each (block, part) it is sent to; groups have a bounded size on both sides."""
+    shares = cut(routed.groupBy("_block").agg(F.ceil(F.count("*") / F.lit(monitor_block)).cast("int").alias("_shares")))
+    # one row per block on both sides, so at most MOST_BLOCKS
+    left = routed.join(F.broadcast(shares), "_block").withColumn("_share", F.pmod(F.xxhash64("car_name", "issue"), F.col("_shares")).cast("int"))
+    left = left.withColumn("_part", F.explode("_parts")).drop("_shares", "_parts")
+    copies = shares.select("_block", F.explode(F.sequence(F.lit(0), F.col("_shares") - 1)).alias("_share"))
+    right = cases.join(copies, "_block")
+    schema = "car_name string, issue string, case_car string, case_issue string, trigger_date date, distance double"
+    keys = ["_block", "_part", "_share"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(lambda m, c: _nearest_in_cell(k)(m, c), schema)
+
+
 def nearest_cases(monitored: DataFrame, cases: DataFrame, k: int = 3, monitor_block: int = 512,
                   case_block: int = 2048) -> DataFrame:
     """The ``k`` nearest cases of every monitored series among cases of another car and another issue.
 
     ``monitored`` has (car_name, issue, monitor_scores), ``cases`` (case_car, case_issue, trigger_date,
-    case_scores).  Both sides are dealt into blocks of bounded size and every pair of blocks is one
-    group, so no task holds a whole side and no pair leaves its task: a group returns its own ``k``
-    best per series, found exactly by skipping pairs whose lower bound is already too far.  Ranks
-    break ties by car, issue and date.  The sides are counted to choose the number of blocks, so pass
-    stored tables.
+    case_scores).  Cases are sorted by their maxima and ends into blocks of about ``case_block`` cases, and the extremes of
+    each block are kept.  A first pass meets each series with the block of the smallest bound, which gives a distance that its
+    ``k``-th best case cannot exceed; only blocks that may hold something nearer are met in the second.  Nothing is
+    approximate: bounds only skip what is too far.  Ranks break ties by car, issue and date.  The cases are counted
+    to choose the number of blocks, so pass stored tables.
     """
-    blocks_m = -(-max(monitored.count(), 1) // monitor_block)
-    blocks_c = -(-max(cases.count(), 1) // case_block)
-
-    def dealt(df: DataFrame, keys: list[str], own: int, own_name: str, other: int, other_name: str) -> DataFrame:
-        copies = F.explode(F.sequence(F.lit(0), F.lit(other - 1))).alias(other_name)
-        return df.select("*", F.pmod(F.xxhash64(*keys), F.lit(own)).cast("int").alias(own_name), copies)
-
-    left = dealt(monitored, ["car_name", "issue"], blocks_m, "_bm", blocks_c, "_bc")
-    right = dealt(cases, ["case_car", "case_issue", "trigger_date"], blocks_c, "_bc", blocks_m, "_bm")
-    schema = ("car_name string, issue string, case_car string, case_issue string, "
-              "trigger_date date, distance double")
-    found = (left.groupBy("_bm", "_bc").cogroup(right.groupBy("_bm", "_bc"))
-             .applyInPandas(lambda m, c: _nearest_in_cell(k)(m, c), schema))
+    blocks = min(-(-max(cases.count(), 1) // case_block), MOST_BLOCKS)
+    keys = ["case_car", "case_issue", "trigger_date"]
+    order = ["_high", "_last", *keys]
+    scored = cases.select(*keys, "case_scores").withColumns({
+        "_low": F.array_min("case_scores"), "_high": F.array_max("case_scores"),
+        "_first": F.try_element_at("case_scores", F.lit(1)), "_last": F.try_element_at("case_scores", F.lit(-1))})
+    dealt = scored.repartitionByRange(blocks, *order).withColumn("_block", F.spark_partition_id())
+    per_block = Window.partitionBy("_block")
+    dealt = cut(dealt.withColumn("_part", F.pmod(F.xxhash64(*keys), F.ceil(F.count("*").over(per_block) / F.lit(case_block))).cast("int")))
+    known = envelopes(dealt).toPandas()  # MOST_BLOCKS rows at most
+    if known.empty:
+        return dealt.limit(0).selectExpr("'' AS car_name", "'' AS issue", "case_car", "case_issue", "trigger_date", "0D AS distance", "0 AS rank")
+    parts = dealt.groupBy("_block").agg(F.array_sort(F.collect_set("_part")).alias("_all"))
+    plain = dealt.select(*keys, "case_scores", "_block", "_part")
+    # First pass: one part of one block.
+    pilots = cut(_route(monitored.select("car_name", "issue", "monitor_scores"), known, True).join(F.broadcast(parts), "_block")
+                 .withColumn("_parts", F.slice("_all", 1, 1)).drop("_all").withColumn("limit", F.lit(float("inf"))))
+    first = cut(_meet(pilots, plain, k, monitor_block))
+    limits = first.groupBy("car_name", "issue").agg(F.count("*").alias("_n"), F.max("distance").alias("_kth"))
+    pair = ["car_name", "issue"]
+    renamed = limits.select(*[F.col(c).alias(f"_{c}") for c in pair], "_n", "_kth")
+    same = F.col("car_name").eqNullSafe(F.col("_car_name")) & F.col("issue").eqNullSafe(F.col("_issue"))
+    limited = pilots.withColumnRenamed("_block", "_met").drop("limit", "_parts").join(renamed, same, "left").withColumn(
+        "limit", F.when(F.col("_n") == k, F.col("_kth")).otherwise(F.lit(float("inf")))).drop("_car_name", "_issue", "_n", "_kth")
+    # Second pass: what may be nearer, without what was met.
+    routed = _route(limited, known, False).join(F.broadcast(parts), "_block")
+    rest = F.when(F.col("_block") == F.col("_met"), F.slice("_all", 2, F.size("_all"))).otherwise(F.col("_all"))
+    routed = cut(routed.withColumn("_parts", rest).drop("_all", "_met").filter(F.size("_parts") > 0))
+    found = first.unionByName(_meet(routed, plain, k, monitor_block))
     order = [F.col("distance"), F.col("case_car"), F.col("case_issue"), F.col("trigger_date")]
     return top_k(found, ["car_name", "issue"], order, k, "rank")
 

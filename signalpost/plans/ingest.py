@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from signalpost.functions import text as texts
 from signalpost.functions import values
+from signalpost.functions.matching import find_labels
 from signalpost.functions.times import date_part_text
 from signalpost.operators.tables import dedupe_first, insert_ignore, upsert, upsert_days
-from signalpost.scale import contains_join, measured_join
 
 COUNTER_COLS = ["comments", "num_views", "num_likes"]
 
@@ -42,13 +42,11 @@ def rejects(raw: DataFrame) -> DataFrame:
 def tag_by_table(posts: DataFrame, key: str, text: str, dictionary: DataFrame) -> DataFrame:
     """Labels from a dictionary table of any size, in dictionary order, as JSON text.
 
-    ``dictionary`` has (position, defect_type, keywords); ``key`` is unique in ``posts``.
+    ``dictionary`` has (position, defect_type, keywords).  Every text is read once and stays in its task.
     """
-    keys = dictionary.select("position", "defect_type", F.explode("keywords").alias("keyword"))
-    hits = (measured_join(contains_join(posts, key, text, keys, "keyword"), keys, ["keyword"], F.col(key))
-            .groupBy(key).agg(F.array_sort(F.collect_set(F.struct("position", "defect_type"))).alias("_hits"))
-            .select(key, F.to_json(F.transform("_hits", lambda h: h["defect_type"])).alias("issue")))
-    return posts.join(hits, key, "left").na.fill({"issue": "[]"})
+    keys = dictionary.select("position", F.col("defect_type").alias("label"), F.explode("keywords").alias("pattern"))
+    tagged = find_labels(posts, text, keys, "_hits")
+    return tagged.withColumn("issue", F.to_json(F.transform("_hits", lambda h: h["label"]))).drop("_hits")
 
 
 def post_rows(cleaned: DataFrame) -> DataFrame:

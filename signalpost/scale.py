@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from signalpost.functions.matching import find_labels
 from signalpost.session import cut
 
 SALTS = 16
@@ -88,15 +89,10 @@ def substrings(col: Column, max_length: int) -> Column:
 
 
 def name_matches(texts: DataFrame, text: str, names: DataFrame, name: str, max_length: int = 64) -> DataFrame:
-    """Distinct pairs (text, name) where the short text contains the name.
-
-    Texts are listed by their substrings and meet the names by equality, so only true matches are
-    produced.  A name longer than ``max_length`` is compared by its first ``max_length`` characters
-    and then in full.
-    """
-    parts = texts.select(text).distinct().withColumn("_part", F.explode(substrings(F.col(text), max_length)))
-    heads = names.select(name).distinct().withColumn("_part", F.substring(F.col(name), 1, max_length))
-    return measured_join(parts, heads, ["_part"], F.col(text)).filter(F.contains(F.col(text), F.col(name))).drop("_part")
+    """Distinct pairs (text, name) where the short text contains the name, from one reading of the distinct texts."""
+    dictionary = names.select(F.col(name).alias("pattern"), F.lit(0).alias("position"), F.col(name).alias("label"))
+    found = find_labels(texts.select(text).distinct(), text, dictionary, "_found")
+    return found.select(text, F.explode("_found").alias("_f")).select(text, F.col("_f.label").alias(name))
 
 
 def contains_join(texts: DataFrame, key: str, text: str, words: DataFrame, word: str, gram: int = 4) -> DataFrame:
