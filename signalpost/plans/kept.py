@@ -9,7 +9,7 @@ Three facts make the daily scores of ``interest.interest_series`` incremental.
 * The averages are linear too, so an average goes on from its last stored value: only days from the first changed one are computed again, and
   only for series that changed.
 
-Every run writes new folders named by its batch, and at last a manifest that says which folder holds which day.  A run that ends halfway has
+Every run writes new folders named by its batch, and at last a manifest that says which folder holds which span of 32 days.  A run that ends halfway has
 changed nothing, and a batch that is already in the manifest is not taken twice.
 """
 
@@ -22,7 +22,7 @@ from signalpost.functions.times import boost, compose_ts, run_time
 from signalpost.functions.values import has_label
 from signalpost.operators import aggregates, windows
 from signalpost.plans.interest import SERIES, explode_issues
-from signalpost.scale import SALTS, is_small
+from signalpost.scale import is_small
 from signalpost.session import cut
 
 CELL = ["car_name", "issue", "community"]
@@ -32,15 +32,24 @@ CELLS = "day_no int, car_name string, issue string, community string, n bigint,
 LIMITS = "community string, low_v double, high_v double, low_l double, high_l double"
 # Averages of a series' community at one day, before scaling, and the posts of the series that day.
 AVERAGES = "day_no int, car_name string, issue string, community string, n_posts bigint, a_sv double, a_nv double, b_sl double, b_nl double"
-MANIFEST = "part string, day_no int, batch bigint, asof string"
-# Fixed value: place of posts without a date, before all days.
-NO_DAY = -(1 << 31)
+MANIFEST = "part string, span int, batch bigint, asof string"
+# Place of posts without a date, before all days; days of one stored folder.
+NO_DAY, SPAN = -(1 << 31), 32
 
 
 def _day_no(date: Column) -> Column:
     return F.coalesce(F.unix_date(date), F.lit(NO_DAY))
 
 
+def _span(day_no: Column) -> Column:
+    return F.floor(day_no / SPAN).cast("int")
+
+
+def _spans(rows: DataFrame) -> list[int]:
+    """Spans of the calendar that hold some rows."""
+    return [r[0] for r in rows.select(_span(F.col("day_no"))).distinct().collect()]
+
+
 def _same(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Equi join where missing keys meet; the keys of the left side stay."""
     renamed = right.select(*[F.col(c).alias(f"_key_{c}") if c in keys else F.col(c) for c in right.columns])
@@ -77,23 +86,24 @@ class KeptSeries:
         return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch=") and self._exists(f"{self.root}/manifest/{n}/_SUCCESS"))
 
     def _manifest(self) -> list:
-        """Which batch holds which day of a part: one row per calendar day and part."""
+        """Which batch holds which span of days of a part: one row per span of the calendar and part."""
         done = self.batches()
         return self.spark.read.schema(MANIFEST).parquet(self._path("manifest", done[-1])).collect() if done else []
 
-    def _days(self, part: str, schema: str, manifest: list, first: int | None = None, last: int | None = None) -> DataFrame:
-        """Stored days of a part, from ``first`` to below ``last``; only their folders are read."""
-        paths = [f"{self._path(part, r['batch'])}/day={r['day_no']}" for r in manifest if r["part"] == part
-                 and (first is None or r["day_no"] >= first) and (last is None or r["day_no"] < last)]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+    def _days(self, part: str, schema: str, manifest: list, first: int | None = None, last: int | None = None, spans: list[int] | None = None) -> DataFrame:
+        """Stored days of a part, from ``first`` to below ``last``, or of some spans; only the folders of these are read."""
+        paths = [f"{self._path(part, r['batch'])}/span={r['span']}" for r in manifest if r["part"] == part
+                 and (first is None or r["span"] >= first // SPAN) and (last is None or r["span"] <= (last - 1) // SPAN) and (spans is None or r["span"] in spans)]
+        rows = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        rows = rows if first is None else rows.filter(F.col("day_no") >= first)
+        return rows if last is None else rows.filter(F.col("day_no") < last)
 
     def _whole(self, part: str, schema: str, manifest: list) -> DataFrame:
         paths = [self._path(part, r["batch"]) for r in manifest if r["part"] == part]
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def _write_days(self, rows: DataFrame, part: str, batch: int) -> None:
-        rows.withColumn("day", F.col("day_no")).repartition("day", F.pmod(F.xxhash64(*CELL), F.lit(SALTS))).write.mode("overwrite").partitionBy("day").parquet(
-            self._path(part, batch))
+        rows.withColumn("span", _span(F.col("day_no"))).hint("rebalance", "span").write.mode("overwrite").partitionBy("span").parquet(self._path(part, batch))
 
     # --- cells and averages
 
@@ -156,34 +166,31 @@ class KeptSeries:
         pool.filter(self._recent(asof)).write.mode("overwrite").parquet(self._path("recent", batch))
 
         delta = cut(self._cells(pool.filter(~self._recent(asof))))
-        changed = [r["day_no"] for r in delta.select("day_no").distinct().collect()]  # calendar days
+        changed = _spans(delta)
         self._limits(self._whole("limits", LIMITS, manifest), delta).write.mode("overwrite").parquet(self._path("limits", batch))
-        new_days: dict[tuple[str, int], int] = {}
+        new_spans: dict[tuple[str, int], int] = {}
         if changed:
-            held = self._days_of("cells", CELLS, manifest, changed)
+            held = self._days("cells", CELLS, manifest, spans=changed)
             merged = held.unionByName(delta.select(*held.columns)).groupBy("day_no", *CELL).agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS])
             self._write_days(merged.selectExpr(*held.columns), "cells", batch)
-            new_days |= {("cells", d): batch for d in changed}
-            after = self._merged(manifest, new_days, asof)
-            new_days |= {("averages", d): batch for d in self._renew_averages(delta, after, manifest, batch)}
+            new_spans |= {("cells", d): batch for d in changed}
+            after = self._merged(manifest, new_spans, asof)
+            new_spans |= {("averages", d): batch for d in self._renew_averages(delta, after, manifest, batch)}
         else:
             self._whole("last", AVERAGES, manifest).write.mode("overwrite").parquet(self._path("last", batch))
-        final = [r for r in self._merged(manifest, new_days, asof) if r["part"] in ("cells", "averages")]
-        final += [{"part": p, "day_no": None, "batch": batch, "asof": asof[:16]} for p in ("recent", "limits", "last")]
-        rows = self.spark.createDataFrame([(r["part"], r["day_no"], r["batch"], asof[:16]) for r in final], MANIFEST)
+        final = [r for r in self._merged(manifest, new_spans, asof) if r["part"] in ("cells", "averages")]
+        final += [{"part": p, "span": None, "batch": batch, "asof": asof[:16]} for p in ("recent", "limits", "last")]
+        rows = self.spark.createDataFrame([(r["part"], r["span"], r["batch"], asof[:16]) for r in final], MANIFEST)
         rows.coalesce(1).write.mode("overwrite").parquet(self._path("manifest", batch))
         return True
 
-    def _days_of(self, part: str, schema: str, manifest: list, days: list[int]) -> DataFrame:
-        return self._days(part, schema, [r for r in manifest if r["day_no"] in set(days)])
-
     @staticmethod
-    def _merged(manifest: list, new_days: dict[tuple[str, int], int], asof: str) -> list:
-        old = [{"part": r["part"], "day_no": r["day_no"], "batch": r["batch"], "asof": asof[:16]} for r in manifest if (r["part"], r["day_no"]) not in new_days]
-        return old + [{"part": p, "day_no": d, "batch": b, "asof": asof[:16]} for (p, d), b in new_days.items()]
+    def _merged(manifest: list, new_spans: dict[tuple[str, int], int], asof: str) -> list:
+        old = [{"part": r["part"], "span": r["span"], "batch": r["batch"], "asof": asof[:16]} for r in manifest if (r["part"], r["span"]) not in new_spans]
+        return old + [{"part": p, "span": d, "batch": b, "asof": asof[:16]} for (p, d), b in new_spans.items()]
 
     def _renew_averages(self, delta: DataFrame, after: list, manifest: list, batch: int) -> list[int]:
-        """Averages of the changed series from their first changed day on; returns the days that were written."""
+        """Averages of the changed series from their first changed day on; returns the spans that were written."""
         last = self._whole("last", AVERAGES, manifest)
         ends = last.groupBy(*SERIES).agg(F.max("day_no").alias("end"))
         firsts = cut(_same(delta.groupBy(*SERIES).agg(F.min("day_no").alias("first")), ends, SERIES, "left"))
@@ -199,14 +206,14 @@ class KeptSeries:
         cells = _same(self._days("cells", CELLS, after, first=begin), firsts, SERIES, "inner").filter(F.col("day_no") >= F.col("first"))
         cells = cut(cells.select(*[c.split()[0] for c in CELLS.split(", ")]))
         renewed = cut(self._averages(cells, seeds))
-        days = [r["day_no"] for r in renewed.select("day_no").distinct().collect()]  # calendar days
-        held = self._days_of("averages", AVERAGES, manifest, days)
+        spans = _spans(renewed)
+        held = self._days("averages", AVERAGES, manifest, spans=spans)
         keep = _same(held, firsts.withColumnRenamed("end", "_end"), SERIES, "left").filter(F.col("first").isNull() | (F.col("day_no") < F.col("first")))
         self._write_days(keep.select(*renewed.columns).unionByName(renewed), "averages", batch)
         ended = _same(renewed, renewed.groupBy(*SERIES).agg(F.max("day_no").alias("_end")), SERIES, "inner").filter(F.col("day_no") == F.col("_end")).drop("_end")
         _same(last, firsts, SERIES, "left_anti").unionByName(ended).write.mode("overwrite").parquet(self._path("last", batch))
         self.read_rows["cells"] = cells.count()
-        return days
+        return spans
 
     # --- result
 
