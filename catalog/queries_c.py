@@ -28,7 +28,8 @@ def c01(spark, sf):
   FROM labelled JOIN bounds USING (community)""", "bounds")
 def c02(spark, sf):
     posts = V.labelled(spark, sf)
-    return posts.join(aggregates.bounds(posts), "community").select("url", "issue", "community", "min_log_view", "max_log_view")
+    limits = aggregates.bounds(posts)
+    return measured_join(posts, limits, ["community"], F.col("url")).select("url", "issue", "community", "min_log_view", "max_log_view")
 
 
 @query("c03_trigger_posts", "SELECT car_name, issue, CAST(upload_date AS VARCHAR) AS upload_date, url FROM trigger_urls", "trigger_urls")

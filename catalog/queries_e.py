@@ -176,9 +176,7 @@ def e14(spark, sf):
     mine = s.filter((F.col("car_name") == "car0") & (F.col("issue") == "error") & (F.col("upload_date") > "2024-01-20"))
     points = mine.agg(F.sort_array(F.collect_list(F.struct("upload_date", "score"))).alias("p"))
     query_array = points.select(F.transform("p", lambda x: x["score"])).scalar()
-    length = mine.agg(F.count("*")).scalar()
-    cut = windows.sliding_windows(s, KEYS, "upload_date", "score", 10, length)
-    return similar.best_subsequence(cut, KEYS, query_array).drop("window")
+    return similar.best_windows(s, KEYS, "upload_date", "score", query_array, 10).drop("window")
 
 
 @query("e15_rising_terms", """SELECT term, short_count, expected_short_count, long_count, round(poisson_score, 6) AS poisson_score FROM rising""", "rising")

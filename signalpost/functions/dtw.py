@@ -22,9 +22,11 @@ def pad(series) -> tuple[np.ndarray, np.ndarray]:
 
 
 def distances(a: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_size: np.ndarray,
-              squared: bool = True) -> np.ndarray:
+              squared: bool = True, limit: float = np.inf) -> np.ndarray:
     """Full warping distance of paired rows; an empty side gives infinity.
 
+    With a ``limit`` the rows are given up, as infinity, once none of those unfinished can come below it.
+
     Cells of one anti-diagonal depend on the two diagonals before only, so each step works on a
     (pairs x diagonal) matrix.  ``squared`` is the square root of summed squares, else summed
     absolute differences.
@@ -32,6 +34,7 @@ def distances(a: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_size: np.ndarr
     pairs, n = a.shape
     m = b.shape[1]
     result = np.full(pairs, np.inf)
+    limit = limit * limit if squared else limit
     older = np.full((pairs, n + 1), np.inf)  # column i + 1 holds row i of a diagonal
     last = np.full((pairs, n + 1), np.inf)
     end = a_size + b_size - 2
@@ -49,6 +52,10 @@ def distances(a: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_size: np.ndarr
             here[:, low + 1:high + 2] = cost + before
         done = np.nonzero((end == diagonal) & (a_size > 0) & (b_size > 0))[0]
         result[done] = here[done, a_size[done]]
+        if limit < np.inf:  # every way crosses this diagonal or the one before
+            least = np.minimum(here.min(axis=1), last.min(axis=1))
+            if not ((least <= limit) & (end > diagonal)).any():
+                break
         older, last = last, here
     return np.sqrt(result) if squared else result
 

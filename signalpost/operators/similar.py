@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from signalpost.functions.dtw import dtw, paired_distances
+from signalpost.functions.dtw import distances, dtw, paired_distances
 from signalpost.functions.series import scores
 from signalpost.operators.tables import top_k
 from signalpost.scale import interval_join
@@ -216,8 +216,61 @@ def rank_known_cases(known: DataFrame, monitored_scores, k: int = 5) -> DataFram
     return measured.orderBy("distance", "car_name", "issue").limit(k)
 
 
-def best_subsequence(windows: DataFrame, keys: list[str], query) -> DataFrame:
-    """Window with the smallest absolute-cost distance to a query array; the earliest wins ties."""
-    measured = windows.withColumn("distance", F.round(dtw(F.col("window"), query, "absolute"), DIGITS))
-    best = F.struct("distance", "start", "window")
-    return measured.groupBy(*keys).agg(F.min(best).alias("_b")).select(*keys, "_b.*")
+def _window_bounds(windows: np.ndarray, sizes: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Absolute-cost distance no warping of a window and the query can go below: both ends meet, and points outside the other's range stay away."""
+    inside = np.arange(windows.shape[1])[None, :] < sizes[:, None]
+    ends = np.abs(windows[:, 0] - query[0])
+    ends = ends + np.where((sizes > 1) | (len(query) > 1), np.abs(windows[np.arange(len(sizes)), sizes - 1] - query[-1]), 0.0)
+    low = np.where(inside, windows, np.inf).min(axis=1)[:, None]
+    high = np.where(inside, windows, -np.inf).max(axis=1)[:, None]
+    outside = (np.maximum(query[None, :] - high, 0) + np.maximum(low - query[None, :], 0)).sum(axis=1)
+    reach = np.where(inside, np.maximum(windows - query.max(), 0) + np.maximum(query.min() - windows, 0), 0.0).sum(axis=1)
+    return np.maximum(ends, np.maximum(outside, reach))
+
+
+def nearest_window(values: list, query: list, size: int, block: int = 64, counted: list | None = None) -> tuple | None:
+    """(start, distance, window) of the window of one series that is nearest to the query, the earliest at ties; None without one.
+
+    All windows are rows of one view of the series.  They are met in the order of their lower bounds, a block at a time, and what is left is given
+    up once its bounds are above the best distance.
+    """
+    data, query = np.asarray(values, dtype=float), np.asarray(query, dtype=float)
+    count = len(data) - len(query) + 1
+    if count <= 0 or not len(query):
+        return None
+    padded = np.r_[data, np.zeros(size - 1)]
+    windows = np.lib.stride_tricks.sliding_window_view(padded, size)[:count]
+    sizes = np.minimum(size, len(data) - np.arange(count))
+    bounds = _window_bounds(windows, sizes, query)
+    order = np.argsort(bounds, kind="stable")
+    best = (np.inf, -1)
+    for at in range(0, count, block):
+        chosen = order[at:at + block]
+        if bounds[chosen[0]] * (1 - 1e-12) > best[0] + 10.0 ** -DIGITS:
+            break
+        repeated = np.broadcast_to(query, (len(chosen), len(query)))
+        exact = np.round(distances(windows[chosen], sizes[chosen], repeated, np.full(len(chosen), len(query)), False, best[0] + 10.0 ** -DIGITS), DIGITS)
+        best = min(best, *zip(exact.tolist(), chosen.tolist()))
+        if counted is not None:
+            counted.append(len(chosen))
+    start = best[1]
+    return (start, best[0], windows[start][:sizes[start]].tolist()) if start >= 0 else None
+
+
+def best_windows(df: DataFrame, keys: list[str], order: str, col: str, query: Column, size: int) -> DataFrame:
+    """Window of ``size`` consecutive points with the smallest absolute-cost distance to a query array, per key.
+
+    A window starts at any point from which the series is at least as long as the query; the last ones may be shorter than ``size``.  A series is one array
+    (a value per day at most) and its windows are never rows.  Rows without a value do not count.
+    """
+    kind = "struct<start:int,distance:double,window:array<double>>"
+
+    @F.pandas_udf(kind)
+    def nearest(series: pd.Series, wanted: pd.Series) -> pd.DataFrame:
+        found = [nearest_window(s, q, size) if s is not None and q is not None else None for s, q in zip(series, wanted)]
+        rows = [f if f else (-1, np.nan, None) for f in found]
+        return pd.DataFrame(rows, columns=["start", "distance", "window"])
+
+    points = df.filter(F.col(col).isNotNull()).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(order, F.col(col).cast("double").alias("_v")))).alias("_p"))
+    best = points.withColumn("_b", nearest(F.transform("_p", lambda p: p["_v"]), query))
+    return best.filter(F.col("_b.start") >= 0).select(*keys, "_b.*")

@@ -118,15 +118,14 @@ def overlay(base: DataFrame, patch: DataFrame, key: str, cols: list[str]) -> Dat
                            for c in base.columns])
 
 
-def load_with_post_id(df: DataFrame, order_cols: list[str], name: str = "post_id") -> DataFrame:
-    """Dense key 1..n in sort order, without bringing the table into one task.
+def numbered(df: DataFrame, name: str) -> DataFrame:
+    """Position of each row in the present order of the table, 1..n, without bringing it into one task.
 
-    The rows are range-sorted and stored once, so that the position within a stored partition is
-    final; the key adds the sizes of the partitions before.  That list has one row per partition.
-    End ``order_cols`` with a unique column so that equal values can be spread.
+    The rows are stored once, so that the position within a stored partition is final; the number adds the sizes of the
+    partitions before.  That list has one row per partition.
     """
     place = F.monotonically_increasing_id()
-    stored = cut(df.orderBy(*order_cols).withColumn("_place", place))
+    stored = cut(df.withColumn("_place", place))
     stored = (stored.withColumn("_part", F.shiftright("_place", 33))
               .withColumn("_row", F.col("_place").bitwiseAND((1 << 33) - 1)))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -137,6 +136,11 @@ def load_with_post_id(df: DataFrame, order_cols: list[str], name: str = "post_id
             .drop("_place", "_part", "_row", "_offset"))
 
 
+def load_with_post_id(df: DataFrame, order_cols: list[str], name: str = "post_id") -> DataFrame:
+    """Dense key 1..n in sort order.  End ``order_cols`` with a unique column so that equal values can be spread."""
+    return numbered(df.orderBy(*order_cols), name)
+
+
 def attach_urls(posts: DataFrame, triggers: DataFrame) -> DataFrame:
     """Posts of trigger days: posts and triggers share (car_name, issue, upload_date)."""
     return measured_join(posts.select("car_name", "issue", "upload_date", "url"), triggers,

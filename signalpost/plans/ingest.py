@@ -79,6 +79,19 @@ def merge_ranges(parts: list[DataFrame], ties: tuple[str, ...] = ("Url",)) -> Da
     return merged.orderBy("Date", "Time", *ties)
 
 
+def merge_by_cell(parts: list[DataFrame], cell: list[str], ties: tuple[str, ...] = ("Url",)) -> DataFrame:
+    """Range files of all cells, ready to be written by cell: one shuffle deals the rows into ranges of (cell, time).
+
+    A small cell lies in one task and becomes one file, a large one becomes several files in order of time; there is no order over
+    the whole table.
+    """
+    merged = parts[0]
+    for part in parts[1:]:
+        merged = merged.unionByName(part, allowMissingColumns=True)
+    order = [*cell, "Date", "Time", *ties]
+    return merged.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def ingest_news(current: DataFrame, raw: DataFrame, reply: str = "reply") -> DataFrame:
     """New state of the news table: model replies are read, irrelevant news dropped, known URLs kept."""
     df = raw.na.fill("", ["upload_date", "upload_time", "title", "body", "url"])

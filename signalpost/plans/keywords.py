@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from signalpost.functions.series import poisson_pmf, rescale
-from signalpost.functions.text import any_keyword, lexicon_count, weighted_terms
+from signalpost.functions.text import any_keyword, lexicon_count, terms as text_terms, weighted_terms
 from signalpost.operators import aggregates, windows
-from signalpost.operators.similar import best_subsequence
+from signalpost.operators.similar import best_windows
 from signalpost.operators.tables import top_k
 
 WEIGHTS = {"title": 5, "body": 2, "comments": 1}
@@ -63,10 +63,21 @@ def negative_change_points(posts: DataFrame, keywords: list[str], negative: list
     return windows.change_points(daily, "upload_date", "negative_words", n, min_periods, threshold)
 
 
-def term_series(posts: DataFrame, weights: dict[str, int], terms: list[str]) -> DataFrame:
-    """Daily weighted counts of some terms on every day that has a post, 0 where a term is absent."""
-    found = weighted_terms(posts.select("upload_date", *weights), weights, distinct=False).filter(F.col("term").isin(terms))
-    counts = aggregates.term_days(found, "upload_date")
+def term_series(posts: DataFrame, weights: dict[str, int], terms: list[str], start: str | None = None, end: str | None = None) -> DataFrame:
+    """Daily weighted counts of some terms on every day that has a post, 0 where a term is absent.
+
+    The wanted terms are counted inside the array of a text's terms, so no other term becomes a row.  ``start`` and ``end`` (both included) limit the
+    days that are read.
+    """
+    if start:
+        posts = posts.filter(F.col("upload_date") >= F.to_date(F.lit(start)))
+    if end:
+        posts = posts.filter(F.col("upload_date") <= F.to_date(F.lit(end)))
+    wanted = F.array(*[F.lit(t) for t in terms])
+    fields = [(F.filter(text_terms(F.col(c), False), lambda t: F.array_contains(wanted, t)), w) for c, w in weights.items() if w]
+    per_post = F.filter(F.transform(wanted, lambda t: F.struct(t.alias("term"), sum(
+        (F.size(F.filter(found, lambda x: x == t)) * F.lit(w) for found, w in fields), F.lit(0)).cast("bigint").alias("weight"))), lambda x: x["weight"] > 0)
+    counts = aggregates.term_days(posts.select("upload_date", F.inline(per_post)), "upload_date")
     days = posts.select("upload_date").distinct().select(
         "upload_date", F.explode(F.array(*[F.lit(t) for t in terms])).alias("term"))
     return days.join(counts, ["upload_date", "term"], "left").na.fill(0, ["weight"])
@@ -86,10 +97,7 @@ def similar_period(series: DataFrame, base: str, other: str, today: str, base_da
                              & (F.col("upload_date") <= end))
         return windows.rolling_mean(part, ["term"], "upload_date", "weight", n, "mean", 1)
 
-    query_points = smooth(other, other_days, other_mean)
-    query = query_points.agg(F.transform(F.sort_array(F.collect_list(F.struct("upload_date", "mean"))),
-                                         lambda x: x["mean"])).scalar()
-    length = query_points.agg(F.count("*")).scalar()
-    cut = windows.sliding_windows(smooth(base, base_days, base_mean), ["term"], "upload_date", "mean", size, length)
-    best = best_subsequence(cut.filter(length > 0), ["term"], query)
+    query = smooth(other, other_days, other_mean).agg(F.transform(F.sort_array(F.collect_list(F.struct("upload_date", "mean"))),
+                                                                  lambda x: x["mean"])).scalar()
+    best = best_windows(smooth(base, base_days, base_mean), ["term"], "upload_date", "mean", query, size)
     return best.withColumn("_query", query).withColumn("rescaled", rescale(F.col("_query"), F.col("window"))).drop("_query")

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from signalpost.functions.matching import find_labels
 from signalpost.session import cut
 
-SALTS = 16
 # A table up to these limits may be sent to every task.
 SMALL_ROWS, SMALL_BYTES = 100_000, 32 << 20
 
@@ -41,35 +40,86 @@ def measured_join(big: DataFrame, small: DataFrame, on: list[str], spread: Colum
     return salted_join(big.hint("merge"), small, on, spread, how)
 
 
+def hot_keys(big: DataFrame, on: list[str], tracked: int = 10_000) -> DataFrame:
+    """Keys with more than a task's share of the rows: hash of the key, and pieces it has to be cut into.
+
+    Counts come from a sketch that is merged from all tasks, so no key is shuffled.  A share is one of ``spark.sql.shuffle.partitions``
+    parts of all rows; a key is hot from half a share on, so there are at most twice as many hot keys as partitions.
+    """
+    shares = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashes = big.select(F.xxhash64(*on).alias("_hash"))
+    top = hashes.agg(F.count("*").alias("_rows"), F.expr(f"approx_top_k(_hash, {min(2 * shares, tracked)}, {tracked})").alias("_top"))
+    each = top.select("_rows", F.explode("_top").alias("_t"))
+    return each.filter(2 * shares * F.col("_t.count") > F.col("_rows")).select(
+        F.col("_t.item").alias("_hash"), F.ceil(2 * shares * F.col("_t.count") / F.col("_rows")).cast("int").alias("_pieces"))
+
+
+def dealt(big: DataFrame, small: DataFrame, on: list[str], spread: Column, salts: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join with a column ``_salt``: hot keys of ``big`` are cut by ``spread``, their rows of ``small`` copied for each piece.
+
+    Keys that are not hot have one piece and are not copied.  With ``salts`` every key has that many pieces.
+    """
+    if salts is None:
+        hot = F.broadcast(hot_keys(big, on))  # at most two rows per partition
+        pieces = F.coalesce(F.col("_pieces"), F.lit(1))
+        left = big.withColumn("_hash", F.xxhash64(*on)).join(hot, "_hash", "left")
+        right = small.withColumn("_hash", F.xxhash64(*on)).join(hot, "_hash", "left")
+    else:
+        pieces, left, right = F.lit(salts), big, small
+    left = left.withColumn("_salt", F.pmod(F.xxhash64(spread), pieces).cast("int"))
+    right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), pieces - 1)))
+    return left.drop("_hash", "_pieces"), right.drop("_hash", "_pieces")
+
+
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], spread: Column,
-                how: str = "inner", salts: int = SALTS) -> DataFrame:
-    """Equi join in which one hot key of ``big`` is spread over ``salts`` tasks.
+                how: str = "inner", salts: int | None = None) -> DataFrame:
+    """Equi join in which the rows of a hot key of ``big`` are spread over as many tasks as its count asks for.
 
-    ``spread`` is a column of ``big`` that differs within a key.  ``small`` is copied once per salt,
-    so it should be the aggregated or filtered side.  ``how`` is inner, left, left_semi or left_anti.
+    ``spread`` is a column of ``big`` that differs within a key.  Hot keys are measured (``hot_keys``), so ``big`` should be cheap to read;
+    ``salts`` cuts every key into a fixed number of pieces instead.  ``how`` is inner, left, left_semi or left_anti.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type {how}")
-    left = big.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(salts)))
-    copies = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-    right = small.withColumn("_salt", F.explode(copies))
+    left, right = dealt(big, small, on, spread, salts)
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 
 
+def dyadic_cells(low: Column, high: Column, levels: int = 62) -> Column:
+    """Cells (level, number) that together cover the whole numbers from ``low`` to ``high``, at most two per level.
+
+    A cell of level n holds 2^n numbers.  At each level the range inside whole cells is cut on the left if its first cell is odd, on the
+    right if its last one is even; what is between belongs to wider cells.
+    """
+    def at_level(n: Column) -> Column:
+        first = -F.call_function("shiftright", -low, n)  # the first whole cell
+        end = F.call_function("shiftright", high + 1, n)  # one past the last whole cell
+        left = F.when((first < end) & (F.pmod(first, F.lit(2)) == 1), F.struct(n.alias("level"), first.alias("number")))
+        right = F.when((first < end) & (F.pmod(end, F.lit(2)) == 1), F.struct(n.alias("level"), (end - 1).alias("number")))
+        return F.array_compact(F.array(left, right))
+
+    low, high = low.cast("bigint"), high.cast("bigint")
+    # Levels wider than the range hold no whole cell, so only those up to its length are tried.
+    widest = F.least(F.ceil(F.log2(F.greatest(high - low, F.lit(0)) + 2.0)).cast("int"), F.lit(levels))
+    return F.flatten(F.transform(F.sequence(F.lit(0), widest), at_level))
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, on: list[str], point: Column,
                   low: Column, high: Column, width: int, spread: Column | None = None,
-                  salts: int = SALTS) -> DataFrame:
+                  salts: int | None = None) -> DataFrame:
     """Inner join of points with the closed intervals that hold them.
 
-    ``point``, ``low`` and ``high`` are whole numbers (days or seconds).  The axis is cut into cells
-    of ``width``; a point lies in one cell, an interval is listed once per cell it touches, and both
-    meet on the cell number.  ``spread`` salts the points against hot cells.
+    ``point``, ``low`` and ``high`` are whole numbers (days or seconds).  The axis is cut into cells of ``width`` and of twice, four
+    times, ... ``width``; an interval is listed in the few cells of doubling width that cover it, two per width at most, so its rows
+    grow with the logarithm of its length.  A point is listed once per width in use, and both meet on the cell.  ``spread`` cuts hot cells.
     """
     left = points.withColumn("_point", point.cast("bigint"))
-    left = left.withColumn("_cell", F.floor(F.col("_point") / width))
     right = intervals.withColumn("_low", low.cast("bigint")).withColumn("_high", high.cast("bigint"))
     right = right.filter(F.col("_low") <= F.col("_high")).withColumn(
-        "_cell", F.explode(F.sequence(F.floor(F.col("_low") / width), F.floor(F.col("_high") / width))))
+        "_cell", F.explode(dyadic_cells(F.floor(F.col("_low") / width), F.floor(F.col("_high") / width))))
+    in_use = right.agg(F.collect_set(F.col("_cell.level"))).scalar()  # 63 levels at most
+    unit = F.floor(F.col("_point") / width).cast("bigint")
+    left = left.withColumn("_levels", in_use).withColumn("_cell", F.explode(F.transform("_levels", lambda n: F.struct(
+        n.alias("level"), F.call_function("shiftright", unit, n).alias("number"))))).drop("_levels")
     keys = [*on, "_cell"]
     if spread is None:
         joined = left.join(right, keys)

@@ -181,3 +181,40 @@ def test_nested_columns_are_measured(spark):
     from signalpost.scale import is_small
     wide = spark.range(100).selectExpr("id", "array_repeat(id, 200000) AS a")
     assert is_small(wide.select("id")) and not is_small(wide)
+
+
+def test_hot_keys_are_cut_by_their_count(spark):
+    big = spark.range(20_000).select("id", F.when(F.col("id") % 5 < 3, "hot").when(F.col("id") % 5 == 3, None).otherwise(
+        F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k"))
+    small = spark.createDataFrame([("hot", 1), (None, 2), ("k1", 3), ("k2", 4), ("none", 5)], "k string, x int")
+    shares = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    left, right = scale.dealt(big, small, ["k"], F.col("id"))
+    sizes = {(r["k"], r["_salt"]): r["count"] for r in left.groupBy("k", "_salt").count().collect()}
+    assert max(sizes.values()) < 20_000 / shares  # over half the rows have one key; no piece has more than one task's share
+    copies = {r["k"]: r["count"] for r in right.groupBy("k").count().collect()}
+    assert copies["hot"] > 1 and copies["k1"] == copies["k2"] == copies["none"] == 1
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        plain = big.join(small, "k", how)
+        assert rows(scale.salted_join(big, small, ["k"], F.col("id"), how).select(*plain.columns)) == rows(plain)
+    assert scale.salted_join(big.limit(0), small, ["k"], F.col("id")).count() == 0
+
+
+def test_dyadic_cells_cover_each_number_once(spark):
+    rng = random.Random(6)
+    spans = [(a, a + rng.choice([0, 1, 2, 7, 8, 63, 64, 1000])) for a in (rng.randint(-300, 300) for _ in range(60))] + [(-64, -1), (0, 63), (-1, 0), (5, 5)]
+    df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(spans)], "i int, a bigint, b bigint")
+    for r in df.withColumn("cells", scale.dyadic_cells(F.col("a"), F.col("b"))).collect():
+        covered = [n for c in r["cells"] for n in range(c["number"] << c["level"], (c["number"] + 1) << c["level"])]
+        assert sorted(covered) == list(range(r["a"], r["b"] + 1)), (r["a"], r["b"])
+    ten_years = df.limit(1).select(F.size(scale.dyadic_cells(F.lit(123_456), F.lit(123_456 + 10 * 365 * 86_400)))).first()[0]
+    assert ten_years <= 2 * 29
+
+
+def test_long_intervals_have_few_rows(spark):
+    """An interval of ten years and short ones, hourly points."""
+    points = spark.range(0, 87_600, 24).select((F.col("id") * 3600).alias("s"))
+    spans = [(0, 0, 10 * 365 * 86_400), (1, 5000, 90_000), (2, 7 * 86_400, 7 * 86_400)]
+    intervals = spark.createDataFrame(spans, "j int, lo bigint, hi bigint")
+    got = scale.interval_join(points, intervals, [], F.col("s"), F.col("lo"), F.col("hi"), 60, F.col("s")).groupBy("j").count().collect()
+    want = {j: sum(lo <= h * 3600 <= hi for h in range(0, 87_600, 24)) for j, lo, hi in spans}
+    assert {r["j"]: r["count"] for r in got} == {j: n for j, n in want.items() if n}

@@ -143,3 +143,49 @@ def test_nearest_cases_equals_all_pairs(spark):
         ranked = sorted((round(brute_dtw(scores, c[3], True), 9), c[0], c[1], c[2]) for c in cases if c[0] != car and c[1] != issue)
         want |= {(car, issue, i + 1, r[1], r[2], r[3], round(r[0], 6)) for i, r in enumerate(ranked[:3])}
     assert {(r.car_name, r.issue, r["rank"], r.case_car, r.case_issue, r.trigger_date, round(r.distance, 6)) for r in got} == want
+
+
+def test_nearest_window_meets_few_windows():
+    from signalpost.functions.dtw import paired_distances
+    from signalpost.operators.similar import nearest_window
+    local = np.random.default_rng(12)
+    for size, length, n in ((5, 3, 40), (4, 4, 4), (3, 6, 30), (10, 7, 600), (2, 1, 9), (1, 1, 5), (4, 9, 5)):
+        series = np.round(np.cumsum(local.normal(size=n)), 2).tolist()
+        query = np.round(np.array(series[-length:]) + local.normal(0, 0.1, min(length, n)), 2).tolist() if n >= length else [1.0] * length
+        counted = []
+        got = nearest_window(series, query, size, 16, counted)
+        windows = [series[i:i + size] for i in range(n - length + 1)]
+        if not windows:
+            assert got is None
+            continue
+        exact = np.round(paired_distances(windows, [query] * len(windows), False), 9)
+        start = min(range(len(windows)), key=lambda i: (exact[i], i))
+        assert got == (start, exact[start], windows[start])
+        if n == 600:
+            assert sum(counted) < 0.5 * len(windows)
+    assert nearest_window([], [1.0], 3) is None and nearest_window([1.0], [], 3) is None
+
+
+def test_blocks_that_are_too_far_are_not_met(spark, monkeypatch):
+    from signalpost.operators import similar
+    local = np.random.default_rng(7)
+    cases = [(f"car{i % 9}", f"i{i % 4}", dt.date(2020, 1, 1) + dt.timedelta(days=i), (local.normal(size=int(local.integers(1, 9))) + 10 * (i % 30)).tolist()) for i in range(900)]
+    cases.append(("car1", "i1", dt.date(2019, 1, 1), []))
+    monitored = [(f"car{i % 9}", f"m{i}", (local.normal(size=6) + 10 * (i % 30)).tolist()) for i in range(60)] + [("car0", "i0", [])]
+    met = []
+    plain_meet = similar._meet
+    monkeypatch.setattr(similar, "_meet", lambda routed, *rest: met.append(routed.select(F.explode("_parts")).count()) or plain_meet(routed, *rest))
+    left = spark.createDataFrame(monitored, "car_name string, issue string, monitor_scores array<double>")
+    right = spark.createDataFrame(cases, "case_car string, case_issue string, trigger_date date, case_scores array<double>")
+    got = {(r["car_name"], r["issue"], r["rank"]): (r["case_car"], r["case_issue"], r["trigger_date"], r["distance"])
+           for r in nearest_cases(left, right, 3, 8, 40).collect()}
+    from signalpost.functions.dtw import paired_distances
+    want = {}
+    for car, issue, series in monitored:
+        pairs = [c for c in cases if c[0] != car and c[1] != issue]
+        far = np.round(paired_distances([series] * len(pairs), [c[3] for c in pairs]), 9)
+        best = sorted((d, *c[:3]) for d, c in zip(far.tolist(), pairs))[:3]
+        want |= {(car, issue, n): (*c, d) for n, (d, *c) in enumerate(best, 1)}
+    assert got == want
+    blocks = -(-len(cases) // 40)
+    assert sum(met) < 0.4 * blocks * len(monitored)  # series sent to blocks; without bounds each goes to all
