@@ -3,7 +3,8 @@
 Every benchmark item is cut into windows of consecutive words.  A window is a set of short shingles; a document that holds the
 window holds all of them, so the rarest shingle alone, the prefix, must be among the document's shingles.  Rarity is counted over the
 documents.  Prefixes are joined with the shingles of the documents; a match fixes where the window would begin, and windows that would not
-fit into the document are dropped.  What is left is compared word for word.
+fit into the document are dropped.  What is left is verified by all shingles of the window, which must follow each other in the document: these places
+are known from the same reading, so no text is read or moved again.
 """
 
 from __future__ import annotations
@@ -33,8 +34,12 @@ def runs(words: Column, size: Column | int) -> Column:
 
 
 def _shingles(words: Column, size: int) -> Column:
-    """Hashes of the runs of ``size`` words, in order."""
-    return F.transform(runs(words, size), lambda at: F.xxhash64(*[F.get(words, at + k) for k in range(size)]))
+    """Hashes of the runs of ``size`` words, in order: 96 bits, so that equal hashes are equal words in a corpus of any size."""
+    def of(at: Column) -> Column:
+        run = [F.get(words, at + k) for k in range(size)]
+        return F.struct(F.xxhash64(*run).alias("a"), F.hash(*run).alias("b"))
+
+    return F.transform(runs(words, size), of)
 
 
 def windows(items: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
@@ -46,8 +51,8 @@ def windows(items: DataFrame, width: int) -> tuple[DataFrame, DataFrame]:
     return each.dropDuplicates(["window"]).select("window", "words", F.size("words").alias("n")), each.select("window", "item")
 
 
-def candidates(docs: DataFrame, texts: DataFrame) -> DataFrame:
-    """(id, window, words, n, at): where the rarest shingle of a window says that it may begin."""
+def occurrences(docs: DataFrame, texts: DataFrame) -> DataFrame:
+    """(id, window, n, at): every place where a window begins in a document."""
     sizes = sorted(r[0] for r in texts.select(F.least("n", F.lit(SHINGLE))).distinct().collect())  # at most SHINGLE numbers
     parts = []
     for size in sizes:
@@ -65,13 +70,20 @@ def candidates(docs: DataFrame, texts: DataFrame) -> DataFrame:
             "id", F.size("w").alias("n_words"), F.posexplode(_shingles(F.col("w"), size)).alias("place", "shingle"))
         hits = measured_join(places, known.filter(F.col("size") == size), ["shingle"], F.xxhash64("id", "place"))
         found = hits if found is None else found.unionByName(hits)
-    found = stored(found.select("id", "n_words", "place", "size", "shingle"), "places")
+    found = stored(found.select("id", "n_words", "place", "size", "shingle").distinct(), "places")
     counts = found.groupBy("size", "shingle").agg(F.count("*").alias("seen"))
     ranked = tokens.join(counts, ["size", "shingle"], "left").withColumn("seen", F.coalesce("seen", F.lit(0)))
     prefix = ranked.groupBy("window").agg(F.min(F.struct("seen", "shingle", "offset", "size", "n")).alias("p")).select("window", "p.*").filter("seen > 0")
+    # Where the rarest shingle says that the window may begin, if it fits there.
     some = measured_join(found, prefix.drop("seen"), ["size", "shingle"], F.xxhash64("id", "place"))
     some = some.withColumn("at", F.col("place") - F.col("offset")).filter("at >= 0 AND at + n <= n_words")
-    return some.select("id", "window", "at").distinct()
+    some = stored(some.select("id", "window", "n", "at", "size").distinct(), "candidates")
+    # All shingles of the window must stand at their places.
+    asked = measured_join(some, tokens.select("window", "offset", "shingle"), ["window"], F.xxhash64("id", "at"))
+    asked = asked.withColumn("place", F.col("at") + F.col("offset"))
+    there = asked.join(found.select("id", "place", "size", "shingle"), ["id", "place", "size", "shingle"])
+    needed = F.greatest(F.col("n") - F.lit(SHINGLE) + 1, F.lit(1))
+    return there.groupBy("id", "window", "n", "at").agg(F.count("*").alias("_there")).filter(F.col("_there") == needed).drop("_there")
 
 
 def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -96,19 +108,19 @@ def contamination_of_texts(docs: DataFrame, items: DataFrame, key: str = "doc_id
     texts = stored(texts, "texts")
     counted = docs.select("id", F.size(plain_words(F.col("text"))).cast("bigint").alias("n_words"))
     if texts.isEmpty():
-        hits = counted.select("id", F.array().cast("array<string>").alias("windows"), F.lit(0).cast("bigint").alias("n_hit")).limit(0)
+        found = counted.select("id", F.lit(0).cast("bigint").alias("n_hit"), F.lit(0).cast("bigint").alias("n_items"), F.lit("").alias("items")).limit(0)
     else:
-        some = candidates(docs, texts).join(texts, "window")
-        lists = some.groupBy("id").agg(F.collect_list(F.struct("window", "words", "n", "at")).alias("some"))
-        rows = measured_join(docs, lists, ["id"], F.col("id")).select("id", "some", plain_words(F.col("text")).alias("w"))
-        true = F.filter("some", lambda c: F.slice(F.col("w"), c["at"] + 1, c["n"]) == c["words"])
-        rows = rows.select("id", true.alias("true")).filter(F.size("true") > 0)
-        hits = rows.select("id", F.array_distinct(F.transform("true", lambda c: c["window"])).alias("windows"), F.size(F.array_distinct(
-            F.flatten(F.transform("true", lambda c: F.sequence(c["at"], c["at"] + c["n"] - 1))))).cast("bigint").alias("n_hit")).distinct()
-    hits = stored(hits, "hits")
-    named = hits.select("id", F.explode("windows").alias("window")).join(owners, "window").select("id", F.col("item").cast("string").alias("item")).distinct()
-    named = named.groupBy("id").agg(F.count("*").alias("n_items"), F.concat_ws(",", F.array_sort(F.collect_list("item"))).alias("items"))
-    found = stored(hits.select("id", "n_hit").join(named, "id"), "contaminated")
+        hits = stored(occurrences(docs, texts), "hits")
+        words = hits.select("id", F.explode(F.sequence("at", F.col("at") + F.col("n") - 1)).alias("word")).distinct()
+        counts = words.groupBy("id").agg(F.count("*").alias("n_hit"))
+        # Documents with the same windows, such as copies, share their items: these are listed once per set of windows.
+        sets = hits.select("id", "window").distinct().groupBy("id").agg(F.array_sort(F.collect_list("window")).alias("windows"))
+        sets = stored(sets.select("id", "windows", F.sha2(F.concat_ws(",", "windows"), 256).alias("set")), "sets")
+        single = sets.dropDuplicates(["set"]).select("set", F.explode("windows").alias("window"))
+        named = measured_join(single, owners, ["window"], F.col("set")).select("set", F.col("item").cast("string").alias("item")).distinct()
+        named = named.groupBy("set").agg(F.count("*").alias("n_items"), F.concat_ws(",", F.array_sort(F.collect_list("item"))).alias("items"))
+        listed = measured_join(sets.select("id", "set"), named, ["set"], F.col("id"))
+        found = stored(counts.join(listed.select("id", "n_items", "items"), "id"), "contaminated")
     out = counted.join(found.withColumnRenamed("id", "other"), F.col("id").eqNullSafe(F.col("other")), "left")
     none = F.lit(0).cast("bigint")
     return out.select(F.col("id.id").alias(key), F.col("id.h").alias("text_hash"), "n_words", F.coalesce("n_hit", none).alias("n_hit"), F.coalesce("n_items", none).alias("n_items"),
