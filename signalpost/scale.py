@@ -16,7 +16,7 @@ SMALL_ROWS, SMALL_BYTES = 100_000, 32 << 20
 
 
 def is_small(df: DataFrame) -> bool:
-    """Measured check that a table may be broadcast."""
+    """Measured check that a stored table may be broadcast; its rows are summed up where they lie."""
     width = F.lit(16 * len(df.columns))
     for field in df.schema:
         kind, col = field.dataType.typeName(), F.col(f"`{field.name}`")
@@ -24,7 +24,7 @@ def is_small(df: DataFrame) -> bool:
             col = F.to_json(F.struct(col))
         if kind in ("string", "binary", "array", "map", "struct"):
             width = width + F.coalesce(F.octet_length(col), F.lit(0))
-    rows, size = df.limit(SMALL_ROWS + 1).agg(F.count("*"), F.sum(width)).first()
+    rows, size = df.agg(F.count("*"), F.sum(width)).first()
     return rows <= SMALL_ROWS and (size or 0) <= SMALL_BYTES
 
 
