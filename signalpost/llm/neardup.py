@@ -5,9 +5,9 @@ second, read at one cell and the cells after it, gives the values of all signatu
 k uses the second permutation shifted by k.  Coordinates are cut into bands; documents that share a band are
 candidates, and every link is confirmed on the full sets.
 
-Work is done on classes of equal sets.  Within a bucket all members are compared with one leader; buckets
-whose members are still in different components afterwards are compared block by block, with the sets at hand, so
-no pair is listed before it is confirmed and no group is held in one task.
+Work is done on classes of equal sets.  Within a bucket all members are compared with one leader.  Where members are still in different
+components afterwards, the largest component stays in place, in blocks of bounded size, and only members of the others are sent to its blocks;
+then components are merged and the same is done with the others.  No pair is listed before it is confirmed and no group is held in one task.
 """
 
 from __future__ import annotations
@@ -120,10 +120,10 @@ def _confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "va", "vb").mapInArrow(run, "a binary, b binary")
 
 
-def _confirm_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between members of one bucket that lie in different components, one per pair of components and group.
+def _confirm_blocks(grouped: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one group (bucket, low, high) that lie in different components, one per pair of components and group.
 
-    A bucket is dealt into blocks; each pair of blocks is one group of bounded size.  Members that an earlier
+    If the members of a group have two values of ``block``, only pairs of different blocks are compared.  Members that an earlier
     link of the group has joined are not compared again.
     """
     def run(table: pa.Table) -> pa.Table:
@@ -152,14 +152,34 @@ def _confirm_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFr
                     out.append((nodes[i], nodes[j]))
         return pa.table({"a": pa.array([x for x, _ in out], pa.binary()), "b": pa.array([y for _, y in out], pa.binary())})
 
-    count = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
-    rows = members.withColumn("block", F.pmod(F.xxhash64("node"), count).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
-    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    rows = rows.join(sets, "node").select("bucket", "low", "high", "node", "comp", "block", "values")
+    rows = grouped.join(sets, "node").select("bucket", "low", "high", "node", "comp", "block", "values")
     return rows.groupBy("bucket", "low", "high").applyInArrow(run, "a binary, b binary")
 
 
+def _grouped(members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Groups in which members (bucket, node, comp) of mixed buckets meet, and the members that have to be looked at again afterwards.
+
+    A bucket of at most ``BLOCK`` members is one group.  In a larger one whose largest component has half of the members or more, that component is
+    dealt into blocks, each member into one, and the others are copied to each of these blocks; the others have then to meet among themselves.  Without such
+    a component, each pair of blocks is a group.
+    """
+    sizes = members.groupBy("bucket", "comp").agg(F.count("*").alias("size"))
+    shape = sizes.groupBy("bucket").agg(F.max(F.struct("size", "comp")).alias("top"), F.sum("size").alias("members"), F.count("*").alias("kinds"))
+    rows = stored(members.join(shape.filter("kinds > 1"), "bucket"), "mixed")
+    one = rows.filter(F.col("members") <= BLOCK).select("bucket", "node", "comp", F.lit(0).alias("block"), F.lit(0).alias("low"), F.lit(0).alias("high"))
+    large = rows.filter(F.col("members") > BLOCK)
+    led = large.filter(F.col("top.size") * 2 >= F.col("members")).withColumn("blocks", F.ceil(F.col("top.size") / F.lit(BLOCK)).cast("int"))
+    own = led.filter(F.col("comp") == F.col("top.comp")).select(
+        "bucket", "node", "comp", F.lit(0).alias("block"), F.pmod(F.xxhash64("node"), "blocks").cast("int").alias("low"), F.lit(-1).alias("high"))
+    others = led.filter(F.col("comp") != F.col("top.comp"))
+    sent = others.select("bucket", "node", "comp", F.lit(1).alias("block"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("low"), F.lit(-1).alias("high"))
+    count = F.ceil(F.col("members") / F.lit(BLOCK)).cast("int")
+    even = large.filter(F.col("top.size") * 2 < F.col("members")).withColumn("block", F.pmod(F.xxhash64("node"), count).cast("int"))
+    even = even.withColumn("other", F.explode(F.sequence(F.lit(0), count - 1)))
+    even = even.select("bucket", "node", "comp", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+    return one.union(own).union(sent).union(even), others.select("bucket", "node")
+
+
 def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
     """(node, comp): the smallest node that each node of an undirected graph reaches.
 
@@ -220,13 +240,16 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", size
     edges = stored(_confirm(pairs, sets, percent), "edges")
     found = stored(components(edges), "found")
 
-    labelled = members.filter("members > 2").select("bucket", "members", "node").join(found, "node", "left").withColumn(
-        "comp", F.coalesce("comp", "node"))
-    labelled = stored(labelled, "labelled")
-    mixed = labelled.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).filter("x <> y").select("bucket")
-    more = stored(_confirm_blocks(labelled.join(mixed, "bucket"), sets, percent), "more")
-    if not more.isEmpty():
-        found = stored(components(edges.union(more)), "found")
+    left = members.filter("members > 2").select("bucket", "node")
+    while True:  # what is left of a bucket halves each time
+        labelled = left.join(found, "node", "left").select("bucket", "node", F.coalesce("comp", "node").alias("comp"))
+        grouped, left = _grouped(labelled)
+        more = stored(_confirm_blocks(grouped, sets, percent), "more")
+        if not more.isEmpty():
+            edges = edges.union(more)
+            found = stored(components(edges), "found")
+        if left.isEmpty():
+            break
 
     names = classes.join(found, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     least = names.groupBy("comp").agg(F.min("id").alias("component_id"), F.count("*").alias("parts"))
