@@ -8,6 +8,7 @@ packed again, until the total meets the bound of all pieces or an exchange saves
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -34,7 +35,7 @@ class _Encoder(dict):
 
     The byte-level scheme always begins a token at a blank before a word, so a text is encoded word by word and each word once; a text
     with other white space after a blank is encoded whole.  Ids are those of the tokenizer file: its vocabulary is read from
-    there, and its words are merged by rank.
+    there, its words are merged by rank, and texts are cut at its added tokens first.
     """
 
     def __init__(self, path: str):
@@ -43,7 +44,12 @@ class _Encoder(dict):
         from tokenizers import Tokenizer
 
         loaded = Tokenizer.from_file(path)
-        special = set(loaded.get_added_tokens_decoder())
+        added = loaded.get_added_tokens_decoder()
+        if any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added.values()):
+            raise ValueError("added tokens that take in what is around them are not known here")
+        special = set(added)
+        self.added = {t.content: array("I", [i]).tobytes() for i, t in added.items()}
+        self.cut = re.compile("(" + "|".join(re.escape(c) for c in sorted(self.added, key=len, reverse=True)) + ")") if self.added else None
         visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
         signs = {chr(b): b for b in visible} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in visible)}
         ranks = {bytes(signs[c] for c in word): i for word, i in loaded.get_vocab(with_added_tokens=True).items() if i not in special}
@@ -60,6 +66,12 @@ class _Encoder(dict):
         return ids
 
     def ids(self, text: str) -> bytes:
+        if self.cut is None or not self.cut.search(text):
+            return self.between(text)
+        return b"".join(self.added.get(part) or self.between(part) for part in self.cut.split(text) if part)
+
+    def between(self, text: str) -> bytes:
+        """Ids of a text without added tokens."""
         first, *words = text.split(" ")
         try:
             return array("I", self.encode(first)).tobytes() + b"".join(map(self.__getitem__, words))
