@@ -117,7 +117,7 @@ def forward(words: list[str], pieces: Pieces, chance: np.ndarray, counts: np.nda
             alpha[end, live] += flow * np.exp(scale[begin, live] - scale[end - 1, live]) if scaled else flow
         if not scaled:
             continue
-        top = np.maximum(alpha[end].max(axis=1, keepdims=True), 1e-300)
+        top = np.where(alpha[end] > 0, alpha[end], 1.0)  # each language by itself: one far behind another must not vanish
         alpha[end] /= top
         scale[end] += np.log(top)
     own = np.arange(len(words))
@@ -142,8 +142,7 @@ def forward(words: list[str], pieces: Pieces, chance: np.ndarray, counts: np.nda
             np.add.at(expected, rank, share)
         if not scaled:
             continue
-        inside = beta[begin].max(axis=1, keepdims=True)
-        top = np.where(inside > 0, inside, 1.0)
+        top = np.where(beta[begin] > 0, beta[begin], 1.0)
         beta[begin] /= top
         behind[begin] += np.log(top)
     return total, expected
@@ -255,7 +254,7 @@ def identify(df: DataFrame, model: Model, vocabulary: str, text: str = "text") -
                         score.append(0.0)
                         continue
                     rows = np.fromiter(map(place.__getitem__, words), np.int64, len(words))
-                    logs = model.prior + table[rows].sum(axis=0)
+                    logs = np.maximum(model.prior + table[rows].sum(axis=0), -1e300)  # no language is ruled out for good
                     best = int(np.argmax(logs))
                     found.append(model.languages[best])
                     score.append(float(1.0 / np.exp(np.minimum(logs - logs[best], 0)).sum()))
