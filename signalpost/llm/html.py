@@ -33,8 +33,17 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
           "thead": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}), "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"}),
           "tfoot": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption"}, {"table"})}
 HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
-DEEPEST = 40
+# Tables in each other that are aligned; columns one cell spans at most and rows, as browsers have it.
+DEEPEST, WIDEST, TALLEST = 40, 1000, 65534
 BLANKS = re.compile(r"[ \t\n\r\f]+")
+COMMENT, AT_RULE, RULE = re.compile(r"/\*.*?\*/", re.S), re.compile(r"@[^{};]*(?:;|\{(?:[^{}]*\{[^{}]*\})*[^{}]*\})"), re.compile(r"([^{}]+)\{([^{}]*)\}")
+SIMPLE = re.compile(r"([a-z][a-z0-9]*|\*)?((?:[.#][\w-]+)*)", re.I)
+SHOWS = re.compile(r"display\s*:|visibility\s*:", re.I)
+
+
+def _whole(text: str, default: int) -> int:
+    """A number of one to nine ASCII digits, else the default."""
+    return int(text) if re.fullmatch("[0-9]{1,9}", text) else default
 
 
 class Node:
@@ -157,6 +166,33 @@ def visible(node: Node) -> bool:
                 or node.tag == "dialog" and "open" not in attrs)
 
 
+def hide(root: Node) -> None:
+    """Mark as hidden what a rule of a style element hides by tag, class or id; the last rule of a selector counts.
+
+    Rules for elements within others, and those of media, are not looked at: what they say depends on more than the page.
+    """
+    sheets, nodes, todo = [], [], [root]
+    while todo:
+        node = todo.pop()
+        nodes.append(node)
+        if node.tag == "style":
+            sheets.append("".join(c for c in node.inside if isinstance(c, str)))
+        todo += [c for c in reversed(node.inside) if isinstance(c, Node)]
+    rules: dict[tuple, bool] = {}
+    for sheet in sheets:
+        for selectors, body in RULE.findall(AT_RULE.sub("", COMMENT.sub("", sheet))):
+            for selector in selectors.split(",") if SHOWS.search(body) else ():
+                simple = SIMPLE.fullmatch(selector.strip())
+                if simple and selector.strip():
+                    parts = re.findall(r"[.#][\w-]+", simple[2])
+                    rules[(simple[1] or "*").lower(), frozenset(parts)] = bool(HIDDEN_STYLE.search(body))
+    hidden = [rule for rule, hides in rules.items() if hides]
+    for node in nodes if hidden else ():
+        marks = {f".{c}" for c in node.attrs.get("class", "").split()} | ({f"#{node.attrs['id']}"} if node.attrs.get("id") else set())
+        if not SHOWS.search(node.attrs.get("style", "")) and any(tag in ("*", node.tag) and parts <= marks for tag, parts in hidden):
+            node.attrs["hidden"] = ""
+
+
 def options(node: Node) -> list[str]:
     """Texts that a choice shows: all of a list box, the chosen one of a menu."""
     found, todo = [], [(c, False) for c in reversed(node.inside)]  # (text, option or not, disabled, selected)
@@ -172,7 +208,7 @@ def options(node: Node) -> list[str]:
             found.append((child.attrs.get("label", ""), False, off, False))
         todo += [(c, off) for c in reversed(child.inside)]
     size = node.attrs.get("size", "")
-    if "multiple" in node.attrs or size.isdigit() and int(size) > 1:
+    if "multiple" in node.attrs or _whole(size, 1) > 1:
         return [text for text, *_ in found if text]
     real = [x for x in found if x[1]]
     shown = [x[0] for x in real if x[3]][-1:] or [x[0] for x in real if not x[2]][:1]
@@ -242,13 +278,21 @@ def _table(node: Node, out: Writer, depth: int) -> None:
         if isinstance(child, Node) and child.tag == "caption" and visible(child):
             out.put(" ".join(render(child, depth + 1).split("\n")))
     grid = []
+    below: dict[int, int] = {}  # rows that a cell above still takes, by column
     for row in _rows(node):
         cells: list[list[str]] = []
-        for cell in row.inside:
-            if isinstance(cell, Node) and cell.tag in ("td", "th") and visible(cell):
+        for cell in [*row.inside, None]:
+            if cell is not None and not (isinstance(cell, Node) and cell.tag in ("td", "th") and visible(cell)):
+                continue
+            while below.get(len(cells), 0):
+                below[len(cells)] -= 1
+                cells.append([""])
+            if cell is not None:
+                at = len(cells)
                 cells.append(render(cell, depth + 1).split("\n"))
-                span = cell.attrs.get("colspan", "1")
-                cells += [[""]] * (min(int(span), 1000) - 1 if span.isdigit() else 0)
+                cells += [[""]] * (max(1, min(_whole(cell.attrs.get("colspan", ""), 1), WIDEST)) - 1)
+                down = _whole(cell.attrs.get("rowspan", ""), 1) or TALLEST  # 0: to the end
+                below |= {k: min(down, TALLEST) - 1 for k in range(at, len(cells))}
         grid.append(cells)
     columns = max(map(len, grid), default=0)
     widths = [max((width(line) for cells in grid if k < len(cells) for line in cells[k]), default=0) for k in range(columns)]
@@ -319,7 +363,7 @@ def _walk(root: Node, out: Writer, depth: int) -> None:
         kind = "pre" if tag in ("pre", "textarea") or step == "pre" else "in"
         level = kept if isinstance(kept, int) else 0
         inside: list = []
-        number = int(node.attrs["start"]) if node.attrs.get("start", "").isdigit() else 1
+        number = _whole(node.attrs.get("start", ""), 1)
         for child in drawn(node) if tag == "svg" else node.inside:
             if isinstance(child, Node) and child.tag == "li":
                 sign = f"{number}. " if tag == "ol" else "- "
@@ -351,6 +395,7 @@ def page_text(html: str | None) -> tuple[str, str]:
         if node.tag == "title":
             title = " ".join("".join(c for c in node.inside if isinstance(c, str)).split())
         todo += [c for c in reversed(node.inside) if isinstance(c, Node)]
+    hide(builder.root)
     return title, render(builder.root)
 
 
