@@ -1,6 +1,6 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton after folding disguised letters.
 
-Letters that only look like Latin ones and digits in the place of letters are folded.  Lexicon terms are whole words or beginnings of
+Full-width, mathematical, circled and accented letters are taken apart, and letters that only look like Latin ones and digits in the place of letters are folded.  Lexicon terms are whole words or beginnings of
 words that toxic texts of a labelled sample hold more often than others; phrases around a term that only clean texts hold are
 exceptions.  Weights of the terms found are summed, set in relation to the length, and turned into a probability.
 """
@@ -8,6 +8,7 @@ exceptions.  Weights of the terms found are summed, set in relation to the lengt
 from __future__ import annotations
 
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,12 +29,16 @@ LOOKALIKES = {
 WIDTHLESS = "­​‌‍⁠﻿"
 FOLD = {ord(c): latin for latin, signs in LOOKALIKES.items() for c in signs} | {ord(c): None for c in WIDTHLESS}
 WORD = re.compile(r"[^\W_]+")
+MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff]+")  # accents that stand by themselves after taking letters apart
 SHORT, LONG = 4, 8
 
 
 def plain(text: str | None) -> tuple[str, int]:
     """Folded words of a text between single blanks, and their number."""
-    words = WORD.findall((text or "").lower().translate(FOLD))
+    low = (text or "").lower()
+    if not low.isascii():
+        low = MARKS.sub("", unicodedata.normalize("NFKD", low)).lower()
+    words = WORD.findall(low.translate(FOLD))
     return f" {' '.join(words)} ", len(words)
 
 
@@ -97,8 +102,8 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 
     ``least`` is the likelihood ratio a term needs.  Terms are chosen one by one for the toxic texts that no chosen term explains
     yet, so that the other words of a text with many near copies do not become terms; then the remaining terms of at least
-    ``strong`` times the highest ratio follow, up to ``most_terms``, the size of the lexicon.  A key with several labels is
-    toxic if one of them is 1.
+    ``strong`` times the highest ratio follow, up to ``most_terms``, the size of the lexicon.  A key or a
+    text with several labels is toxic if one of them is 1.
     """
     known = labels.select(F.col(key).alias("id"), F.col(label).cast("int").alias("y")).filter("id IS NOT NULL AND y IS NOT NULL")
     known = known.groupBy("id").agg(F.max(F.when(F.col("y") > 0, 1).otherwise(0)).alias("y"))
@@ -107,7 +112,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
     rate = F.when(F.col("y") == 1, most_toxic / max(1, sizes.get(1, 0))).otherwise(most_clean / max(1, sizes.get(0, 0)))
     chosen = F.broadcast(known.filter(part < rate))  # bounded by the two parameters
     sample = docs.select(F.col(key).alias("id"), F.col(text).alias("text")).filter("text IS NOT NULL").join(chosen, "id").select("text", "y")
-    sample = stored(sample.dropDuplicates(["text"]), "labelled")
+    sample = stored(sample.groupBy("text").agg(F.max("y").alias("y")), "labelled")
     n = {r["y"]: r["count"] for r in sample.groupBy("y").count().collect()}
     n_toxic, n_clean = n.get(1, 0), n.get(0, 0)
     if not n_toxic or not n_clean:
