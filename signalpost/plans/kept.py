@@ -9,8 +9,8 @@ Three facts make the daily scores of ``interest.interest_series`` incremental.
 * The averages are linear too, so an average goes on from its last stored value: only days from the first changed one are computed again, and
   only for series that changed.
 
-Every run writes new folders named by its batch, and at last a manifest that says which folder holds which span of 32 days.  A run that ends halfway has
-changed nothing, and a batch that is already in the manifest is not taken twice.
+Every run is one commit (``operators.commits``); cells and averages are kept in folders of 32 days.  A run that ends halfway has
+changed nothing, and a batch is not taken twice.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from signalpost.functions.times import boost, compose_ts, run_time
 from signalpost.functions.values import has_label
 from signalpost.operators import aggregates, windows
+from signalpost.operators.commits import Committed
 from signalpost.plans.interest import SERIES, explode_issues
 from signalpost.scale import is_small
 from signalpost.session import cut
@@ -32,7 +33,6 @@ CELLS = "day_no int, car_name string, issue string, community string, n bigint,
 LIMITS = "community string, low_v double, high_v double, low_l double, high_l double"
 # Averages of a series' community at one day, before scaling, and the posts of the series that day.
 AVERAGES = "day_no int, car_name string, issue string, community string, n_posts bigint, a_sv double, a_nv double, b_sl double, b_nl double"
-MANIFEST = "part string, span int, batch bigint, asof string"
 # Place of posts without a date, before all days; days of one stored folder.
 NO_DAY, SPAN = -(1 << 31), 32
 
@@ -64,46 +64,23 @@ class KeptSeries:
     """Stored state of the interest series below ``root``."""
 
     def __init__(self, spark: SparkSession, root: str, hours: int = 48, alpha: float = 0.05, beta: float = 0.02):
-        self.spark, self.root, self.hours, self.alpha, self.beta = spark, root.rstrip("/"), hours, alpha, beta
+        self.store, self.hours, self.alpha, self.beta = Committed(spark, root), hours, alpha, beta
         self.read_rows: dict[str, int] = {}  # rows the last run has read, by table
 
     # --- stored parts
 
-    def _path(self, part: str, batch: int) -> str:
-        return f"{self.root}/{part}/batch={batch}"
-
-    def _exists(self, path: str) -> bool:
-        found = self.spark._jvm.org.apache.hadoop.fs.Path(path)
-        return found.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(found)
-
-    def batches(self) -> list[int]:
-        """Complete batches, oldest first."""
-        top = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/manifest")
-        fs = top.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(top):
-            return []
-        names = [s.getPath().getName() for s in fs.listStatus(top)]
-        return sorted(int(n.split("=")[1]) for n in names if n.startswith("batch=") and self._exists(f"{self.root}/manifest/{n}/_SUCCESS"))
-
-    def _manifest(self) -> list:
-        """Which batch holds which span of days of a part: one row per span of the calendar and part."""
-        done = self.batches()
-        return self.spark.read.schema(MANIFEST).parquet(self._path("manifest", done[-1])).collect() if done else []
-
-    def _days(self, part: str, schema: str, manifest: list, first: int | None = None, last: int | None = None, spans: list[int] | None = None) -> DataFrame:
+    def _days(self, part: str, schema: str, manifest: dict, first: int | None = None, last: int | None = None, spans: list[int] | None = None) -> DataFrame:
         """Stored days of a part, from ``first`` to below ``last``, or of some spans; only the folders of these are read."""
-        paths = [f"{self._path(part, r['batch'])}/span={r['span']}" for r in manifest if r["part"] == part
-                 and (first is None or r["span"] >= first // SPAN) and (last is None or r["span"] <= (last - 1) // SPAN) and (spans is None or r["span"] in spans)]
-        rows = self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        def keep(folder: str) -> bool:
+            span = int(folder.split("=")[1])
+            return (first is None or span >= first // SPAN) and (last is None or span <= (last - 1) // SPAN) and (spans is None or span in spans)
+
+        rows = self.store.read(manifest, part, schema, keep)
         rows = rows if first is None else rows.filter(F.col("day_no") >= first)
         return rows if last is None else rows.filter(F.col("day_no") < last)
 
-    def _whole(self, part: str, schema: str, manifest: list) -> DataFrame:
-        paths = [self._path(part, r["batch"]) for r in manifest if r["part"] == part]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
-
     def _write_days(self, rows: DataFrame, part: str, batch: int) -> None:
-        rows.withColumn("span", _span(F.col("day_no"))).hint("rebalance", "span").write.mode("overwrite").partitionBy("span").parquet(self._path(part, batch))
+        self.store.write(rows.withColumn("span", _span(F.col("day_no"))), part, batch, "span")
 
     # --- cells and averages
 
@@ -151,47 +128,37 @@ class KeptSeries:
 
         ``posts`` holds new posts alone (columns of ``schemas.POST``); each post is given once.  Posts may be late by any time.
         """
-        manifest = self._manifest()
-        if batch in self.batches():
+        if batch in self.store.batches():
             return False
-        if any(r["asof"] > asof[:16] for r in manifest):
+        manifest, before = self.store.manifest()
+        if before > asof[:16]:
             raise ValueError(f"run time {asof} lies before that of a batch taken")
         fresh = explode_issues(posts.select("upload_date", "upload_time", "community", "car_name", "issue", "num_views", "num_likes")
                                .filter(has_label(F.col("issue")) & F.col("community").isNotNull()))
         fresh = fresh.select(*[F.col(c.split()[0]).cast(c.split()[1]) for c in RECENT.split(", ")])
-        pool = cut(self._whole("recent", RECENT, manifest).withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True))))
+        pool = cut(self.store.read(manifest, "recent", RECENT).withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True))))
         sizes = {r["_new"]: r["count"] for r in pool.groupBy("_new").count().collect()}
-        self.read_rows = {"new": sizes.get(True, 0), "recent": sizes.get(False, 0), "cells": 0, "averages": 0}
+        self.read_rows = {"new": sizes.get(True, 0), "recent": sizes.get(False, 0), "cells": 0}
         pool = pool.drop("_new")
-        pool.filter(self._recent(asof)).write.mode("overwrite").parquet(self._path("recent", batch))
+        self.store.write(pool.filter(self._recent(asof)), "recent", batch)
 
         delta = cut(self._cells(pool.filter(~self._recent(asof))))
         changed = _spans(delta)
-        self._limits(self._whole("limits", LIMITS, manifest), delta).write.mode("overwrite").parquet(self._path("limits", batch))
-        new_spans: dict[tuple[str, int], int] = {}
+        after = dict(manifest)
         if changed:
             held = self._days("cells", CELLS, manifest, spans=changed)
             merged = held.unionByName(delta.select(*held.columns)).groupBy("day_no", *CELL).agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in SUMS])
             self._write_days(merged.selectExpr(*held.columns), "cells", batch)
-            new_spans |= {("cells", d): batch for d in changed}
-            after = self._merged(manifest, new_spans, asof)
-            new_spans |= {("averages", d): batch for d in self._renew_averages(delta, after, manifest, batch)}
-        else:
-            self._whole("last", AVERAGES, manifest).write.mode("overwrite").parquet(self._path("last", batch))
-        final = [r for r in self._merged(manifest, new_spans, asof) if r["part"] in ("cells", "averages")]
-        final += [{"part": p, "span": None, "batch": batch, "asof": asof[:16]} for p in ("recent", "limits", "last")]
-        rows = self.spark.createDataFrame([(r["part"], r["span"], r["batch"], asof[:16]) for r in final], MANIFEST)
-        rows.coalesce(1).write.mode("overwrite").parquet(self._path("manifest", batch))
+            after |= {("cells", f"span={s}"): batch for s in changed}
+            after |= {("averages", f"span={s}"): batch for s in self._renew_averages(delta, after, manifest, batch)}
+            self.store.write(self._limits(self.store.read(manifest, "limits", LIMITS), delta), "limits", batch)
+            after |= {("limits", ""): batch, ("last", ""): batch}
+        self.store.commit(after | {("recent", ""): batch}, batch, asof[:16])
         return True
 
-    @staticmethod
-    def _merged(manifest: list, new_spans: dict[tuple[str, int], int], asof: str) -> list:
-        old = [{"part": r["part"], "span": r["span"], "batch": r["batch"], "asof": asof[:16]} for r in manifest if (r["part"], r["span"]) not in new_spans]
-        return old + [{"part": p, "span": d, "batch": b, "asof": asof[:16]} for (p, d), b in new_spans.items()]
-
-    def _renew_averages(self, delta: DataFrame, after: list, manifest: list, batch: int) -> list[int]:
+    def _renew_averages(self, delta: DataFrame, after: dict, manifest: dict, batch: int) -> list[int]:
         """Averages of the changed series from their first changed day on; returns the spans that were written."""
-        last = self._whole("last", AVERAGES, manifest)
+        last = self.store.read(manifest, "last", AVERAGES)
         ends = last.groupBy(*SERIES).agg(F.max("day_no").alias("end"))
         firsts = cut(_same(delta.groupBy(*SERIES).agg(F.min("day_no").alias("first")), ends, SERIES, "left"))
         begin = firsts.agg(F.min("first")).first()[0]
@@ -211,7 +178,7 @@ class KeptSeries:
         keep = _same(held, firsts.withColumnRenamed("end", "_end"), SERIES, "left").filter(F.col("first").isNull() | (F.col("day_no") < F.col("first")))
         self._write_days(keep.select(*renewed.columns).unionByName(renewed), "averages", batch)
         ended = _same(renewed, renewed.groupBy(*SERIES).agg(F.max("day_no").alias("_end")), SERIES, "inner").filter(F.col("day_no") == F.col("_end")).drop("_end")
-        _same(last, firsts, SERIES, "left_anti").unionByName(ended).write.mode("overwrite").parquet(self._path("last", batch))
+        self.store.write(_same(last, firsts, SERIES, "left_anti").unionByName(ended), "last", batch)
         self.read_rows["cells"] = cells.count()
         return spans
 
@@ -219,17 +186,16 @@ class KeptSeries:
 
     def series(self) -> DataFrame:
         """Daily interest score per (car, issue), as ``interest.interest_series`` gives it for all posts and the last run time."""
-        manifest = self._manifest()
+        manifest, asof = self.store.manifest()
         if not manifest:
             raise ValueError("no batch has been taken")
-        asof = manifest[0]["asof"]
         posted = compose_ts(F.col("upload_date"), F.col("upload_time"))
-        recent = self._whole("recent", RECENT, manifest)
+        recent = self.store.read(manifest, "recent", RECENT)
         boosted = recent.withColumns({c: boost(F.col(c), posted, F.col("upload_date"), asof, self.hours) for c in ("num_views", "num_likes")})
         cells = cut(self._cells(boosted))
-        seeds = _same(self._whole("last", AVERAGES, manifest), cells, SERIES, "left_semi")
+        seeds = _same(self.store.read(manifest, "last", AVERAGES), cells, SERIES, "left_semi")
         averages = self._days("averages", AVERAGES, manifest).unionByName(self._averages(cells, seeds))
-        limits = cut(self._limits(self._whole("limits", LIMITS, manifest), cells))
+        limits = cut(self._limits(self.store.read(manifest, "limits", LIMITS), cells))
         placed = averages.join(F.broadcast(limits) if is_small(limits) else limits, "community")
 
         def scaled(total: str, count: str, low: str, high: str) -> Column:
