@@ -31,8 +31,11 @@ view("wave_rows", """SELECT * FROM waves QUALIFY row_number() OVER (PARTITION BY
   ORDER BY "Date", "Time", "View" DESC NULLS LAST, "Title", "Body", "Like") = 1""", "waves")
 
 
-@query("h01_stream_ingest", """SELECT "Url" AS url, arg_min("Title", wave) AS title, arg_min("CarName", wave) AS car_name, arg_max("Comment", wave) AS comments,
-  list("View" ORDER BY wave)[-1] AS num_views, arg_max("Like", wave) AS num_likes FROM wave_rows GROUP BY "Url" """, "wave_rows")
+INGESTED_SQL = """SELECT "Url" AS url, arg_min("Title", wave) AS title, arg_min("CarName", wave) AS car_name, arg_max("Comment", wave) AS comments,
+  list("View" ORDER BY wave)[-1] AS num_views, arg_max("Like", wave) AS num_likes FROM wave_rows GROUP BY "Url" """
+
+
+@query("h01_stream_ingest", INGESTED_SQL, "wave_rows")
 def h01(spark, sf):
     root = work_folder(spark, "stream-ingest")
     raw = V.raw_posts(spark, sf)

@@ -1,19 +1,21 @@
-"""Jobs that go on from stored state, orders compared by position, long lists and long intervals."""
+"""Jobs that go on from stored state, orders compared by position, long lists, long intervals and tables with a key index."""
 
 from __future__ import annotations
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from catalog import views as V
+from catalog import queries_h, queries_i, views as V
 from catalog.base import ASOF, query
 from signalpost.operators import tables
+from signalpost.operators.commits import KeyedTable
 from signalpost.plans import ingest, interest, serving
 from signalpost.plans.kept import KeptSeries
 from signalpost.scale import interval_join
-from signalpost.schemas import CRAWL
+from signalpost.schemas import CRAWL, POST
 from signalpost.session import work_folder
 from signalpost.sources import crawl, sinks
+from signalpost.streaming import ingest as stream
 
 SERIES_SQL = """SELECT car_name, issue, CAST(upload_date AS VARCHAR) AS upload_date, round(score, 6) AS score, n_posts FROM {}"""
 
@@ -120,3 +122,33 @@ def c14_long(spark, sf):
     joined = interval_join(events.select("event_id", "ts"), ranges, [], F.unix_timestamp("ts"), F.col("begin"),
                            F.col("begin") + F.col("seconds") - 1, width=3600, spread=F.col("event_id"))
     return joined.groupBy("day", "seconds").agg(F.count("*").alias("posts"))
+
+
+# ---- tables with a key index
+
+
+def _post_table(spark, purpose):
+    return KeyedTable(spark, work_folder(spark, purpose), POST, ["url"], "upload_date", buckets=16)
+
+
+@query("i04_post_ingest_by_key", queries_i.INGESTED, "first_load", "second_load")
+def i04_by_key(spark, sf):
+    """Two crawls into a table with a key index; the second is given twice and counts once."""
+    table = _post_table(spark, "keyed-posts")
+    early, late = queries_i._two_crawls(spark, sf)
+    for batch, raw in ((0, early), (1, late), (1, late)):
+        ingest.ingest_batch(table, raw, batch, *queries_i.RULES)
+    return table.read().select(*queries_i.POST_COLUMNS)
+
+
+@query("h01_stream_ingest_committed", queries_h.INGESTED_SQL, "wave_rows")
+def h01_committed(spark, sf):
+    """Three waves of a stream into a table with a key index; the last batch is replayed under its number."""
+    root, table = work_folder(spark, "committed-stream"), _post_table(spark, "streamed-posts")
+    raw = V.raw_posts(spark, sf)
+    for wave in queries_h.WAVES:
+        part = raw.filter(queries_h._in_wave(wave)).select(*CRAWL.names)
+        sinks.write_csv(part, f"{root}/incoming", mode="append")
+        stream.ingest_stream_committed(stream.crawl_stream(spark, f"{root}/incoming/*.csv"), table, f"{root}/state", *queries_i.RULES)
+    ingest.ingest_batch(table, part.withColumn("View", F.lit("1")), table.store.batches()[-1], *queries_i.RULES)
+    return table.read().select("url", "title", "car_name", "comments", "num_views", "num_likes")

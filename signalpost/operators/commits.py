@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 MANIFEST = "part string, folder string, batch bigint, note string"
 
@@ -47,7 +48,7 @@ class Committed:
         """Paths of the folders of a part."""
         return [self._path(part, batch, folder) for (p, folder), batch in manifest.items() if p == part and keep(folder)]
 
-    def read(self, manifest: dict, part: str, schema: str, keep: Callable[[str], bool] = lambda folder: True) -> DataFrame:
+    def read(self, manifest: dict, part: str, schema: str | StructType, keep: Callable[[str], bool] = lambda folder: True) -> DataFrame:
         """Rows of the folders of a part; other folders are not opened."""
         paths = self.folders(manifest, part, keep)
         return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
@@ -86,7 +87,7 @@ class KeyedTable:
     other folders stay as they are.  The change is one commit: readers see all of it or nothing, and a batch given twice counts once.
     """
 
-    def __init__(self, spark: SparkSession, root: str, schema: str, keys: list[str], date: str, buckets: int = 64):
+    def __init__(self, spark: SparkSession, root: str, schema: str | StructType, keys: list[str], date: str, buckets: int = 64):
         self.store, self.spark = Committed(spark, root), spark
         self.schema, self.keys, self.date, self.buckets = schema, keys, date, buckets
         kinds = dict(spark.createDataFrame([], schema).dtypes)

@@ -9,6 +9,7 @@ from signalpost.functions import text as texts
 from signalpost.functions import values
 from signalpost.functions.matching import find_labels
 from signalpost.functions.times import date_part_text
+from signalpost.operators.commits import KeyedTable
 from signalpost.operators.tables import dedupe_first, insert_ignore, upsert, upsert_days
 
 COUNTER_COLS = ["comments", "num_views", "num_likes"]
@@ -71,6 +72,11 @@ def ingest_into(target: str, raw: DataFrame, dictionary, url_rules, aliases) ->
                 "upload_date")
 
 
+def ingest_batch(table: KeyedTable, raw: DataFrame, batch: int, dictionary, url_rules, aliases) -> bool:
+    """The same on a table with a key index, as one commit; a batch that was taken before changes nothing."""
+    return table.upsert(post_rows(clean_posts(raw, dictionary, url_rules, aliases)), batch, COUNTER_COLS)
+
+
 def merge_ranges(parts: list[DataFrame], ties: tuple[str, ...] = ("Url",)) -> DataFrame:
     """Range files of one (community, car) as one table in order of time."""
     merged = parts[0]

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from signalpost.plans.ingest import ingest_into
+from signalpost.operators.commits import KeyedTable
+from signalpost.plans.ingest import ingest_batch, ingest_into
 from signalpost.schemas import CRAWL
 from signalpost.sources.crawl import CSV
 
@@ -32,6 +33,21 @@ def ingest_stream(stream: DataFrame, target: str, checkpoint: str, dictionary, u
     return query
 
 
+def ingest_stream_committed(stream: DataFrame, table: KeyedTable, checkpoint: str, dictionary, url_rules, aliases):
+    """The same into a table with a key index: each micro-batch is one commit under its own number.
+
+    A batch that the stream repeats after a loss is found in the table and left out; a batch lost halfway has left nothing to see.  The
+    checkpoint belongs to the table, as batch numbers start anew with a new one.
+    """
+    def apply(batch: DataFrame, number: int) -> None:
+        ingest_batch(table, batch, number, dictionary, url_rules, aliases)
+
+    query = (stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query
+
+
 def dedupe_stream(stream: DataFrame, key: str = "url", ts: str = "ts", delay: str = "48 hours") -> DataFrame:
     """First arrival per URL; a URL is forgotten once the watermark has passed."""
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
