@@ -88,9 +88,12 @@ def h03(spark, sf):
 V.scoring_views("plain_", "posts", "2030-01-01 00:00")
 
 
-@query("h04_stream_triggers", f"""SELECT s.car_name, s.issue, CAST(s.upload_date AS VARCHAR) AS upload_date, round(s.score, 6) AS score,
+TRIGGERS_SQL = f"""SELECT s.car_name, s.issue, CAST(s.upload_date AS VARCHAR) AS upload_date, round(s.score, 6) AS score,
   t.trigger_date IS NOT NULL AS is_trigger FROM (SELECT * FROM plain_series WHERE {CLOSED}) s LEFT JOIN plain_triggers t
-  ON t.car_name = s.car_name AND t.issue = s.issue AND t.trigger_date = s.upload_date""", "plain_series", "plain_triggers")
+  ON t.car_name = s.car_name AND t.issue = s.issue AND t.trigger_date = s.upload_date"""
+
+
+@query("h04_stream_triggers", TRIGGERS_SQL, "plain_series", "plain_triggers")
 def h04(spark, sf):
     root = work_folder(spark, "stream-triggers")
     limits = _limits(spark, sf)

@@ -15,7 +15,7 @@ from signalpost.scale import interval_join
 from signalpost.schemas import CRAWL, POST
 from signalpost.session import work_folder
 from signalpost.sources import crawl, sinks
-from signalpost.streaming import ingest as stream
+from signalpost.streaming import closing, ingest as stream
 
 SERIES_SQL = """SELECT car_name, issue, CAST(upload_date AS VARCHAR) AS upload_date, round(score, 6) AS score, n_posts FROM {}"""
 
@@ -152,3 +152,18 @@ def h01_committed(spark, sf):
         stream.ingest_stream_committed(stream.crawl_stream(spark, f"{root}/incoming/*.csv"), table, f"{root}/state", *queries_i.RULES)
     ingest.ingest_batch(table, part.withColumn("View", F.lit("1")), table.store.batches()[-1], *queries_i.RULES)
     return table.read().select("url", "title", "car_name", "comments", "num_views", "num_likes")
+
+
+# ---- triggers in one stream
+
+
+@query("h04_stream_triggers_in_one", queries_h.TRIGGERS_SQL, "plain_series", "plain_triggers")
+def h04_in_one(spark, sf):
+    """Three waves of posts through one stream whose state closes the days."""
+    root, limits = work_folder(spark, "closing-stream"), queries_h._limits(spark, sf)
+    events = V.table(spark, sf, "events")
+    for wave in queries_h.WAVES:
+        events.filter(queries_h._in_wave(wave)).write.mode("append").parquet(f"{root}/events")
+        posts = queries_h._labels(spark.readStream.schema(events.schema).parquet(f"{root}/events"))
+        out = closing.run_closing(closing.closing_stream(posts, limits), root)
+    return out
