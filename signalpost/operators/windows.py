@@ -164,9 +164,11 @@ def threads(df: DataFrame, key: str, position: str, is_top: Column, text: str, l
     from signalpost.scale import running_sum
     marked = df.withColumns({"_top": F.when(is_top, 1).otherwise(0), "_one": F.lit(1)})
     numbered = running_sum(running_sum(marked, [key], position, "_top", "thread"), [key], position, "_one", "_count")
-    begin = numbered.groupBy(key, "thread").agg(F.min("_count").alias("_begin")).withColumnsRenamed({key: "_key", "thread": "_thread"})
-    numbered = numbered.join(begin, F.col(key).eqNullSafe(F.col("_key")) & F.col("thread").eqNullSafe(F.col("_thread")))
-    return (numbered.withColumn("part", F.floor((F.col("_count") - F.col("_begin")) / limit))
+    # Only threads over the limit have more than part 0, at most one row per ``limit`` comments.
+    begin = numbered.groupBy(key, "thread").agg(F.min("_count").alias("_begin"), F.count("*").alias("_size")).filter(F.col("_size") > limit)
+    begin = begin.withColumnsRenamed({key: "_key", "thread": "_thread"})
+    numbered = numbered.join(begin, F.col(key).eqNullSafe(F.col("_key")) & F.col("thread").eqNullSafe(F.col("_thread")), "left")
+    return (numbered.withColumn("part", F.coalesce(F.floor((F.col("_count") - F.col("_begin")) / limit), F.lit(0)))
             .groupBy(key, "thread", "part")
             .agg(F.sort_array(F.collect_list(F.struct(position, text))).alias("_c"))
             .select(key, "thread", "part", F.array_join(F.transform("_c", lambda c: c[text]), "\n").alias("text"),

@@ -34,7 +34,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not sc.master.startswith("local"):
+        if not (sc.master == "local" or sc.master.startswith("local[")):  # local-cluster has executors of its own
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="signalpost-")
     if not sc.getCheckpointDir():
