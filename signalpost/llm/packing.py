@@ -22,7 +22,7 @@ from signalpost.llm.common import slices, stored
 
 CAPACITY = 1024
 GROUP = 1 << 16
-CACHED = 400_000
+CACHED = 100_000
 PIECE = "row bigint, id {kind}, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
