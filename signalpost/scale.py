@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from signalpost.functions.matching import find_labels
 from signalpost.session import cut
 
+STREAM_SALTS = 16
 # A table up to these limits may be sent to every task.
 SMALL_ROWS, SMALL_BYTES = 100_000, 32 << 20
 
@@ -57,8 +58,9 @@ def hot_keys(big: DataFrame, on: list[str], tracked: int = 10_000) -> DataFrame:
 def dealt(big: DataFrame, small: DataFrame, on: list[str], spread: Column, salts: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Both sides of a join with a column ``_salt``: hot keys of ``big`` are cut by ``spread``, their rows of ``small`` copied for each piece.
 
-    Keys that are not hot have one piece and are not copied.  With ``salts`` every key has that many pieces.
+    Keys that are not hot have one piece and are not copied.  With ``salts`` every key has that many pieces; so it has for a stream, which can't be counted.
     """
+    salts = STREAM_SALTS if salts is None and big.isStreaming else salts
     if salts is None:
         hot = F.broadcast(hot_keys(big, on))  # at most two rows per partition
         pieces = F.coalesce(F.col("_pieces"), F.lit(1))
