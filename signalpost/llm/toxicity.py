@@ -1,6 +1,7 @@
 """Toxicity by a weighted lexicon, matched with an Aho-Corasick automaton after folding disguised letters.
 
-Full-width, mathematical, circled and accented letters are taken apart, and letters that only look like Latin ones and digits in the place of letters are folded.  Lexicon terms are whole words or beginnings of
+Full-width, mathematical and circled letters, letters that only look like Latin ones and digits in the place of letters are folded; accents stay, as they tell words
+of some languages apart.  Lexicon terms are whole words or beginnings of
 words that toxic texts of a labelled sample hold more often than others; phrases around a term that only clean texts hold are
 exceptions.  Weights of the terms found are summed, set in relation to the length, and turned into a probability.
 """
@@ -29,7 +30,6 @@ LOOKALIKES = {
 WIDTHLESS = "­​‌‍⁠﻿"
 FOLD = {ord(c): latin for latin, signs in LOOKALIKES.items() for c in signs} | {ord(c): None for c in WIDTHLESS}
 WORD = re.compile(r"[^\W_]+")
-MARKS = re.compile("[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff]+")  # accents that stand by themselves after taking letters apart
 SHORT, LONG = 4, 8
 
 
@@ -37,7 +37,7 @@ def plain(text: str | None) -> tuple[str, int]:
     """Folded words of a text between single blanks, and their number."""
     low = (text or "").lower()
     if not low.isascii():
-        low = MARKS.sub("", unicodedata.normalize("NFKD", low)).lower()
+        low = unicodedata.normalize("NFKC", low).lower()
     words = WORD.findall(low.translate(FOLD))
     return f" {' '.join(words)} ", len(words)
 
