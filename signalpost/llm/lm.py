@@ -1,20 +1,21 @@
 """Language model scores from a log-frequency Bloom filter.
 
-Counts of words and word pairs are quantised to powers of two; a pair with level q is put into the filter q times, with its
-level.  A count is read back by asking for level 1, 2 and so on until the filter says no, so an error is small and high counts cost few bits.
-The filter has the same number of bits per entry at every size.  Up to a parameter it is broadcast; a larger one stays in its buckets,
-to which the distinct words and pairs of the texts are dealt, and the levels are joined back.  Exact word counts for the base
-score are joined: frequent words from a bounded broadcast table, all others by a shuffle.
+Counts of words and word pairs are quantised to steps of a half or a third (1, 2, 3, 4, 6, 8, 12 ...); what has level q is put into the
+filter q times, with its level.  A count is read back by asking for level 1, 2 and so on until the filter says no, so an error is small
+and high counts cost few bits.  The filter has the same number of bits per entry at every size.  It is broadcast in parts of a bounded
+size, each for a range of words with all pairs that end in them, and every part is asked in a reading of the texts of its own.  The logarithm
+of a pair's probability is a difference of two terms, of which one depends on the pair and its last word and the other on its first word, so the
+readings only have to be summed.  Exact counts for the base score come from a bounded broadcast table for frequent words, and for all
+others that the filter holds from a join.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,12 +26,24 @@ KEEP = 1 << 20
 HEAD = 1 << 18
 BITS = 8.0  # bits of the filter per entry
 BUCKET_KEYS = 500_000
-LEVELS = 40
+CELL_BITS = 12
+CELLS = 1 << CELL_BITS
+STEPS = np.sort(np.r_[1, 2 ** np.arange(1, 48), 3 * 2 ** np.arange(47)])  # smallest count of level 1, 2, 3 ...
+LEVELS = len(STEPS)
+LEAST = np.r_[0, STEPS].astype(float)  # smallest and largest count of level 0, 1, 2 ...
+MOST = np.r_[0, STEPS[1:] - 1, 2 * STEPS[-1]].astype(float)
+
+
+def cell(words: np.ndarray) -> np.ndarray:
+    """The part of all words that a word belongs to, from 0 to ``CELLS`` - 1."""
+    return (mix(words) >> np.uint64(64 - CELL_BITS)).astype(np.int64)
 
 
 def pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hashes of pairs; their highest bits are the cell of the word on the right."""
     with np.errstate(over="ignore"):
-        return mix(left * np.uint64(0xD1B54A32D192ED03) ^ right)
+        low = mix(left * np.uint64(0xD1B54A32D192ED03) ^ right) >> np.uint64(CELL_BITS)
+    return cell(right).astype(np.uint64) << np.uint64(64 - CELL_BITS) | low
 
 
 def tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -49,7 +62,7 @@ def tokens(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def level(counts: np.ndarray) -> np.ndarray:
-    return np.frexp(counts.astype(float))[1]  # 1 for 1, 2 for 2 and 3, 3 for 4 to 7 ...
+    return np.searchsorted(STEPS, counts, side="right")
 
 
 def count_ngrams(docs: DataFrame, buckets: int) -> DataFrame:
@@ -68,6 +81,8 @@ def count_ngrams(docs: DataFrame, buckets: int) -> DataFrame:
                 keys, counts = np.unique(np.concatenate(kept[order - 1]), return_counts=True)
                 kept[order - 1].clear()
                 number = bucket_of(keys, buckets)
+                order_of = np.argsort(number, kind="stable")
+                number, keys, counts = number[order_of], keys[order_of], counts[order_of]
                 cuts = np.flatnonzero(np.diff(number)) + 1
                 starts, stops = np.r_[0, cuts], np.r_[cuts, len(keys)]
                 yield pa.RecordBatch.from_arrays(
@@ -96,16 +111,16 @@ def count_ngrams(docs: DataFrame, buckets: int) -> DataFrame:
         sums = np.add.reduceat(counts, first)
         return pa.table({"bucket": table.column("bucket")[:1], "size": table.column("size")[:1], "keys": pa.array([keys[first].tobytes()], pa.binary()),
                          "counts": pa.array([sums.tobytes()], pa.binary()), "different": pa.array([len(first)], pa.int64()),
-                         "total": pa.array([int(sums.sum())], pa.int64()), "entries": pa.array([int(level(sums).sum())], pa.int64())})
+                         "total": pa.array([int(sums.sum())], pa.int64())})
 
     parts = docs.mapInArrow(run, "bucket bigint, size int, keys binary, counts binary")
     summed = parts.groupBy("bucket", "size").applyInArrow(
-        add, "bucket bigint, size int, keys binary, counts binary, different bigint, total bigint, entries bigint")
+        add, "bucket bigint, size int, keys binary, counts binary, different bigint, total bigint")
     return stored(summed, "counts")
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
-    return (keys >> np.uint64(33)).astype(np.int64) * buckets >> 31
+    return (mix(keys) >> np.uint64(33)).astype(np.int64) * buckets >> 31
 
 
 def place(keys: np.ndarray, q: int, probe: int, size: np.ndarray) -> np.ndarray:
@@ -115,6 +130,45 @@ def place(keys: np.ndarray, q: int, probe: int, size: np.ndarray) -> np.ndarray:
         return ((one + np.uint64(probe) * (mix(one) | np.uint64(1))) % size.astype(np.uint64)).astype(np.int64)
 
 
+@dataclass(frozen=True)
+class Span:
+    """A part of the filter: words of the cells from ``low`` to below ``high``, and piece ``piece`` of ``pieces`` of the pairs that end in them."""
+
+    low: int = 0
+    high: int = CELLS
+    piece: int = 0
+    pieces: int = 1
+
+    def words(self, words: np.ndarray) -> np.ndarray:
+        number = cell(words)
+        return (number >= self.low) & (number < self.high)
+
+    def pairs(self, pairs: np.ndarray) -> np.ndarray:
+        number = (pairs >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+        inside = (number >= self.low) & (number < self.high)
+        return inside if self.pieces == 1 else inside & (mix(pairs ^ np.uint64(self.pieces)) % np.uint64(self.pieces) == self.piece)
+
+
+def spans(words: np.ndarray, pairs: np.ndarray, most: int) -> list[Span]:
+    """Parts of at most about ``most`` entries each, from the entries of words and of pairs per cell.
+
+    Cells in a row make a part; a cell with more entries than that (a very common word ends many different pairs) is cut by its
+    pairs, and all of its words are in each piece.
+    """
+    out, low, held = [], 0, 0
+    for at, (some, more) in enumerate(zip(words.tolist(), pairs.tolist())):
+        if held and held + some + more > most:
+            out.append(Span(low, at))
+            low, held = at, 0
+        if some + more > most:
+            count = -(-more // max(1, most - some, most // 2))
+            out += [Span(at, at + 1, piece, count) for piece in range(count)]
+            low, held = at + 1, 0
+        else:
+            held += some + more
+    return out + [Span(low, CELLS)] if low < CELLS or not out else out
+
+
 @dataclass
 class Filter:
     """Bits of all buckets one after the other, words and pairs apart; a key is looked for in the bits of its bucket."""
@@ -131,7 +185,7 @@ class Filter:
         size, begin = self.bits[part], self.begin[part] * 8
         out = np.zeros(len(keys), np.int64)
         live = np.flatnonzero(size > 0)
-        for q in range(1, LEVELS):
+        for q in range(1, LEVELS + 1):
             for probe in range(self.probes):
                 at = begin[live] + place(keys[live], q, probe, size[live])
                 live = live[(self.body[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1]
@@ -156,24 +210,26 @@ def packed_bits(keys: np.ndarray, levels: np.ndarray, rate: float) -> tuple[int,
     return size, np.packbits(bits, bitorder="little")
 
 
-def build_filter(counts: DataFrame, buckets: int, entries: int, most_bytes: int, bits_per_entry: float = BITS) -> Filter:
-    """The filter of all counts in one piece, with ``bits_per_entry`` bits for each level of each key; an error if that exceeds ``most_bytes``."""
-    if entries * bits_per_entry > 8 * most_bytes:
-        raise ValueError(f"a filter of {entries} entries exceeds {most_bytes} bytes")
+def build_filter(counts: DataFrame, buckets: int, span: Span = Span(), bits_per_entry: float = BITS) -> Filter:
+    """The part of the filter for a span, with ``bits_per_entry`` bits for each level of each key; the spans bound its size."""
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, sizes, bodies = [], [], []
             for i in range(batch.num_rows):
                 keys = np.frombuffer(batch.column("keys")[i].as_py(), np.uint64)
-                levels = level(np.frombuffer(batch.column("counts")[i].as_py(), np.int64))
-                size, body = packed_bits(keys, levels, bits_per_entry)
-                parts.append(2 * batch.column("bucket")[i].as_py() + batch.column("size")[i].as_py() - 1)
+                order = batch.column("size")[i].as_py()
+                mine = span.words(keys) if order == 1 else span.pairs(keys)
+                if not mine.any():
+                    continue
+                levels = level(np.frombuffer(batch.column("counts")[i].as_py(), np.int64)[mine])
+                size, body = packed_bits(keys[mine], levels, bits_per_entry)
+                parts.append(2 * batch.column("bucket")[i].as_py() + order - 1)
                 sizes.append(size)
                 bodies.append(body.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(parts, pa.int64()), pa.array(sizes, pa.int64()), pa.array(bodies, pa.binary())], ["part", "bits", "body"])
 
-    rows = counts.mapInArrow(fill, "part bigint, bits bigint, body binary").toArrow()  # about ``most_bytes`` at most
+    rows = counts.mapInArrow(fill, "part bigint, bits bigint, body binary").toArrow()  # bounded by the span
     order = np.argsort(rows.column("part").to_numpy())
     body = np.concatenate([np.frombuffer(rows.column("body")[int(i)].as_py(), np.uint8) for i in order] or [np.zeros(1, np.uint8)])
     begin, bits = np.zeros(2 * buckets, np.int64), np.zeros(2 * buckets, np.int64)
@@ -184,28 +240,23 @@ def build_filter(counts: DataFrame, buckets: int, entries: int, most_bytes: int,
     return Filter(buckets, probes_of(bits_per_entry), begin, bits, body)
 
 
-def read_levels(asked: DataFrame, counts: DataFrame, rate: float) -> DataFrame:
-    """Per row (chunk, bucket, size, keys) of ``asked`` the levels of its keys, one byte each, from the filter of its bucket alone."""
-    def run(asked: pa.Table, counts: pa.Table) -> pa.Table:
-        found = []
-        if counts.num_rows:
-            held = level(np.frombuffer(counts.column("counts")[0].as_py(), np.int64))
-            size, body = packed_bits(np.frombuffer(counts.column("keys")[0].as_py(), np.uint64), held, rate)
-            bloom = Filter(1, probes_of(rate), np.zeros(1, np.int64), np.array([size]), body)
-        for keys in asked.column("keys"):
-            keys = np.frombuffer(keys.as_py(), np.uint64)
-            found.append((bloom.levels(keys, 1) if counts.num_rows else np.zeros(len(keys), np.int64)).astype(np.uint8).tobytes())
-        return asked.select(["chunk", "bucket", "size"]).append_column("levels", pa.array(found, pa.binary()))
-
-    both = asked.groupBy("bucket", "size").cogroup(counts.groupBy("bucket", "size"))
-    return both.applyInArrow(run, "chunk bigint, bucket bigint, size int, levels binary")
-
+def entries_per_cell(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Levels of words and of pairs, summed per cell."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = np.zeros((2, CELLS), np.int64)
+        for batch in batches:
+            for size, keys, values in zip(batch.column("size").to_pylist(), batch.column("keys"), batch.column("counts")):
+                keys = np.frombuffer(keys.as_py(), np.uint64)
+                number = cell(keys) if size == 1 else (keys >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+                np.add.at(sums[size - 1], number, level(np.frombuffer(values.as_py(), np.int64)))
+        size, number = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(size), pa.array(number), pa.array(sums[size, number])], ["size", "cell", "n"])
 
-def dealt_keys(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, list[slice]]:
-    """Buckets of sorted keys, which have the order of the keys, and where each is."""
-    number = bucket_of(keys, buckets)
-    cuts = np.flatnonzero(np.diff(number)) + 1
-    return number[np.r_[0, cuts]], [slice(a, b) for a, b in zip(np.r_[0, cuts], np.r_[cuts, len(keys)])]
+    out = np.zeros((2, CELLS), np.int64)
+    rows = counts.select("size", "keys", "counts").mapInArrow(run, "size bigint, cell bigint, n bigint")
+    for r in rows.groupBy("size", "cell").agg(F.sum("n").alias("n")).collect():  # at most 2 * CELLS rows
+        out[r["size"], r["cell"]] = r["n"]
+    return out[0], out[1]
 
 
 def _unpacked(counts: DataFrame, least: int | None = None, below: int | None = None) -> DataFrame:
@@ -235,146 +286,108 @@ def _levels(counts: DataFrame) -> dict[int, int]:
 
 
 def score(df: DataFrame, training: DataFrame, key: str = "doc_id", text: str = "text", most_bytes: int = 48 << 20, head: int = HEAD,
-          weight: float = 4.0) -> DataFrame:
+          weight: float = 4.0, bits: float = BITS) -> DataFrame:
     """Per row of ``df``: ``key``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` (log10 probabilities).
 
     Words are runs of bytes other than ASCII white space, A-Z lower-cased; the end of each text is a token too.  ``base_score`` is the
-    smoothed word model with exact counts.  ``score`` is the pair model: each token after the one before it, smoothed towards
-    the word model with ``weight`` pseudo counts, all counts read from the filter.  A filter of at most ``most_bytes`` is broadcast;
-    for a larger one the distinct words and pairs of about four million tokens at a time are shuffled to their buckets.  The result is the same.
+    smoothed word model with exact counts.  ``score`` is the pair model, all counts read from the filter: (pair + ``weight`` * word
+    model) / (first word + ``weight``).  A pair and a word count as the smallest count of their level and a first word as the largest of
+    its level, so the probabilities after a word sum to at most 1 but for false answers of the filter; a pair is never
+    counted higher than its last word.  The filter has ``bits`` bits for each level of each key and is broadcast in parts of about ``most_bytes``,
+    one reading of the texts for each.
 
     Null and empty texts are the end token alone.  Without training rows all counts are 0.  Rows that repeat a key, and rows with a null
     key, are scored each on its own.
     """
     train = training.select(F.col(text).alias("text"))
     n_docs, amount = train.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    asked = df.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
-    buckets = max(8, -(-max(amount, asked) // (3 * BUCKET_KEYS)))  # about BUCKET_KEYS words and pairs in each, held or asked for
+    buckets = max(8, -(-amount // (3 * BUCKET_KEYS)))  # about BUCKET_KEYS words and pairs in each
     counts = count_ngrams(train, buckets)
-    got = {r["size"]: r for r in counts.groupBy("size").agg(F.sum("different").alias("v"), F.sum("total").alias("n"), F.sum("entries").alias("e")).collect()}
-    kinds, total = (got[1]["v"], got[1]["n"]) if got else (0, 0)
-    entries = sum(r["e"] for r in got.values())
-    held_keys = counts.select("bucket", "size", "keys", "counts")
-    dealt = entries * BITS > 8 * most_bytes
-    bloom = None if dealt else build_filter(held_keys, buckets, entries, most_bytes)
-    amounts, cut, held = _levels(counts), LEVELS, 0
+    got = counts.filter("size = 1").agg(F.sum("different").alias("v"), F.sum("total").alias("n")).first()
+    kinds, total = got["v"] or 0, got["n"] or 0
+    amounts, cut, held = _levels(counts), LEVELS + 1, 0
     while cut > 1 and held + amounts.get(cut - 1, 0) <= head:
         cut -= 1
         held += amounts.get(cut, 0)
     top = _unpacked(counts, least=cut).toArrow()  # at most ``head`` rows
     order = np.argsort(top.column("key").to_numpy().view(np.uint64))
     frequent = (top.column("key").to_numpy().view(np.uint64)[order], top.column("count").to_numpy()[order])
-    sent = df.sparkSession.sparkContext.broadcast((bloom, frequent))  # bounded by ``most_bytes`` and ``head``
     base = 0.5 * (kinds + 1) + total
 
-    typical = np.r_[0.0, 1.0, 1.45 * 2.0 ** np.arange(1, LEVELS)]
-
-    def chances(both: np.ndarray, word: np.ndarray, context: np.ndarray) -> np.ndarray:
-        return np.log10((both + weight * (word + 0.5) / base) / (np.maximum(context, both) + weight))
-
-    def described(part: pa.RecordBatch, now: np.ndarray, first: np.ndarray) -> dict[str, pa.Array]:
-        """What is known of each text without the filter, and its words that are not frequent."""
-        head_keys, head_counts = sent.value[1]
-        words, at = np.unique(now, return_inverse=True)
-        if len(head_keys):
-            found = np.minimum(np.searchsorted(head_keys, words), len(head_keys) - 1)
-            known = head_keys[found] == words
-            exact = np.where(known, head_counts[found], 0)
-        else:
-            known, exact = np.zeros(len(words), bool), np.zeros(len(words), np.int64)
-        logs = np.where(known, np.log10(exact + 0.5), 0.0)
-        tail = ~known[at]
-        many = np.r_[0, np.cumsum(tail)][first]
-        return {"row": part.column("row"), "id": part.column("id"), "n_tokens": pa.array(np.diff(first)),
-                "known": pa.array(np.add.reduceat(known[at].astype(np.int64), first[:-1])), "logs": pa.array(np.add.reduceat(logs[at], first[:-1])),
-                "rare": pa.ListArray.from_arrays(pa.array(many, pa.int32()), pa.array(now[tail].view(np.int64)))}
-
+    docs = df.select(F.col(key).alias("id"), F.xxhash64(text).alias("hash"), F.col(text).alias("text"))
+    kind = docs.schema["id"].dataType.simpleString()
+    sums = "copies bigint, n_tokens bigint, known bigint, logs double, score double"
+    reading = f"id {kind}, hash bigint, {sums}, rare array<bigint>, times array<bigint>"
+    parts = None
+    for span in spans(*entries_per_cell(counts), int(8 * most_bytes / bits)):
+        bloom = build_filter(counts, buckets, span, bits)
+        sent = df.sparkSession.sparkContext.broadcast((bloom, frequent))  # bounded by ``most_bytes`` and ``head``
+        part = stored(docs.mapInArrow(_reader(sent, span, weight, base, n_docs), reading), "scored")
+        sent.destroy()
+        parts = part if parts is None else parts.union(part)
+    asked = parts.filter(F.size("rare") > 0).select("id", "hash", F.explode(F.arrays_zip("rare", "times")).alias("r")).select(
+        "id", "hash", F.col("r.rare").alias("key"), F.col("r.times").alias("times"))
+    rare = asked.join(stored(_unpacked(counts, below=cut), "rare"), "key", "left").select(
+        "id", "hash", F.lit(0).cast("bigint").alias("copies"), F.lit(0).cast("bigint").alias("n_tokens"),
+        F.when(F.col("count").isNotNull(), F.col("times")).otherwise(0).alias("known"),
+        (F.col("times") * F.log10(F.coalesce("count", F.lit(0)) + 0.5)).alias("logs"), F.lit(0.0).alias("score"))
+    names = ["copies", "n_tokens", "known", "logs", "score"]
+    out = parts.drop("rare", "times").unionByName(rare).groupBy("id", "hash").agg(*[F.sum(c).alias(c) for c in names])
+    each = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies")))  # rows with the same key and text were summed
+    constant = float(np.log10(base))
+    whole = {c: F.expr(f"{c} div copies") for c in ("n_tokens", "known")}
+    return each.select(
+        F.col("id").alias(key), whole["n_tokens"].alias("n_tokens"), whole["known"].alias("n_known"), F.lit(total).cast("bigint").alias("train_tokens"),
+        (F.col("logs") / F.col("copies") - whole["n_tokens"] * constant).alias("base_score"), (F.col("score") / F.col("copies")).alias("score"))
+
+
+def _reader(sent, span: Span, weight: float, base: float, n_docs: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """What the words of one span add to the sums of each text; words that are not frequent but held by the filter are listed with their number."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom = sent.value[0]
+        bloom, (head_keys, head_counts) = sent.value
         for part in slices(batches, "text"):
             now, before, first = tokens(part)
+            count = part.num_rows
+            text = np.repeat(np.arange(count), np.diff(first))
             words, at = np.unique(now, return_inverse=True)
-            seen = typical[bloom.levels(words, 1)]
-            pairs, where = np.unique(pair(before, now), return_inverse=True)
-            both = typical[bloom.levels(pairs, 2)][where]
-            context = np.empty(len(now))
-            context[1:] = seen[at][:-1]
-            context[first[:-1]] = n_docs
-            likely = chances(both, seen[at], context) if base else np.zeros(len(now))
-            yield pa.RecordBatch.from_pydict({**described(part, now, first), "score": pa.array(np.add.reduceat(likely, first[:-1]))})
-
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows of texts, with the numbers of their pairs among the chunk's, and rows of the chunk's words and pairs by bucket."""
-        kept: list[tuple] = []
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            if not kept:
-                return
-            now, before = (np.concatenate([k[i] for k in kept]) for i in (1, 2))
-            chunk = kept[0][0]["row"][0].as_py()
-            words = np.unique(now)
-            pairs, some, where = np.unique(pair(before, now), return_index=True, return_inverse=True)
-            context = np.where(before[some] == START, -1, np.searchsorted(words, before[some]))
-            ends = np.stack([np.searchsorted(words, now[some]), context], axis=1).astype("<i4")
-            for order, keys in ((1, words), (2, pairs)):
-                number, places = dealt_keys(keys, buckets)
-                count = len(number)
-                yield whole({"chunk": pa.array(np.full(count, chunk)), "bucket": pa.array(number), "size": pa.array(np.full(count, order, np.int32)),
-                             "keys": pa.array([keys[p].tobytes() for p in places], pa.binary()),
-                             "ends": pa.array([ends[p].tobytes() if order == 2 else None for p in places], pa.binary())})
-            where, at = where.astype("<i4"), 0
-            for columns, _, _, first in kept:
-                edges = first + at
-                yield whole({"chunk": pa.array(np.full(len(first) - 1, chunk)), **columns,
-                             "pairs": pa.array([where[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())})
-                at += first[-1]
-            kept.clear()
-
-        def whole(columns: dict[str, pa.Array]) -> pa.RecordBatch:
-            count = len(columns["chunk"])
-            return pa.RecordBatch.from_arrays([columns[f.name] if f.name in columns else pa.nulls(count, f.type) for f in layout], [f.name for f in layout])
-
-        size, layout = 0, None
-        for part in slices(batches, "text"):
-            layout = layout or [*pa.schema({"chunk": pa.int64(), "bucket": pa.int64(), "size": pa.int32(), "keys": pa.binary(), "ends": pa.binary(),
-                                            "row": pa.int64(), "id": part.schema.field("id").type, "n_tokens": pa.int64(), "known": pa.int64(),
-                                            "logs": pa.float64(), "rare": pa.list_(pa.int64()), "pairs": pa.binary()})]
-            now, before, first = tokens(part)
-            kept.append((described(part, now, first), now, before, first))
-            size += len(now)
-            if size > 4 * KEEP:
-                yield from flush()
-                size = 0
-        yield from flush()
-
-    def answer(texts: pa.Table, levels: pa.Table) -> pa.Table:
-        """Scores of a chunk's texts; the levels, put in the order of buckets, are in the order of the chunk's words and pairs."""
-        def joined(table: pa.Table, column: str, order: int, kind: str) -> np.ndarray:
-            table = table.filter(pc.equal(table.column("size"), order)).sort_by("bucket")
-            return np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(column)])
-
-        seen, both = (typical[joined(levels, "levels", order, np.uint8)] for order in (1, 2))
-        word, context = joined(texts, "ends", 2, "<i4").reshape(-1, 2).T
-        likely = chances(both, seen[word], np.where(context < 0, n_docs, seen[context]))
-        texts = texts.filter(pc.is_valid(texts.column("pairs")))
-        score = [np.add.reduce(likely[np.frombuffer(x.as_py(), "<i4")]) for x in texts.column("pairs")]
-        return texts.select(["row", "id", "n_tokens", "known", "logs", "rare"]).append_column("score", pa.array(score, pa.float64()))
-
-    docs = df.select(F.col(key).alias("id"), F.col(text).alias("text")).withColumn("row", F.monotonically_increasing_id())
-    kind = docs.schema["id"].dataType.simpleString()
-    columns = f"row bigint, id {kind}, n_tokens bigint, known bigint, logs double, rare array<bigint>"
-    if dealt:
-        asked_for = stored(docs.mapInArrow(ask, f"chunk bigint, bucket bigint, size int, keys binary, ends binary, {columns}, pairs binary"), "asked")
-        levels = read_levels(asked_for.filter("keys IS NOT NULL").select("chunk", "bucket", "size", "keys"), held_keys, BITS)
-        texts = asked_for.filter("keys IS NULL OR size = 2").drop("keys")
-        found = texts.groupBy("chunk").cogroup(levels.groupBy("chunk")).applyInArrow(answer, f"{columns}, score double")
-    else:
-        found = docs.mapInArrow(run, f"{columns}, score double")
-    found = stored(found, "scored")
-    rare = found.select("row", F.explode("rare").alias("key")).join(stored(_unpacked(counts, below=cut), "rare"), "key", "left")
-    sums = rare.groupBy("row").agg(F.count("count").alias("more"), F.sum(F.log10(F.coalesce("count", F.lit(0)) + 0.5)).alias("logs_more"))
-    out = found.drop("rare").join(sums, "row", "left")
-    constant = float(np.log10(base)) if base else 0.0
-    return out.select(
-        F.col("id").alias(key), "n_tokens", (F.col("known") + F.coalesce("more", F.lit(0))).alias("n_known"), F.lit(total).cast("bigint").alias("train_tokens"),
-        (F.col("logs") + F.coalesce("logs_more", F.lit(0.0)) - F.col("n_tokens") * constant).alias("base_score"), "score")
+            mine = np.flatnonzero(span.words(words)[at])
+            text, now, before = text[mine], now[mine], before[mine]
+            words, at = np.unique(now, return_inverse=True)
+            held = bloom.levels(words, 1)
+
+            def added(texts: np.ndarray, values: np.ndarray | None = None) -> np.ndarray:
+                return np.bincount(texts, weights=values, minlength=count).astype(np.int64 if values is None else float)
+
+            keys = pair(before, now)
+            some = slice(None) if span.pieces == 1 else np.flatnonzero(span.pairs(keys))
+            pairs, where = np.unique(keys[some], return_inverse=True)
+            last = held[at[some]]
+            both = np.minimum(bloom.levels(pairs, 2)[where], last)
+            score = added(text[some], np.log10(LEAST[both] + weight * (LEAST[last] + 0.5) / base))
+            if span.piece:  # the words of the cell were summed with the first piece
+                yield _sums(part, score=score)
+                continue
+            ends = now == END
+            score -= added(text, np.log10(np.where(ends, n_docs, MOST[held[at]]) + weight))
+            exact = np.zeros(len(words), np.int64)
+            if len(head_keys):
+                found = np.minimum(np.searchsorted(head_keys, words), len(head_keys) - 1)
+                exact = np.where(head_keys[found] == words, head_counts[found], 0)
+            rare = ((exact == 0) & (held > 0))[at]
+            cases, times = np.unique(text[rare] * len(words) + at[rare], return_counts=True)
+            edges = np.searchsorted(cases, np.arange(count + 1) * len(words))
+            yield _sums(part, copies=added(text[ends]), n_tokens=added(text), known=added(text[(exact > 0)[at]]),
+                        logs=added(text[~rare], np.log10(exact + 0.5)[at[~rare]]), score=score,
+                        rare=pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(words[cases % max(1, len(words))].view(np.int64))),
+                        times=pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(times.astype(np.int64))))
+
+    return run
+
+
+def _sums(part: pa.RecordBatch, **columns) -> pa.RecordBatch:
+    """Rows of a reading; sums that are not given are 0, and lists are null."""
+    none = np.zeros(part.num_rows, np.int64)
+    layout = {"copies": none, "n_tokens": none, "known": none, "logs": none.astype(float), "score": none.astype(float),
+              "rare": pa.nulls(part.num_rows, pa.list_(pa.int64())), "times": pa.nulls(part.num_rows, pa.list_(pa.int64()))}
+    filled = {name: columns.get(name, empty) for name, empty in layout.items()}
+    return pa.RecordBatch.from_pydict({"id": part.column("id"), "hash": part.column("hash"), **{k: v if isinstance(v, pa.Array) else pa.array(v) for k, v in filled.items()}})

@@ -331,22 +331,66 @@ def test_language_model(spark, data, docs, none):
 def test_bloom_filter_reads_back_levels(spark):
     keys = common.mix(np.arange(5000, dtype=np.uint64))
     levels = np.arange(5000) % 6 + 1
-    body = [(0, 1, bytes(keys.tobytes()), bytes((2 ** (levels - 1)).astype(np.int64).tobytes()))]
+    body = [(0, 1, bytes(keys.tobytes()), bytes(lm.STEPS[levels - 1].astype(np.int64).tobytes()))]
     frame = spark.createDataFrame(body, "bucket bigint, size int, keys binary, counts binary")
-    bloom = lm.build_filter(frame, 1, int(levels.sum()), 1 << 20, bits_per_entry=12)
+    bloom = lm.build_filter(frame, 1, bits_per_entry=12)
     read = bloom.levels(keys, 1)
     assert (read >= levels).all() and (read == levels).mean() > 0.95
     assert (bloom.levels(common.mix(np.arange(9000, 14000, dtype=np.uint64)), 1) > 0).mean() < 0.02 and not bloom.levels(keys, 2).any()
 
 
-def test_language_model_is_not_blurred_by_size(spark, docs, monkeypatch):
-    """A filter that is too large to be sent has as many bits per entry as a small one, so all scores stay."""
-    monkeypatch.setattr(lm, "KEEP", 500)
-    train = docs.filter("doc_id % 5 <> 1")
-    sent, dealt = (sorted(((tuple(r)) for r in lm.score(docs, train, most_bytes=n).collect()), key=str) for n in (1 << 20, 1))
-    assert len(sent) == len(dealt) == docs.count()
-    for a, b in zip(sent, dealt):
-        assert a[:4] == b[:4] and np.allclose(a[4:], b[4:], rtol=1e-12)
+def test_spans_hold_every_word_and_pair_once():
+    rng = np.random.default_rng(3)
+    words, pairs = rng.integers(0, 50, lm.CELLS), rng.integers(0, 400, lm.CELLS)
+    pairs[[0, 77, lm.CELLS - 1]] = 50_000  # cells of very common words
+    parts = lm.spans(words, pairs, 3000)
+    assert parts[0].low == 0 and parts[-1].high == lm.CELLS and [p.low for p in parts if not p.piece][1:] == [p.high for p in parts if p.piece == p.pieces - 1][:-1]
+    assert all((words[p.low:p.high].sum() + pairs[p.low:p.high].sum() / p.pieces) <= 3000 for p in parts)
+    keys = common.mix(np.arange(20_000, dtype=np.uint64))
+    assert (sum(p.pairs(keys).astype(int) for p in parts) == 1).all() and (sum(p.words(keys).astype(int) for p in parts if not p.piece) == 1).all()
+    assert lm.spans(words * 0, pairs * 0, 10) == [lm.Span()]
+
+
+def plain_model(texts):
+    """Exact counts, their steps, and the probability of a word (None: the end) after another (0: the start)."""
+    words, pairs = Counter(), Counter()
+    for text in texts:
+        said = [*blank_words(text), None]
+        words.update(said)
+        pairs.update(zip([0, *said], said))
+    base = sum(words.values()) + 0.5 * (len(words) + 1)
+
+    def least(n):
+        return max((s for s in lm.STEPS.tolist() if s <= n), default=0)
+
+    def most(n):
+        return min(s for s in lm.STEPS.tolist() if s > n) - 1
+
+    def chance(left, right):
+        both = min(least(pairs[left, right]), least(words[right]))
+        return (both + 4.0 * (least(words[right]) + 0.5) / base) / ((len(texts) if left == 0 else most(words[left])) + 4.0)
+
+    return words, chance
+
+
+def test_language_model_equals_plain_model_in_any_number_of_parts(spark, data, docs):
+    """The score is that of exact counts in steps, whether the filter is sent at once, in ranges of words, or with pieces of a common word's pairs."""
+    rows = data + [(None, "same same"), (5, "same same"), (5, "same same"), (5, "other"), (6, "never seen before " * 40)]
+    frame = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id bigint, text string")
+    train = [r[1] for r in data if r[0] is not None and r[0] % 5 != 1]
+    _, chance = plain_model(train)
+    want = sorted((str(i), round(sum(math.log10(chance(a, b)) for a, b in zip([0, *blank_words(t)], [*blank_words(t), None])), 6)) for i, t, *_ in rows)
+    parts = lm.spans(*lm.entries_per_cell(lm.count_ngrams(docs.filter("doc_id % 5 <> 1"), 8)), 8 * 9000 // 60)
+    assert len(parts) > 2 and any(p.pieces > 1 for p in parts)
+    for size in (1 << 20, 9000):
+        got = lm.score(frame, docs.filter("doc_id % 5 <> 1"), most_bytes=size, bits=60, head=50).collect()
+        assert sorted((str(r["doc_id"]), round(r["score"], 6)) for r in got) == want
+
+
+def test_probabilities_after_a_word_sum_to_one_at_most(data):
+    words, chance = plain_model([r[1] for r in data])
+    for left in [0, *[w for w, _ in words.most_common(60) if w is not None], *[w for w in list(words)[:60] if w is not None], "never seen"]:
+        assert 0.3 < sum(chance(left, right) for right in [*words, "unseen"]) <= 1 + 1e-9
 
 
 def test_license(spark, data, docs, none):
