@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from signalpost.llm.common import BLANK_WORD, cut_words, mix, slices, stored
 
 END, START = np.uint64(1), np.uint64(2)  # hashes of the end and the start of a text
-KEEP = 1 << 20
+KEEP = 1 << 20  # tokens counted at once in a task
 HEAD = 1 << 18
 BITS = 8.0  # bits of the filter per entry
 BUCKET_KEYS = 500_000
@@ -97,7 +97,7 @@ def count_ngrams(docs: DataFrame, buckets: int) -> DataFrame:
             kept[0].append(now)
             kept[1].append(pair(before, now))
             size += len(now)
-            if size > 4 * KEEP:
+            if size > KEEP:
                 yield from flush()
                 size = 0
         yield from flush()
