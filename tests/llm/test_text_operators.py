@@ -375,15 +375,16 @@ def plain_model(texts):
 
 def test_language_model_equals_plain_model_in_any_number_of_parts(spark, data, docs):
     """The score is that of exact counts in steps, whether the filter is sent at once, in ranges of words, or with pieces of a common word's pairs."""
-    rows = data + [(None, "same same"), (5, "same same"), (5, "same same"), (5, "other"), (6, "never seen before " * 40)]
+    rows = data + [(None, "same same"), (5, "same same"), (5, "same same"), (5, "other"), (6, "never seen before " * 40), (7, "w1 the w2 the the")]
     frame = spark.createDataFrame([(r[0], r[1]) for r in rows], "doc_id bigint, text string")
-    train = [r[1] for r in data if r[0] is not None and r[0] % 5 != 1]
+    train = [" ".join(f"w{i} the" for i in range(400)), "same same", "a b a b a b a b a b", None, "", *[r[1] for r in data[3:6]]]
+    training = spark.createDataFrame([(t,) for t in train], "text string")
     _, chance = plain_model(train)
     want = sorted((str(i), round(sum(math.log10(chance(a, b)) for a, b in zip([0, *blank_words(t)], [*blank_words(t), None])), 6)) for i, t, *_ in rows)
-    parts = lm.spans(*lm.entries_per_cell(lm.count_ngrams(docs.filter("doc_id % 5 <> 1"), 8)), 8 * 9000 // 60)
-    assert len(parts) > 2 and any(p.pieces > 1 for p in parts)
-    for size in (1 << 20, 9000):
-        got = lm.score(frame, docs.filter("doc_id % 5 <> 1"), most_bytes=size, bits=60, head=50).collect()
+    parts = lm.spans(*lm.entries_per_cell(lm.count_ngrams(training, 8)), 300)
+    assert 3 < len(parts) < 12 and any(p.pieces > 1 for p in parts)
+    for size in (1 << 20, 300 * 60 // 8):
+        got = lm.score(frame, training, most_bytes=size, bits=60, head=50).collect()
         assert sorted((str(r["doc_id"]), round(r["score"], 6)) for r in got) == want
 
 
