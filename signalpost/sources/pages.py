@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from html.parser import HTMLParser
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Elements without an end tag, and elements whose text is never shown.
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -73,13 +72,13 @@ def extract_pages(df: DataFrame, html: str, rules: dict[str, str], drop: list[st
                   joiner: str = "\n", first_only: tuple[str, ...] = ("title",)) -> DataFrame:
     """Article fields of each page; several matches are joined, a missing element gives ``missing``.
 
-    The other columns are kept.  Pages are parsed independently in Arrow batches.
+    The other columns are kept and stay in their task.  Pages are parsed independently by a plain function of one row, of which Spark sends about
+    a hundred at a time, so a worker's memory grows neither with the table nor with the size of an Arrow batch.
     """
-    kept = [c for c in df.columns if c != html]
-    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != html]
-                       + [f"`{name}` string" for name in rules])
+    kept = [F.col(f"`{c}`") for c in df.columns if c != html]
+    fields = T.StructType([T.StructField(name, T.StringType()) for name in rules])
 
-    def parse(text: str | None) -> list[str]:
+    def parse(text: str | None) -> tuple[str, ...]:
         page = _Fields(rules, drop)
         page.feed(text or "")
         page.close()
@@ -88,14 +87,10 @@ def extract_pages(df: DataFrame, html: str, rules: dict[str, str], drop: list[st
             parts = [p for p in (" ".join(t.split()) for t in page.found[name]) if p]
             parts = parts[:1] if name in first_only else parts
             out.append(joiner.join(parts) or missing)
-        return out
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fields = pd.DataFrame([parse(t) for t in batch[html]], columns=list(rules), index=batch.index)
-            yield pd.concat([batch[kept], fields], axis=1)
+        return tuple(out)
 
-    return df.mapInPandas(run, schema)
+    parsed = df.select(*kept, F.udf(parse, fields, useArrow=False)(F.col(f"`{html}`")).alias("_fields"))
+    return parsed.select(*kept, *[F.col("_fields").getField(name).alias(name) for name in rules])
 
 
 def extract_links(df: DataFrame, html: str, url: str, region: str = r"(?s)<nav>(.*?)</nav>",

@@ -80,6 +80,15 @@ def test_page_fields_by_id_with_date_and_comments(spark):
     assert (got.date, got.body, got.comments, got.none) == ("2024-01-05 10:30", "News", "one\ntwo", "N/A")
 
 
+def test_pages_reach_a_worker_in_small_lots_without_their_other_columns(spark):
+    rows = [(None, "x", PAGE), (2**60 + 1, None, PAGE)]  # a number that no double holds, beside a null
+    df = spark.createDataFrame(rows, "id bigint, `a.b` string, html string").coalesce(1)
+    found = pages.extract_pages(df, "html", {"title": "article h1"}, [])
+    assert [tuple(r) for r in found.collect()] == [(None, "x", "Big & bold"), (2**60 + 1, None, "Big & bold")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchEvalPython ") == 1 and "Arrow" not in plan and "Pandas" not in plan
+
+
 def test_links_are_made_absolute(spark):
     html = '<nav><a href="/a">A</a><a href="http://y/b">B</a></nav><a href="/c">C</a>'
     df = spark.createDataFrame([("http://x.com/list?p=1", html)], "url string, html string")
