@@ -1,17 +1,18 @@
 """Many patterns in one reading of a text.
 
 A dictionary table is measured and dealt into pieces of bounded size.  A piece is sent to all tasks and becomes a trie with failure links there,
-which is run over every text once, in Arrow batches; the texts stay in their task and are never shuffled.  Dictionaries of one piece, nearly
-all, take one reading; a larger one takes a reading per piece, and the table is stored in between so that a task holds one piece at a time.
+which is run over every text once, in Arrow batches, or a set if whole words are counted; the texts stay in their task and are never shuffled.
+Dictionaries of one piece, nearly all, take one reading; a larger one takes a reading per piece, and the table is stored in between so that a
+task holds one piece at a time.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,15 +56,9 @@ def _finder(shared: Broadcast):
 
 
 def _counter(shared: Broadcast):
-    """Number of tokens of each text that are among the sent words."""
-    def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known = pa.array(shared.value, pa.large_string())
-        for batch in batches:
-            tokens = pc.split_pattern_regex(batch.cast(pa.large_string()), UNICODE_BLANKS)
-            hits = pc.cast(pc.is_in(pc.list_flatten(tokens), known), pa.int64())
-            sums = pc.cumulative_sum(pa.concat_arrays([pa.array([0], pa.int64()), hits]))
-            ends = pc.subtract(tokens.offsets, tokens.offsets[0])
-            yield pc.subtract(sums.take(ends.slice(1)), sums.take(ends.slice(0, len(batch))))
+    """Number of tokens of one text that are among the sent words."""
+    def counted(text: str) -> int:
+        return sum(map(shared.value.__contains__, re.split(UNICODE_BLANKS, text)))
 
     return counted
 
@@ -89,11 +84,14 @@ def find_labels(df: DataFrame, text: str, dictionary: DataFrame, out: str = "lab
 
 
 def count_words(df: DataFrame, cols: list[str], lexicon: DataFrame, word: str, out: str, piece_bytes: int = PIECE_BYTES) -> DataFrame:
-    """``df`` with the number of tokens between blanks, over several text columns, that are words of a lexicon table."""
+    """``df`` with the number of tokens between blanks, over several text columns, that are words of a lexicon table.
+
+    Texts go to a plain function of one row, of which Spark sends about a hundred at a time: split up, a whole Arrow batch takes several times its size.
+    """
     df = df.withColumn(out, F.lit(0).cast("bigint"))
     text = F.concat_ws(" ", *[F.col(c) for c in cols])
     for number, piece in enumerate(pieces_of(lexicon.select(word).distinct(), word, piece_bytes)):
         df = cut(df) if number else df
-        sent = df.sparkSession.sparkContext.broadcast([r[0] for r in piece.collect()])  # one piece
-        df = df.withColumn(out, F.col(out) + F.arrow_udf(_counter(sent), "bigint")(text))
+        sent = df.sparkSession.sparkContext.broadcast(frozenset(r[0] for r in piece.collect()))  # one piece
+        df = df.withColumn(out, F.col(out) + F.udf(_counter(sent), "bigint", useArrow=False)(text))
     return df

@@ -57,6 +57,14 @@ def test_texts_are_not_shuffled(spark, name):
     assert "Exchange" not in entry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
 
 
+def test_texts_reach_the_counting_worker_in_small_lots(spark):
+    df = spark.createDataFrame([(i, "a b\u3000a\x1ca") for i in range(300)], "k int, t string").coalesce(1)
+    counted = matching.count_words(df, ["t"], spark.createDataFrame([("a",), ("a\x1ca",)], "word string"), "word", "n")
+    assert {r["n"] for r in counted.collect()} == {2}  # a file separator is no blank
+    plan = counted._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchEvalPython ") == 1 and "Arrow" not in plan
+
+
 def test_tags_of_repeated_keys(spark):
     posts = spark.createDataFrame([("k", "the cat"), ("k", None), ("k", "none")], "url string, text string")
     dictionary = spark.createDataFrame([(1, "b", ["cat"]), (0, "a", ["the ", "x"])], "position int, defect_type string, keywords array<string>")
