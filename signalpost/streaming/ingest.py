@@ -53,9 +53,20 @@ def dedupe_stream(stream: DataFrame, key: str = "url", ts: str = "ts", delay: st
     return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
-def run_to_folder(stream: DataFrame, folder: str, checkpoint: str, fmt: str = "parquet") -> DataFrame:
-    """Run all available input in append mode into a folder and read the result."""
-    query = (stream.writeStream.format(fmt).option("path", folder).option("checkpointLocation", checkpoint)
-             .outputMode("append").trigger(availableNow=True).start())
+def run_to_folder(stream: DataFrame, folder: str, checkpoint: str, fmt: str = "parquet", state_partitions: int | None = None) -> DataFrame:
+    """Run all available input in append mode into a folder and read the result.
+
+    Every batch opens and stores each partition of the state, used or not.  A state that does not grow with the rows needs no more than
+    ``state_partitions``, whatever the session shuffles with.  A stored checkpoint keeps the number that it began with.
+    """
+    conf = stream.sparkSession.conf
+    before = conf.get("spark.sql.shuffle.partitions")
+    try:
+        if state_partitions:
+            conf.set("spark.sql.shuffle.partitions", min(int(before), state_partitions))
+        query = (stream.writeStream.format(fmt).option("path", folder).option("checkpointLocation", checkpoint)
+                 .outputMode("append").trigger(availableNow=True).start())  # takes a copy of the settings
+    finally:
+        conf.set("spark.sql.shuffle.partitions", before)
     query.awaitTermination()
     return stream.sparkSession.read.schema(stream.schema).format(fmt).load(folder)

@@ -15,6 +15,7 @@ from signalpost.streaming.totals import daily_feature_stream
 OUT = "car_name string, issue string, upload_date date, score double, is_trigger boolean"
 DAY = "car_name string, issue string, upload_date date, avg_log_view double, sum_log_like double"
 STATE = "view double, like double, scores array<double>"
+STATE_PARTITIONS = 16  # posts are summed before they are shuffled, so the state has a row per open day or series
 
 
 def trigger_stream(days: DataFrame, alpha: float = 0.05, beta: float = 0.02, window: int = 7, k: float = 2.1) -> DataFrame:
@@ -42,12 +43,12 @@ def trigger_stream(days: DataFrame, alpha: float = 0.05, beta: float = 0.02, win
         step, OUT, STATE, "append", GroupStateTimeout.NoTimeout)
 
 
-def trigger_chain(posts: DataFrame, limits: DataFrame, folder: str) -> DataFrame:
+def trigger_chain(posts: DataFrame, limits: DataFrame, folder: str, state_partitions: int | None = STATE_PARTITIONS) -> DataFrame:
     """Run all available labelled posts through daily features and triggers; returns all scores found so far.
 
     Both steps keep their output and state below ``folder``, so the next call goes on from there.  A day is scored
-    once the watermark has closed it.
+    once the watermark has closed it.  ``state_partitions`` has to grow with the number of series, not of posts; None takes the session's.
     """
-    run_to_folder(daily_feature_stream(posts, limits), f"{folder}/days", f"{folder}/days-state")
+    run_to_folder(daily_feature_stream(posts, limits), f"{folder}/days", f"{folder}/days-state", state_partitions=state_partitions)
     days = posts.sparkSession.readStream.schema(DAY).parquet(f"{folder}/days")
-    return run_to_folder(trigger_stream(days), f"{folder}/triggers", f"{folder}/triggers-state")
+    return run_to_folder(trigger_stream(days), f"{folder}/triggers", f"{folder}/triggers-state", state_partitions=state_partitions)
