@@ -7,11 +7,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from signalpost.streaming.triggers import OUT
+from signalpost.streaming.triggers import OUT, STATE_PARTITIONS
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 DAY_MS = 86_400_000
@@ -22,6 +23,26 @@ def _ms(day: dt.date) -> int:
     return (day - dt.date(1970, 1, 1)).days * DAY_MS
 
 
+SUMMED = "car_name string, issue string, upload_date date, closes timestamp, n bigint, view double, like double"
+HELD_ROWS = 100_000  # of sums in a task
+
+
+def summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums per series and day of the posts of one task, so that few rows are shuffled however many posts a day has."""
+    keys, sums = ["car_name", "issue", "upload_date", "closes"], ["n", "view", "like"]
+    held = None
+    for batch in batches:
+        rows = pa.table([batch[c] for c in keys + sums], names=keys + sums)  # all columns nullable, as sums are
+        rows = rows if held is None else pa.concat_tables([held, rows])
+        totals = rows.group_by(keys).aggregate([(c, "sum") for c in sums])
+        held = totals.select(keys + [f"{c}_sum" for c in sums]).rename_columns(keys + sums)
+        if held.num_rows > HELD_ROWS:
+            yield from held.to_batches()
+            held = None
+    if held is not None:
+        yield from held.to_batches()
+
+
 class DayCloser(StatefulProcessor):
     """State of one (car, issue): sums of its open days, two averages, the last scores.
 
@@ -39,7 +60,7 @@ class DayCloser(StatefulProcessor):
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         for frame in rows:
-            sums = frame.groupby("upload_date").agg(n=("view", "size"), view=("view", "sum"), like=("like", "sum"))
+            sums = frame.groupby("upload_date").agg(n=("n", "sum"), view=("view", "sum"), like=("like", "sum"))
             for day, row in zip(sums.index, sums.itertuples(index=False)):
                 held = self.days.getValue((day,)) if self.days.containsKey((day,)) else None
                 if held is None:
@@ -81,20 +102,24 @@ def closing_stream(posts: DataFrame, limits: DataFrame, ts: str = "ts", delay_da
     """
     from signalpost.operators.aggregates import minmax, with_log
     scaled = minmax(with_log(posts), limits).select(
-        "car_name", "issue", F.to_date(ts).alias("upload_date"), F.coalesce("normalized_log_view", F.lit(0.0)).alias("view"),
-        F.coalesce("normalized_log_like", F.lit(0.0)).alias("like"), F.date_add(F.to_date(ts), 1).cast("timestamp").alias("closes"))
-    late = scaled.withWatermark("closes", f"{24 * (delay_days + 1)} hours")
+        "car_name", "issue", F.to_date(ts).alias("upload_date"), F.date_add(F.to_date(ts), 1).cast("timestamp").alias("closes"),
+        F.lit(1).cast("bigint").alias("n"), F.coalesce("normalized_log_view", F.lit(0.0)).alias("view"),
+        F.coalesce("normalized_log_like", F.lit(0.0)).alias("like"))
+    late = scaled.mapInArrow(summed, SUMMED).withWatermark("closes", f"{24 * (delay_days + 1)} hours")
     return late.groupBy("car_name", "issue").transformWithStateInPandas(
         DayCloser(alpha, beta, window, k, idle_days), OUT, "append", "eventTime")
 
 
-def run_closing(stream: DataFrame, folder: str) -> DataFrame:
-    """Run all available posts; output and state lie below ``folder``, so the next call goes on from there.  Returns all scores found so far."""
+def run_closing(stream: DataFrame, folder: str, state_partitions: int | None = STATE_PARTITIONS) -> DataFrame:
+    """Run all available posts; output and state lie below ``folder``, so the next call goes on from there.  Returns all scores found so far.
+
+    ``state_partitions`` has to grow with the number of series, not of posts; None takes the session's.
+    """
     from signalpost.streaming.ingest import run_to_folder
     conf = stream.sparkSession.conf
     before = conf.get("spark.sql.streaming.stateStore.providerClass")
     conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     try:
-        return run_to_folder(stream, f"{folder}/triggers", f"{folder}/state")
+        return run_to_folder(stream, f"{folder}/triggers", f"{folder}/state", state_partitions=state_partitions)
     finally:
         conf.set("spark.sql.streaming.stateStore.providerClass", before)

@@ -1,11 +1,13 @@
 """Triggers in one stream: days closed by timers, late posts, restarts and forgotten series."""
 
 import datetime as dt
+import os
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from signalpost.operators import aggregates, windows
-from signalpost.streaming import closing
+from signalpost.streaming import closing, triggers
 
 SCHEMA = "ts timestamp, community string, car_name string, issue string, num_views bigint, num_likes bigint"
 
@@ -57,3 +59,38 @@ def test_a_series_without_posts_is_forgotten(spark, tmp_path):
     assert {k: round(v[0], 12) for k, v in got.items() if k[0] == "b"} == {k: round(v, 12) for k, v in whole.items()}
     held = spark.read.format("statestore").option("stateVarName", "averages").load(f"{tmp_path}/state")
     assert [r[0] for r in held.select("key.car_name").collect()] == ["b"]  # its last timer is due with the next posts
+
+
+def test_state_partitions_do_not_grow_with_the_shuffle(spark, tmp_path):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 20)
+    try:
+        run(spark, tmp_path / "in_one", [[post(d) for d in range(6)]])
+        posts = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/in_one/posts")
+        triggers.trigger_chain(posts, spark.read.parquet(f"{tmp_path}/in_one/limits"), f"{tmp_path}/chain")
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "20"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for state in ("in_one/state", "chain/days-state", "chain/triggers-state"):
+        held = [x for x in os.listdir(f"{tmp_path}/{state}/state/0") if x.isdigit()]
+        assert len(held) == triggers.STATE_PARTITIONS, state
+
+
+def test_posts_are_summed_before_the_shuffle(monkeypatch):
+    names = ["car_name", "issue", "upload_date", "closes", "n", "view", "like"]
+
+    def batch(*rows):
+        kinds = [pa.string(), pa.string(), pa.date32(), pa.timestamp("us", "UTC"), pa.int64(), pa.float64(), pa.float64()]
+        schema = pa.schema([pa.field(n, t, nullable=i < 4) for i, (n, t) in enumerate(zip(names, kinds))])  # as Spark sends them
+        return pa.RecordBatch.from_pylist([dict(zip(names, r)) for r in rows], schema)
+
+    day, end = dt.date(2024, 1, 1), dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc)
+    posts = [batch(("a", "i", day, end, 1, 0.5, 1.0), ("a", "i", day, end, 1, 0.25, 0.0)), batch(("a", "i", day, end, 1, 0.25, 2.0), (None, "i", None, None, 1, 1.0, 1.0))]
+
+    def rows():
+        return [tuple(r.values()) for b in closing.summed(iter(posts)) for r in b.to_pylist()]
+
+    assert sorted(rows(), key=str) == sorted([("a", "i", day, end, 3, 1.0, 3.0), (None, "i", None, None, 1, 1.0, 1.0)], key=str)
+    monkeypatch.setattr(closing, "HELD_ROWS", 0)
+    assert len(rows()) == 3 and sum(r[4] for r in rows()) == 4
+    assert list(closing.summed(iter([]))) == []
